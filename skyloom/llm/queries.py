@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skyloom.llm import minhash
+from skyloom.llm import linedup, minhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,5 +16,16 @@ def op3_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_minhash_neardup,)}
-ORACLES: dict[str, str] = {}
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    docs = docs.withColumn("n_lines", F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long"))
+    kept = linedup.drop_boilerplate(docs, count_col="n_dropped")
+    return kept.select("doc_id", "n_lines", F.col("n_dropped").cast("long").alias("n_dropped"), F.md5(F.coalesce("text", F.lit(""))).alias("kept_md5"))
+
+
+def op6_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op3_minhash_neardup, op5_line_dedup, op6_toxicity_mil)}
+ORACLES: dict[str, str] = {"op5_line_dedup": linedup.ORACLE_SQL}

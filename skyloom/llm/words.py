@@ -16,7 +16,12 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and row of the words [^\\x20\\x09-\\x0D]+; no word crosses a row."""
-    word = ~_SPACE[data]
+    return runs(data, offsets, _SPACE)
+
+
+def runs(data: np.ndarray, offsets: np.ndarray, between: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and row of the runs of bytes that the table `between` doesn't mark."""
+    word = ~between[data]
     n = len(data)
     if not n:
         e = np.zeros(0, np.int64)
