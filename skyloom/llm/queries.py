@@ -5,13 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm import linedup, minhash, toxicity
+from skyloom.llm import linedup, minhash, mixing, packing, toxicity, warc
+
+TOKENIZER = "word_bpe_49k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _tokenizer() -> str:
+    """The vocabulary file; its place is a parameter of the operators."""
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
+def op1_mixing_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.rates(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op2_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    found = warc.captures(pages, warc.build(pages), payloads=False)
+    # a response's digest is that of the bytes read back
+    return found.select("page_id", "payload_bytes", F.coalesce("read_digest", "payload_digest").alias("payload_digest"), "record_type", "refers_to")
+
+
 def op3_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -27,5 +47,9 @@ def op6_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op3_minhash_neardup, op5_line_dedup, op6_toxicity_mil)}
-ORACLES: dict[str, str] = {"op5_line_dedup": linedup.ORACLE_SQL}
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), _tokenizer())
+
+
+QUERIES = {f.__name__: f for f in (op1_mixing_rates, op2_warc_index, op3_minhash_neardup, op5_line_dedup, op6_toxicity_mil, op9_best_fit_packing)}
+ORACLES: dict[str, str] = {"op2_warc_index": warc.ORACLE_SQL, "op5_line_dedup": linedup.ORACLE_SQL}
