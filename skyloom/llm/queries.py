@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm import linedup, minhash, mixing, packing, toxicity, warc
+from skyloom.llm import jpeg, linedup, minhash, mixing, packing, toxicity, warc
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -36,6 +36,12 @@ def op3_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op4_media_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = jpeg.features(jpeg.media_column(_table(spark, sf_dir, "documents")))
+    feature = F.format_string("%dx%d:%s:%s", "width", "height", "average_hash", "difference_hash")
+    return got.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", feature.alias("feature"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     docs = docs.withColumn("n_lines", F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long"))
@@ -51,5 +57,5 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), _tokenizer())
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing_rates, op2_warc_index, op3_minhash_neardup, op5_line_dedup, op6_toxicity_mil, op9_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_mixing_rates, op2_warc_index, op3_minhash_neardup, op4_media_jpeg, op5_line_dedup, op6_toxicity_mil, op9_best_fit_packing)}
 ORACLES: dict[str, str] = {"op2_warc_index": warc.ORACLE_SQL, "op5_line_dedup": linedup.ORACLE_SQL}
