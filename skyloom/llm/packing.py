@@ -9,6 +9,8 @@ the pool fits one partition or no longer shrinks. Only (id, piece, length) rows
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 from dataclasses import dataclass
 from functools import lru_cache
@@ -25,50 +27,62 @@ PIECES = "doc_id long, row long, piece long, start long, length long, ids_crc32
 
 @dataclass(frozen=True)
 class Packing:
-    """capacity: tokens of a sequence. closing: the id that ends each document. keep_words bounds a task's cache of word ids."""
+    """capacity: tokens of a sequence. closing: the id that ends each document. keep_parts bounds a worker's cache of ids."""
 
     capacity: int = 4096
     closing: int = 1
     per_partition: int = 20_000
-    keep_words: int = 400_000
+    keep_parts: int = 600_000
     max_rounds: int = 12
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
+# The tokenizer drops white space, lower-cases, and splits a text into letters, single digits and other signs before its
+# merges, so a text's ids are those of its parts. For these characters, which its normal form leaves alone, the parts are found here.
+_PLAIN = re.compile("[\x00-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e]*")
+# Fixed value: the tokenizer's split, for those characters in lower case.
+_PART = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017e]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u017e\x09-\x0d ]+")
 
-    return Tokenizer.from_file(path)
 
-
-class _Words(dict):
-    """Token ids of white-space separated words, as little-endian 32-bit numbers.
-
-    The tokenizer drops white space and never joins what stands on two sides of it, so a text's ids are those of its words.
-    """
+class _Parts(dict):
+    """Token ids of parts, as little-endian 32-bit numbers; at most `most` are kept."""
 
     def __init__(self, path: str, most: int):
-        self.encode, self.most = _tokenizer(path).encode, most
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(path)
+        self.encode, self.merged, self.most = tokenizer.encode, tokenizer.model.tokenize, most
 
-    def __missing__(self, word: str) -> bytes:
+    def __missing__(self, part: str) -> bytes:
         if len(self) >= self.most:
             self.clear()
-        got = self[word] = np.array(self.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        # a part of plain letters is not changed by normal form, split or byte map, so that only the merges are left
+        ids = [x.id for x in self.merged(part)] if part.isascii() and part.islower() and part.isalpha() else self.encode(part, add_special_tokens=False).ids
+        got = self[part] = struct.pack(f"<{len(ids)}I", *ids)
         return got
 
+    def of(self, text: str) -> bytes:
+        if _PLAIN.fullmatch(text) and "<|" not in text:
+            return b"".join([self[x] for x in _PART.findall(text.lower())])
+        return b"".join([self[x] for x in re.split("[ \n\t\r]+", text) if x])  # words
+
+
+@lru_cache(maxsize=1)
+def _parts(path: str, most: int) -> _Parts:
+    """One cache for all tasks of a worker process."""
+    return _Parts(path, most)
+
 
 def pieces(docs: DataFrame, tokenizer: str, p: Packing = Packing(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, row, piece, start, length, ids_crc32): each document's ids and the closing id, cut at the capacity. row tells repeated documents apart."""
 
     def run(batches):
-        words = _Words(tokenizer, p.keep_words)
+        parts = _parts(tokenizer, p.keep_parts)
         end = np.array([p.closing], "<u4").tobytes()
         step = 4 * p.capacity
         for b in batches:
             out: list[tuple[int | None, int, int, int, int, int]] = []
             for doc, row, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
-                found = text.as_py().replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-                ids = b"".join([words[w] for w in found]) + end
+                ids = parts.of(text.as_py()) + end
                 out += [(doc, row, k, i // 4, min(step, len(ids) - i) // 4, zlib.crc32(ids[i : i + step])) for k, i in enumerate(range(0, len(ids), step))]
             cols = list(zip(*out, strict=True)) or [[]] * 6
             yield pa.record_batch([pa.array(c, pa.int64()) for c in cols], ["doc_id", "row", "piece", "start", "length", "ids_crc32"])
