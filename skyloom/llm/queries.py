@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm import imatch, jpeg, linedup, minhash, mixing, packing, suffixdup, toxicity, warc
+from skyloom.llm import imatch, jpeg, licenses, linedup, minhash, mixing, packing, suffixdup, toxicity, warc
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -14,7 +14,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _tokenizer() -> str:
+def tokenizer_path() -> str:
     """The vocabulary file; its place is a parameter of the operators."""
     import public_tokenizers
 
@@ -57,13 +57,18 @@ def op7_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.edited_fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return licenses.scan(docs, licenses.train(docs))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(_table(spark, sf_dir, "documents"), _tokenizer())
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixdup.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing_rates, op2_warc_index, op3_minhash_neardup, op4_media_jpeg, op5_line_dedup, op6_toxicity_mil, op7_imatch, op9_best_fit_packing, op10_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op1_mixing_rates, op2_warc_index, op3_minhash_neardup, op4_media_jpeg, op5_line_dedup, op6_toxicity_mil, op7_imatch, op8_license_scan, op9_best_fit_packing, op10_suffix_dedup)}
 ORACLES: dict[str, str] = {"op2_warc_index": warc.ORACLE_SQL, "op5_line_dedup": linedup.ORACLE_SQL}
