@@ -7,35 +7,21 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# By rule: a byte's bits spread to even places, and the even bits of a byte together.
-_SPREAD = [sum((v >> b & 1) << (2 * b) for b in range(8)) for v in range(256)]
-_COMPACT = [sum((v >> (2 * b) & 1) << b for b in range(4)) for v in range(256)]
-
-
 def _and(a: Column, mask: int) -> Column:
     return a.bitwiseAND(F.lit(mask).cast("long"))
 
 
-def _look_up(values: list[int], x: Column, shift: int) -> Column:
-    return F.get(F.lit(values).cast("array<long>"), F.shiftright(x, shift).bitwiseAND(F.lit(255).cast("long")).cast("int"))
+# Reading binary digits as digits of base 4 spreads them; x stands once in the expression, so nested uses stay small.
 
 
 def spread(x: Column) -> Column:
-    """The low 32 bits of x, each followed by a 0 bit."""
-    x = x.cast("long")
-    out = _look_up(_SPREAD, x, 0)
-    for k in (1, 2, 3):
-        out = out.bitwiseOR(F.shiftleft(_look_up(_SPREAD, x, 8 * k), 16 * k))
-    return out
+    """The bits of x, up to 31, each followed by a 0 bit."""
+    return F.conv(F.bin(x.cast("long")), 4, 10).cast("long")
 
 
 def compact(x: Column) -> Column:
     """The even bits of x, together."""
-    x = x.cast("long")
-    out = _look_up(_COMPACT, x, 0)
-    for k in range(1, 8):
-        out = out.bitwiseOR(F.shiftleft(_look_up(_COMPACT, x, 8 * k), 4 * k))
-    return out
+    return F.conv(F.conv(_and(x.cast("long"), 0x1555555555555555).cast("string"), 10, 4), 2, 10).cast("long")
 
 
 def morton(x: Column, y: Column) -> Column:
@@ -70,23 +56,22 @@ def ang2pix(order: int, ra: Column, dec: Column) -> Column:
     return F.when(good, at["face"] * F.lit(nside * nside) + morton(at["x"], at["y"])).cast("long")
 
 
-def pix2ang(order: int, pix: Column) -> tuple[Column, Column]:
-    """(ra, dec) in degrees of a pixel's centre."""
+def with_centre(df: DataFrame, order: int, pix: str = "pix", ra: str = "ra", dec: str = "dec") -> DataFrame:
+    """df with the direction of each pixel's centre in degrees. The steps are columns, so that none is computed twice."""
     nside = 1 << order
-    face = F.shiftright(pix.cast("long"), 2 * order)
-    x, y = unmorton(_and(pix.cast("long"), nside * nside - 1))
-    jr = (F.floor(face / 4) + 2) * nside - x - y - 1
+    p, own = F.col(pix).cast("long"), ["__f", "__x", "__y", "__jr", "__nr", "__ks", "__jp"]
+    f, x, y, jr, nr, ks, jp = (F.col(c) for c in own)
+    cx, cy = unmorton(_and(p, nside * nside - 1))
     north, south = jr < nside, jr > 3 * nside
-    nr = F.when(north, jr).when(south, 4 * nside - jr).otherwise(F.lit(nside))
     cap = nr * nr / F.lit(3.0 * nside * nside)
     z = F.when(north, F.lit(1.0) - cap).when(south, cap - F.lit(1.0)).otherwise((F.lit(2 * nside) - jr) * F.lit(2.0 / (3.0 * nside)))
-    shift = F.when(north | south, F.lit(0)).otherwise(_and(jr - nside, 1))
     # the column of a base face in units of eighths of a turn: 1, 3, 5, 7 for faces 0-3 and 8-11, 0, 2, 4, 6 for 4-7
-    base = 2 * _and(face, 3) + F.when(F.floor(face / 4) == 1, 0).otherwise(1)
-    jp = F.floor((base * nr + x - y + 1 + shift) / 2)
-    jp = F.when(jp > 4 * nr, jp - 4 * nr).when(jp < 1, jp + 4 * nr).otherwise(jp)
-    ra = (jp - (shift + 1) * F.lit(0.5)) * (F.lit(90.0) / nr)
-    return ra, F.degrees(F.asin(z))
+    base = 2 * _and(f, 3) + F.when(F.floor(f / 4) == 1, 0).otherwise(1)
+    out = df.withColumns({"__f": F.shiftright(p, 2 * order), "__x": cx, "__y": cy}).withColumn("__jr", (F.floor(f / 4) + 2) * nside - x - y - 1)
+    out = out.withColumns({"__nr": F.when(north, jr).when(south, 4 * nside - jr).otherwise(F.lit(nside)), "__ks": F.when(north | south, F.lit(0)).otherwise(_and(jr - nside, 1))})
+    out = out.withColumn("__jp", F.floor((base * nr + x - y + 1 + ks) / 2))
+    turned = F.when(jp > 4 * nr, jp - 4 * nr).when(jp < 1, jp + 4 * nr).otherwise(jp)
+    return out.withColumns({ra: (turned - (ks + 1) * F.lit(0.5)) * (F.lit(90.0) / nr), dec: F.degrees(F.asin(z))}).drop(*own)
 
 
 def parent(pix: Column, levels: int) -> Column:
@@ -145,8 +130,7 @@ def neighbours(pixels: DataFrame, order: int, pix: str = "pix") -> DataFrame:
     size, n = 4**order, 1 << order
     p = F.col(pix).cast("long")
     x, y = unmorton(_and(p, size - 1))
-    ra, dec = pix2ang(order, p)
-    at = pixels.withColumns({"__face": F.shiftright(p, 2 * order), "__x": x, "__y": y, "__ra": ra, "__dec": dec})
+    at = with_centre(pixels, order, pix, "__ra", "__dec").withColumns({"__face": F.shiftright(p, 2 * order), "__x": x, "__y": y})
     steps = F.array(*[F.struct(F.lit(i).alias("dx"), F.lit(j).alias("dy")) for i in (-1, 0, 1) for j in (-1, 0, 1) if i or j])
     at = at.withColumn("__s", F.explode(steps))
     dx, dy, half = F.col("__s.dx"), F.col("__s.dy"), resolution_arcsec(order) / 7200

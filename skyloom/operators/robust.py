@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyloom.session import cut
+
 
 def beside(df: DataFrame, keys: list[str], **aggregates: Column) -> DataFrame:
     """df with the aggregates of its group on every row."""
@@ -40,13 +42,14 @@ def weighted_medians(df: DataFrame, keys: list[str], value: str, weight: str, or
 def clipped(df: DataFrame, keys: list[str], value: str, low: float, high: float, rounds: int, factor: float = 1.4826, least: int = 1) -> DataFrame:
     """Rows within median - low * s and median + high * s, s being factor * MAD, in rounds; a group stops at s <= 1e-12 or where fewer than `least` rows would stay.
 
-    Each round is two aggregates over the rows that are left; the plan is fixed, so nothing comes to the driver.
+    All windows are over the same groups, so the rows are dealt once for all rounds. Groups are pixels or patches: small.
     """
+    w = Window.partitionBy(*keys)
     for _ in range(rounds):
-        df = beside(df, keys, __med=median(F.col(value)))
-        df = df.join(df.groupBy(*keys).agg((median(F.abs(F.col(value) - F.col("__med"))) * factor).alias("__s")), keys)
-        inside = (F.col("__s") <= 1e-12) | F.col(value).between(F.col("__med") - low * F.col("__s"), F.col("__med") + high * F.col("__s"))
-        df = df.join(df.groupBy(*keys).agg(F.count_if(inside).alias("__left")), keys).where(inside | (F.col("__left") < least)).drop("__med", "__s", "__left")
+        df = df.withColumn("__med", median(F.col(value)).over(w))
+        df = df.withColumn("__s", median(F.abs(F.col(value) - F.col("__med"))).over(w) * factor)
+        df = df.withColumn("__in", (F.col("__s") <= 1e-12) | F.col(value).between(F.col("__med") - low * F.col("__s"), F.col("__med") + high * F.col("__s")))
+        df = df.withColumn("__left", F.sum(F.col("__in").cast("int")).over(w)).where(F.col("__in") | (F.col("__left") < least)).drop("__med", "__s", "__in", "__left")
     return df
 
 
@@ -61,15 +64,15 @@ def hierarchy(cells: DataFrame, tile: str, levels: int, cell_area: float, signal
     return up.select("level", tile, F.when(F.col("area") > 0, F.col("flux") / F.col("area")).otherwise(F.lit(float("nan"))).alias(signal), F.least(F.lit(1.0), F.col("area") / (F.pow(F.lit(4.0), "level") * cell_area)).alias(support))
 
 
-def components(edges: DataFrame, a: str, b: str, shared_dir: str | None = None) -> DataFrame:
+def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(id, root): the smallest id reachable over edges, by rounds of neighbour minima and pointer jumping. Each round's table is checkpointed, so lineage stays short and survives lost executors."""
-    both = edges.select(F.col(a).alias("id"), F.col(b).alias("to")).unionByName(edges.select(F.col(b).alias("id"), F.col(a).alias("to"))).distinct().checkpoint()
-    roots = both.groupBy("id").agg(F.least(F.col("id"), F.min("to")).alias("root")).checkpoint()
+    both = cut(edges.select(F.col(a).alias("id"), F.col(b).alias("to")).unionByName(edges.select(F.col(b).alias("id"), F.col(a).alias("to"))).distinct())
+    roots = cut(both.groupBy("id").agg(F.least(F.col("id"), F.min("to")).alias("root")))
     while True:
         near = both.join(roots.withColumnRenamed("id", "to"), "to").groupBy("id").agg(F.min("root").alias("near"))
         step = roots.join(near, "id").select("id", F.least("root", "near").alias("next"), "root")
         jump = step.select(F.col("id").alias("next"), F.col("next").alias("up"))
-        moved = step.join(jump, "next").select("id", F.least("next", "up").alias("new"), "root").checkpoint()
+        moved = cut(step.join(jump, "next").select("id", F.least("next", "up").alias("new"), "root"))
         roots = moved.select("id", F.col("new").alias("root"))
         if moved.where("new <> root").isEmpty():
             return roots

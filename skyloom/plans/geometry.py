@@ -43,8 +43,7 @@ i AS (SELECT *, CASE WHEN jr < 64 THEN 1 - nr * nr / 12288.0::DOUBLE WHEN jr > 1
 SELECT id, pix, round((CASE WHEN jp > 4 * nr THEN jp - 4 * nr WHEN jp < 1 THEN jp + 4 * nr ELSE jp END - (ks + 1) * 0.5::DOUBLE) * 90.0::DOUBLE / nr, 7) AS ra, round(degrees(asin(z)), 7) AS dec FROM i""")
 def pix2ang(spark, sf):
     p = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), (F.col("c_custkey") * 7919 % 49152).alias("pix"))
-    ra, dec = hp.pix2ang(6, F.col("pix"))
-    return p.select("id", "pix", F.round(ra, 7).alias("ra"), F.round(dec, 7).alias("dec"))
+    return hp.with_centre(p, 6).select("id", "pix", F.round("ra", 7).alias("ra"), F.round("dec", 7).alias("dec"))
 
 
 @query("x_morton", f"WITH c AS (SELECT c_custkey AS id, c_custkey % 4096 AS x, (c_custkey * 31) % 4096 AS y FROM customer), m AS (SELECT *, {morton_sql('x', 'y')} AS m FROM c) SELECT id, m, {compact_sql('m')} AS x, {compact_sql('m', 1)} AS y FROM m")
