@@ -59,7 +59,7 @@ def graph(spark, sf):
     return want.join(n.select("tile", C("gx").alias("hx"), C("gy").alias("hy")), ["tile", "hx", "hy"]).select("tile", "gx", "gy", "hx", "hy")
 
 
-_NODES = "nd AS (SELECT c_custkey % 4 AS frame, (c_custkey // 4) % 5 AS tile, (c_custkey // 20) % 6 + 1 AS gx, (c_custkey // 120) % 5 + 2 AS gy, min(c_acctbal) / 1000 AS c FROM customer GROUP BY ALL)"
+_NODES = "nd AS (SELECT c_custkey % 4 AS frame, (c_custkey // 4) % 5 AS tile, (c_custkey // 20) % 6 + 1 AS gx, (c_custkey // 120) % 5 + 2 AS gy, min(c_acctbal) / 997 AS c FROM customer GROUP BY ALL)"
 _AXIS = "CASE WHEN {v} <= {lo} THEN {lo} WHEN {v} >= {hi} THEN {hi} - 64 WHEN {v} <= least({g1}, greatest({g0}, {v} // 64)) * 64 + 32 THEN least({g1}, greatest({g0}, {v} // 64)) * 64 - 32 ELSE least({g1}, greatest({g0}, {v} // 64)) * 64 + 32 END"
 
 
@@ -72,6 +72,6 @@ SELECT id, round(value - ((c00 + (x - x0) / 64.0 * (c10 - c00)) * (1 - (y - y0)
 def calibrate(spark, sf):
     k, e = C("c_custkey"), C("event_id")
     nodes = table(spark, sf, "customer").select((k % 4).alias("frame"), (F.floor(k / 4) % 5).alias("tile"), (F.floor(k / 20) % 6 + 1).alias("gx"), (F.floor(k / 120) % 5 + 2).alias("gy"), C("c_acctbal"))
-    nodes = nodes.groupBy("frame", "tile", "gx", "gy").agg((F.min("c_acctbal") / 1000).alias("c"))
+    nodes = nodes.groupBy("frame", "tile", "gx", "gy").agg((F.min("c_acctbal") / 997).alias("c"))
     pixels = table(spark, sf, "events").select(e.alias("id"), (e % 4).alias("frame"), (F.floor(e / 4) % 5).alias("tile"), (e * 37 % 512).alias("x"), (e * 91 % 512).alias("y"), "value")
     return upm.evaluate(pixels, nodes).select("id", F.round(C("value") - C("c"), 9).alias("value"))
