@@ -191,7 +191,7 @@ def _incomplete_beta(a: float, b: float, x: float) -> float:
         f *= c * d
         if abs(1 - c * d) < 1e-14:
             break
-    return front * (f - 1) if False else front * f
+    return front * (f - 1)
 
 
 def t_cdf(t: float, nu: float) -> float:
