@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.llm.common import cut, text_or_empty
+from skyloom.llm.common import cut, text_or_empty, unused
 
 
 def _lines(text: Column) -> Column:
@@ -39,7 +39,7 @@ def drop_boilerplate(docs: DataFrame, text_col: str = "text", site_col: str = "s
     The table of dropped lines is written first, so that Spark sees its size: a small one is broadcast, a larger one
     is joined by shuffles, where adaptive execution splits a hot site.
     """
-    site, dropped, name = "__site", "__dropped", count_col or "__count"
+    site, dropped, name = unused(docs, "__site"), unused(docs, "__dropped"), count_col or unused(docs, "__count")
     bad = cut(boilerplate(docs, text_col, site_col, percent, min_pages), "boilerplate").select(F.col("site").alias(site), F.col("dropped").alias(dropped))
     rows = docs.withColumn(site, text_or_empty(site_col)).join(bad, site, "left")
     kept = F.filter(_lines(F.col(text_col)), lambda x: ~F.array_contains(F.col(dropped), _named(x)))

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.llm.common import cut, text_or_empty
+from skyloom.llm.common import cut, text_or_empty, unused
 
 
 @dataclass(frozen=True)
@@ -145,11 +145,11 @@ def mix(docs: DataFrame, labelled: DataFrame, p: Mixing = Mixing(), targets: dic
     fitted, _ = fit(docs, labelled, p, targets, id_col, text_col, domain_col)
     if not fitted.table:
         return docs
-    own = "__post"
+    own, copy = unused(docs, "__post"), unused(docs, "__copy")
     post = memberships(F.col(text_col), fitted.table, p)["post"]
     times = copies(F.coalesce(F.col(id_col).cast("string"), F.col(text_col), F.lit("")), rate(F.col(own), fitted.history))
     # the posterior is computed once, below the explode that repeats rows
-    return docs.withColumn(own, post).withColumn("__copy", F.explode(F.array_repeat(F.lit(0), times))).select(*docs.columns)
+    return docs.withColumn(own, post).withColumn(copy, F.explode(F.array_repeat(F.lit(0), times))).select(*docs.columns)
 
 
 def rates(docs: DataFrame, labelled: DataFrame, p: Mixing = Mixing(), targets: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "lang") -> DataFrame:

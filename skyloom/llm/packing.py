@@ -32,7 +32,7 @@ class Packing:
     capacity: int = 4096
     closing: int = 1
     per_partition: int = 20_000
-    keep_parts: int = 600_000
+    keep_parts: int = 250_000
     max_rounds: int = 12
 
 

@@ -30,8 +30,8 @@ class Mil:
 
     bits: int = 18
     beginning: int = 5
-    max_positive: int = 2500
-    max_negative: int = 5000
+    max_positive: int = 1500
+    max_negative: int = 2500
     max_chars: int = 100_000
     min_docs: int = 4
     min_gain: float = 12.0
@@ -56,7 +56,7 @@ def features(data: np.ndarray, offsets: np.ndarray, p: Mil) -> tuple[np.ndarray,
 def fit(sent: np.ndarray, feat: np.ndarray, doc: np.ndarray, y: np.ndarray, p: Mil) -> np.ndarray:
     """Weights of the features, the bias last. doc is each sentence's document."""
     size = 2 << p.bits
-    pairs = np.unique(doc[sent] * size + feat)
+    pairs = np.unique(doc[sent].astype(np.int64) * size + feat)
     has = lambda rows: np.bincount(pairs[np.isin(pairs // size, rows)] % size, minlength=size).astype(float)
     n1, n0 = max(1, (y == 1).sum()), max(1, (y == 0).sum())
     k1, k0 = has(np.flatnonzero(y == 1)), has(np.flatnonzero(y == 0))
@@ -65,8 +65,8 @@ def fit(sent: np.ndarray, feat: np.ndarray, doc: np.ndarray, y: np.ndarray, p: M
     used = np.flatnonzero((k1 + k0 >= p.min_docs) & (gain > p.min_gain) & (a > b))
     slot = np.full(size, -1)
     slot[used] = np.arange(len(used))
-    one = np.unique(np.stack([sent[slot[feat] >= 0], slot[feat[slot[feat] >= 0]]]), axis=1)
-    at, col = one
+    kept = slot[feat] >= 0
+    at, col = np.divmod(np.unique(sent[kept].astype(np.int64) * size + slot[feat[kept]]), size)
     w, bias = np.full(len(used), 2.0), -8.0
     m, v = np.zeros(len(used) + 1), np.zeros(len(used) + 1)
     for r in range(p.rounds):
@@ -92,7 +92,7 @@ def train(docs: DataFrame, labels: DataFrame, p: Mil = Mil(), id_col: str = "doc
     def run(batches):
         for b in batches:
             data, off = utf8(b.column(1))
-            for i, j in spans(off, 2 << 20):
+            for i, j in spans(off, 1 << 20):
                 s, f, row = features(data[off[i] : off[j]], off[i : j + 1] - off[i], p)
                 owner = row[s] if len(s) else s
                 for k in range(j - i):
@@ -106,9 +106,9 @@ def train(docs: DataFrame, labels: DataFrame, p: Mil = Mil(), id_col: str = "doc
     for k, (s, f) in enumerate(zip(got.column("s").to_pylist(), got.column("f").to_pylist(), strict=True)):
         s = np.frombuffer(s, np.int32)
         count = int(s.max()) + 1 if len(s) else 0
-        sent.append(s.astype(np.int64) + n)
-        feat.append(np.frombuffer(f, np.int32).astype(np.int64))
-        doc.append(np.full(count, k))
+        sent.append(s + np.int32(n))
+        feat.append(np.frombuffer(f, np.int32))
+        doc.append(np.full(count, k, np.int32))
         n += count
     if not n or len(set(got.column("y").to_pylist())) < 2:
         return np.append(np.zeros(2 << p.bits, np.float32), np.float32(-30))
@@ -123,7 +123,7 @@ def scorer(spark, weights: np.ndarray, p: Mil = Mil()):
     def score(text: pa.Array) -> pa.Array:
         w, parts = held.value, []
         data, off = utf8(text.cast(pa.string()))
-        for i, j in spans(off, 2 << 20):
+        for i, j in spans(off, 1 << 20):
             raw, o = data[off[i] : off[j]], off[i : j + 1] - off[i]
             s, f, row = features(raw, o, p)
             z = np.bincount(s, w[f], len(row)) + w[-1] if len(row) else np.zeros(0)

@@ -98,7 +98,7 @@ def parse(raw: bytes) -> dict:
 def write_archives(pages: DataFrame, folder: str, p: Warc = Warc(), id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Write a record per row to gzip archive files under folder; LINE rows. A file has a name of its own for each attempt of a task, and only files of the attempt that succeeded are named in the result."""
     payload = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
-    rows = decide(pages, p, id_col, payload).select(F.col(id_col).cast("long"), F.col(url_col).cast("string"), payload.cast("binary"), "__digest", F.col("__refers").cast("long"), "__n")
+    rows = decide(pages.select(id_col, url_col, html_col), p, id_col, payload).select(F.col(id_col).cast("long"), F.col(url_col).cast("string"), payload.cast("binary"), "__digest", F.col("__refers").cast("long"), "__n")
 
     def run(batches):
         system, base = _open(folder)
