@@ -36,7 +36,7 @@ def fit(obs: DataFrame, rounds: int = 100, tolerance: float = 1e-6, anchor: floa
     ends when no m or c moves by tolerance or more. Each round's small tables are checkpointed.
     """
     obs = cut(obs.join(gauge(obs), "frame"))
-    mean = F.sum(F.col("w") * F.col("v")) / F.sum("w")
+    mean = F.try_divide(F.sum(F.col("w") * F.col("v")), F.sum("w"))
     m = cut(obs.groupBy("control").agg(F.coalesce(mean, F.lit(0.0)).alias("m")))
     c = cut(obs.select("frame", "control").distinct().withColumn("c", F.lit(0.0)))
     for _ in range(rounds):

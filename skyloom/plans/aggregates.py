@@ -129,7 +129,7 @@ def noise_plane(spark, sf):
     cov = {a + b: F.covar_pop(a, b).alias(a + b) for a, b in (("x", "x"), ("y", "y"), ("x", "y"), ("x", "v"), ("y", "v"))}
     s = q.groupBy("frame").agg(F.count("*").alias("n"), *[F.avg(c).alias("m" + c) for c in "xyv"], *cov.values()).where("n >= 4")
     det = C("xx") * C("yy") - C("xy") * C("xy")
-    s = s.withColumn("b", (C("xv") * C("yy") - C("yv") * C("xy")) / det).withColumn("c", (C("yv") * C("xx") - C("xv") * C("xy")) / det)
+    s = s.withColumn("b", F.try_divide(C("xv") * C("yy") - C("yv") * C("xy"), det)).withColumn("c", F.try_divide(C("yv") * C("xx") - C("xv") * C("xy"), det))
     return s.select("frame", _r(C("mv") - C("b") * C("mx") - C("c") * C("my"), 3).alias("a"), _r(C("b"), 3).alias("b"), _r(C("c"), 3).alias("c"))
 
 
@@ -232,12 +232,14 @@ def trimmed_mad(spark, sf):
     return r.where((C("k") >= F.floor(C("n") * 0.1)) & (C("k") < F.floor(C("n") * 0.9))).groupBy("pix").agg(_r(F.avg("r")).alias("scale"))
 
 
-_EDGES = "ed AS (SELECT DISTINCT o_custkey % 400 AS a, 1000 + (o_orderkey * 7919) % 900 AS b FROM orders WHERE o_orderkey % 23 = 0)"
+_EDGES = "ed AS (SELECT c_custkey AS a, 10000000 + c_custkey // 5 AS b FROM customer UNION SELECT c_custkey, 20000000 + (c_custkey + 5) // 10 FROM customer)"
 
 
-@query("a_components", f"WITH RECURSIVE {_EDGES}, e2 AS (SELECT a, b FROM ed UNION SELECT b, a FROM ed), r AS (SELECT a AS id, a AS root FROM e2 UNION SELECT e2.b, r.root FROM r JOIN e2 ON r.id = e2.a WHERE r.root < 1000 OR e2.b > 0) SELECT id, min(root) AS root FROM r GROUP BY id")
+@query("a_components", f"WITH RECURSIVE {_EDGES}, e2 AS (SELECT a, b FROM ed UNION SELECT b, a FROM ed), r AS (SELECT a AS id, a AS root FROM e2 UNION SELECT e2.b, r.root FROM r JOIN e2 ON r.id = e2.a) SELECT id, min(root) AS root FROM r GROUP BY id")
 def components(spark, sf):
     from skyloom.plans.roles import table
 
-    o = table(spark, sf, "orders").where("o_orderkey % 23 = 0")
-    return rb.components(o.select((C("o_custkey") % 400).alias("a"), (C("o_orderkey") * 7919 % 900 + 1000).alias("b")).distinct(), "a", "b")
+    k = C("c_custkey")
+    c = table(spark, sf, "customer")
+    edges = c.select(k.alias("a"), (F.floor(k / 5) + 10_000_000).alias("b")).unionByName(c.select(k.alias("a"), (F.floor((k + 5) / 10) + 20_000_000).alias("b")))
+    return rb.components(edges, "a", "b")

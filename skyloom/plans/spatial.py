@@ -133,11 +133,11 @@ def query_disc(spark, sf):
     return sp.cone_join(pointings(spark, sf), cells, 4.0).select("point_id", "cell")
 
 
-@query("j_coords", """WITH f AS (SELECT o_orderkey AS f, o_custkey AS k FROM orders), i AS (SELECT * FROM (SELECT c_custkey % 1000 AS k, c_acctbal AS exp, row_number() OVER (PARTITION BY c_custkey % 1000 ORDER BY c_custkey DESC) AS r FROM customer WHERE c_custkey % 7 <> 0) WHERE r = 1)
+@query("j_coords", """WITH f AS (SELECT o_orderkey AS f, o_custkey AS k FROM orders), i AS (SELECT * FROM (SELECT c_custkey % 1000 AS k, c_acctbal AS exp, row_number() OVER (PARTITION BY c_custkey % 1000 ORDER BY c_custkey DESC) AS r FROM customer WHERE c_acctbal > 0) WHERE r = 1)
 SELECT f.f, f.k, i.exp FROM f JOIN i ON f.k = i.k""")
 def coords(spark, sf):
     w = Window.partitionBy("k").orderBy(F.col("c_custkey").desc())
-    info = table(spark, sf, "customer").where("c_custkey % 7 <> 0").withColumn("k", F.col("c_custkey") % 1000).withColumn("r", F.row_number().over(w)).where("r = 1").select("k", F.col("c_acctbal").alias("exp"))
+    info = table(spark, sf, "customer").where("c_acctbal > 0").withColumn("k", F.col("c_custkey") % 1000).withColumn("r", F.row_number().over(w)).where("r = 1").select("k", F.col("c_acctbal").alias("exp"))
     return table(spark, sf, "orders").select(F.col("o_orderkey").alias("f"), F.col("o_custkey").alias("k")).join(info, "k").select("f", "k", "exp")
 
 
@@ -170,18 +170,18 @@ def boundary_link(spark, sf):
     return sp.plane_join(a, b, 4.0).where("lid < rid AND lid % 4 <> rid % 4").select(F.col("lid").alias("a"), F.col("rid").alias("b"))
 
 
-@query("j_kvector", f"""WITH {_PLANE}, d AS (SELECT p.lid AS i, q.lid AS j, sqrt((p.x - q.x) ** 2 + (p.y - q.y) ** 2) AS d FROM a p JOIN a q ON p.lid < q.lid WHERE p.lid < 60 AND q.lid < 60), r AS (SELECT s_suppkey AS q, 40.0 + s_suppkey % 50 AS lo, 41.0 + s_suppkey % 50 AS hi FROM supplier WHERE s_suppkey < 50)
+@query("j_kvector", f"""WITH {_PLANE}, d AS (SELECT p.lid AS i, q.lid AS j, sqrt((p.x - q.x) ** 2 + (p.y - q.y) ** 2) AS d FROM a p JOIN a q ON p.lid < q.lid WHERE abs(p.x - q.x) <= 6 AND abs(p.y - q.y) <= 6), r AS (SELECT s_suppkey AS q, (s_suppkey % 50) / 10.0::DOUBLE AS lo, (s_suppkey % 50) / 10.0::DOUBLE + 0.105::DOUBLE AS hi FROM supplier)
 SELECT q, i, j FROM r JOIN d ON d.d >= lo AND d.d <= hi""")
 def kvector(spark, sf):
+    """Pairs of stars whose distance lies in a wanted range."""
     a, _ = _plane(spark, sf)
-    few = a.where("lid < 60")
-    b = few.select(F.col("lid").alias("j"), F.col("x").alias("x2"), F.col("y").alias("y2"))
-    d = few.join(b, F.col("lid") < F.col("j")).select(F.col("lid").alias("i"), "j", F.sqrt((F.col("x") - F.col("x2")) ** 2 + (F.col("y") - F.col("y2")) ** 2).alias("d"))
+    b = a.select(F.col("lid").alias("j"), F.col("x").alias("x2"), F.col("y").alias("y2"))
+    d = sp.plane_join(a, b, 6.0).where("lid < j").select(F.col("lid").alias("i"), "j", F.col("dist").alias("d"))
     s = F.col("s_suppkey")
-    r = table(spark, sf, "supplier").where("s_suppkey < 50").select(s.alias("q"), (s % 50 + 40.0).alias("lo"), (s % 50 + 41.0).alias("hi"))
-    # a range lookup as an equi-join on whole units of distance
-    cells = r.withColumn("c", F.explode(F.sequence(F.floor("lo"), F.floor("hi"))))
-    return cells.join(d.withColumn("c", F.floor("d")), "c").where("d >= lo AND d <= hi").select("q", "i", "j")
+    r = table(spark, sf, "supplier").select(s.alias("q"), (s % 50 / F.lit(10.0)).alias("lo"), (s % 50 / F.lit(10.0) + 0.105).alias("hi"))
+    # a range lookup as an equi-join on tenths of the unit
+    cells = r.withColumn("c", F.explode(F.sequence(F.floor(F.col("lo") * 10), F.floor(F.col("hi") * 10))))
+    return cells.join(d.withColumn("c", F.floor(F.col("d") * 10)), "c").where("d >= lo AND d <= hi").select("q", "i", "j")
 
 
 @query("j_footprint", f"""WITH g AS (SELECT i % 100 AS gx, i // 100 AS gy FROM range(0, 10000) t(i)), q AS (SELECT c_custkey AS id, (c_custkey * 37 % 90)::DOUBLE AS x, (c_custkey * 91 % 90)::DOUBLE AS y FROM customer)
