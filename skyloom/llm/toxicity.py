@@ -30,8 +30,8 @@ class Mil:
 
     bits: int = 18
     beginning: int = 5
-    max_positive: int = 1500
-    max_negative: int = 2500
+    max_positive: int = 1000
+    max_negative: int = 1600
     max_chars: int = 100_000
     min_docs: int = 4
     min_gain: float = 12.0
