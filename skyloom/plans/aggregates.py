@@ -68,9 +68,9 @@ def _tiles(spark, sf):
 
 
 @query("a_hierarchy", f"""{_TILES}, e AS (SELECT l, tile >> (2 * l) AS tile, signal * support * 0.25 AS flux, support * 0.25 AS area FROM t, (SELECT unnest([1, 2, 3, 4]) AS l)), u AS (SELECT l, tile, sum(flux) AS flux, sum(area) AS area FROM e GROUP BY ALL)
-SELECT l AS level, tile, round(flux / area, 9) AS signal, round(least(1, area / (4.0::DOUBLE ** l * 0.25)), 6) AS support FROM u""")
+SELECT l AS level, tile, round(flux / area, 9) AS signal, round(least(1, area / (4.0::DOUBLE ** l * 0.25)), 9) AS support FROM u""")
 def hierarchy(spark, sf):
-    return rb.hierarchy(_tiles(spark, sf), "tile", 4, 0.25).select("level", "tile", _r(C("signal"), 9).alias("signal"), _r(C("support")).alias("support"))
+    return rb.hierarchy(_tiles(spark, sf), "tile", 4, 0.25).select("level", "tile", _r(C("signal"), 9).alias("signal"), _r(C("support"), 9).alias("support"))
 
 
 @query("a_ud_grade", f"{_TILES} SELECT tile >> 4 AS tile, round(avg(signal), 9) AS signal FROM t GROUP BY ALL")
