@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 PARTITION = "region"
 
 
-def write_tiles(tiles: DataFrame, path: str, tile: str = "tile", levels: int = 3, mode: str = "overwrite") -> None:
+def write_tiles(tiles: DataFrame, path: str, tile: str = "tile", levels: int = 5, mode: str = "overwrite") -> None:
     """tiles under path, in folders of the ancestor `levels` up and sorted by tile inside."""
     region = F.shiftright(F.col(tile), 2 * levels)
     tiles.withColumn(PARTITION, region).repartition(PARTITION).sortWithinPartitions(PARTITION, tile).write.mode(mode).partitionBy(PARTITION).parquet(path)
 
 
-def read_tiles(spark: SparkSession, path: str, wanted: list[int] | None = None, tile: str = "tile", levels: int = 3) -> DataFrame:
+def read_tiles(spark: SparkSession, path: str, wanted: list[int] | None = None, tile: str = "tile", levels: int = 5) -> DataFrame:
     """All tiles, or the wanted ones: by partition, then by the statistics of the files."""
     t = spark.read.parquet(path)
     if wanted is not None:
