@@ -4,7 +4,8 @@ A naive-Bayes table over hashed words, counted on labelled rows, gives each docu
 Nonnegative rates r_i are then fitted so that sum_i tokens_i * p_id * r_i meets the target of each domain d, by
 projected gradient on least squares: with totals n_d = sum_i tokens_i * p_id and residuals
 e_d = (sum_i tokens_i * p_id * r_i) / n_d - target_d / n_d, a step is r_i <- max(0, r_i - sum_d p_id * e_d). Rows of p sum to
-one, so a step of 1 converges. A rate depends on its row's posterior and the residuals so far alone; each round
+one, so a step of 1 converges. Without given targets no rate is below 1: goals rise until the fit needs none, and steps
+end at 1 instead of 0. A rate depends on its row's posterior and the residuals so far alone; each round
 is one aggregate of as many sums as there are domains over a narrow table.
 """
 
@@ -21,13 +22,14 @@ from skyloom.llm.common import cut, text_or_empty, unused
 
 @dataclass(frozen=True)
 class Mixing:
-    """max_labelled bounds the labelled rows of the classifier. evidence: how many words a text counts as at most, which keeps memberships soft. power: default targets are shares to this power, raised so that no domain shrinks."""
+    """max_labelled bounds the labelled rows of the classifier. evidence: how many words a text counts as at most, which keeps memberships soft. power: default targets are shares to this power, raised so that no document shrinks; growth: by so much at most beyond the least total at which no domain shrinks."""
 
     buckets: int = 2048
     max_labelled: int = 5000
     evidence: float = 8.0
     smoothing: float = 0.5
     power: float = 0.7
+    growth: float = 2.0
     rounds: int = 40
     tolerance: float = 1e-3
     max_domains: int = 64
@@ -90,14 +92,14 @@ def memberships(text: Column, table: dict[str, tuple[float, list[float]]], p: Mi
     return _let(_words(F.coalesce(text.cast("string"), F.lit(""))), of)
 
 
-def rate(post: Column, history: list[list[float]]) -> Column:
-    """r after the rounds whose residuals are given."""
+def rate(post: Column, history: list[list[float]], floor: float = 0.0) -> Column:
+    """r after the rounds whose residuals are given, floor or more."""
     if not history:
         return F.lit(1.0)
     width = len(history[0])
     steps = F.transform(F.sequence(F.lit(0), F.lit(len(history) - 1)), lambda k: F.slice(_numbers([v for e in history for v in e]), k * width + 1, width))
     dot = lambda e: sum((post[i] * e[i] for i in range(width)), F.lit(0.0))
-    return F.aggregate(steps, F.lit(1.0), lambda r, e: F.greatest(F.lit(0.0), r - dot(e)))
+    return F.aggregate(steps, F.lit(1.0), lambda r, e: F.greatest(F.lit(floor), r - dot(e)))
 
 
 @dataclass(frozen=True)
@@ -107,6 +109,7 @@ class Fitted:
     targets: list[float]
     history: list[list[float]]
     reached: list[float]
+    floor: float = 0.0  # no rate is below
 
 
 def fit(docs: DataFrame, labelled: DataFrame, p: Mixing = Mixing(), targets: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "lang") -> tuple[Fitted, DataFrame]:
@@ -122,15 +125,27 @@ def fit(docs: DataFrame, labelled: DataFrame, p: Mixing = Mixing(), targets: dic
     weight = [w / sum(weight) for w in weight]
     total = sum(n) if targets else max(x / w for x, w in zip(n, weight, strict=True))
     goal = [w * total for w in weight]
-    history: list[list[float]] = []
-    got = n
-    while len(history) < p.rounds:
-        e = [(g - t) / x for g, t, x in zip(got, goal, n, strict=True)]
-        if max(abs(v) for v in e) < p.tolerance:
-            break
-        history.append(e)
-        got = gathered(rate(F.col("post"), history))
-    return Fitted(table, n, goal, history, got), rows
+
+    def descend(goal: list[float], floor: float) -> tuple[list[list[float]], list[float]]:
+        history: list[list[float]] = []
+        got = n
+        while len(history) < p.rounds:
+            e = [(g - t) / x for g, t, x in zip(got, goal, n, strict=True)]
+            if max(abs(v) for v in e) < p.tolerance:
+                break
+            history.append(e)
+            got = gathered(rate(F.col("post"), history, floor))
+        return history, got
+
+    history, got = descend(goal, 0.0)
+    if targets:
+        return Fitted(table, n, goal, history, got), rows
+    # soft memberships of repeated documents fill the largest domain beyond its goal, so its own documents would shrink
+    least = rows.agg(F.min(rate(F.col("post"), history))).first()[0]
+    if least is not None and least < 1:
+        goal = [g * min(p.growth, 1 / max(least, 1e-9)) for g in goal]
+        history, got = descend(goal, 1.0)
+    return Fitted(table, n, goal, history, got, 1.0), rows
 
 
 def copies(key: Column, r: Column) -> Column:
@@ -147,7 +162,7 @@ def mix(docs: DataFrame, labelled: DataFrame, p: Mixing = Mixing(), targets: dic
         return docs
     own, copy = unused(docs, "__post"), unused(docs, "__copy")
     post = memberships(F.col(text_col), fitted.table, p)["post"]
-    times = copies(F.coalesce(F.col(id_col).cast("string"), F.col(text_col), F.lit("")), rate(F.col(own), fitted.history))
+    times = copies(F.coalesce(F.col(id_col).cast("string"), F.col(text_col), F.lit("")), rate(F.col(own), fitted.history, fitted.floor))
     # the posterior is computed once, below the explode that repeats rows
     return docs.withColumn(own, post).withColumn(copy, F.explode(F.array_repeat(F.lit(0), times))).select(*docs.columns)
 
@@ -157,6 +172,6 @@ def rates(docs: DataFrame, labelled: DataFrame, p: Mixing = Mixing(), targets: d
     fitted, rows = fit(docs, labelled, p, targets, id_col, text_col, domain_col)
     names = F.array(*[F.lit(d) for d in fitted.table]) if fitted.table else F.array().cast("array<string>")
     best = F.get(names, (F.array_position("post", F.array_max("post")) - 1).cast("int"))
-    r = rate(F.col("post"), fitted.history)
+    r = rate(F.col("post"), fitted.history, fitted.floor)
     out = rows.select("doc_id", "tokens", best.alias("domain"), F.array_max("post").alias("membership"), r.alias("rate"))
     return out.withColumn("copies", copies(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("rate")))
