@@ -4,11 +4,14 @@ A softmax regression over hashed word n-grams is trained on varied notices of ea
 corpus that resemble none of them. A temperature fitted on held-out examples makes its probabilities honest; a
 paragraph is `unknown` below the probability that at most `false_share` of held-out background paragraphs reach. What
 passes is compared with the family's templates: the share of a template's words that the paragraph has in order.
+Lines are judged one by one, and once more joined up to the next line without words, since notices are wrapped over
+lines and stand behind comment marks.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,9 +31,9 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     "CC0-1.0": ("To the extent possible under law, the author has waived all copyright and related rights to this work.", "Dedicated to the public domain under CC0 1.0."),
-    "GPL-2.0": ("This work is licensed under the GNU General Public License, version 2.", "under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License"),
-    "GPL-3.0": ("This work is licensed under the GNU General Public License, version 3.", "under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License"),
-    "LGPL-3.0": ("This library is licensed under the GNU Lesser General Public License, version 3.", "under the terms of the GNU Lesser General Public License"),
+    "GPL-2.0": ("This work is licensed under the GNU General Public License, version 2.", "under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License"),
+    "GPL-3.0": ("This work is licensed under the GNU General Public License, version 3.", "under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License"),
+    "LGPL-3.0": ("This library is licensed under the GNU Lesser General Public License, version 3.", "under the terms of the GNU Lesser General Public License", "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License"),
     "MIT": ("Released under the MIT License.", "Licensed under the MIT license.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
     "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Licensed under the Mozilla Public License 2.0."),
 }
@@ -66,16 +69,19 @@ class Model:
     threshold: float
 
 
-def _windows(data: np.ndarray, offsets: np.ndarray, p: Licenses):
-    """Word starts, ends and hashes; and for each window its first and last word and its row. A window lies in one line."""
+def _windows(data: np.ndarray, offsets: np.ndarray, p: Licenses, joined: bool = False):
+    """Word starts, ends and hashes; and for each window its first and last word and its row. A window lies in one line; with joined, in one run of several lines that have words."""
     s, e, row = runs(data, offsets, _APART)
     if not len(s):
         z = np.zeros(0, np.int64)
         return s, e, np.zeros(0, np.uint64), z, z, z
     line = np.concatenate([[0], np.cumsum(data == 10)])[s]
-    new = np.concatenate([[True], (line[1:] != line[:-1]) | (row[1:] != row[:-1])])
+    new = np.concatenate([[True], (line[1:] - line[:-1] > int(joined)) | (row[1:] != row[:-1])])
     first = np.flatnonzero(new)
     count = np.diff(np.append(first, len(s)))
+    if joined:
+        several = line[first] != line[first + count - 1]
+        first, count = first[several], count[several]
     half = p.window // 2
     parts = np.maximum(1, -(-(count - half) // half))
     w0 = np.repeat(first, parts) + half * (np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts))
@@ -188,11 +194,25 @@ def train(docs: DataFrame, p: Licenses = Licenses(), text_col: str = "text") ->
     return Model(full, bias, float(temperature), min(threshold, 0.99))
 
 
+def _judged(m: Model, raw: np.ndarray, s: np.ndarray, e: np.ndarray, h: np.ndarray, w0: np.ndarray, w1: np.ndarray, row: np.ndarray, p: Licenses):
+    """(row, start, stop, family, probability, similarity) of the licence-like windows; the family is None where it isn't confirmed."""
+    if not len(w0):
+        return
+    q = _softmax(_logits(m, h, w0, w1, p) / m.temperature)
+    top = q[:, :-1].argmax(axis=1)
+    for k in np.flatnonzero(q[:, -1] < 0.5).tolist():
+        prob, family = float(q[k, top[k]]), FAMILIES[top[k]]
+        a, z = int(s[w0[k]]), int(e[w1[k] - 1])
+        alike = similarity(re.findall(r"[a-z0-9]+", raw[a:z].tobytes().decode(errors="replace").lower()), family)
+        yield int(row[k]), a, z, None if prob < m.threshold or alike < p.min_similarity else family, prob, alike
+
+
 def scan(docs: DataFrame, model: Model, p: Licenses = Licenses(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """RESULT for every row: the likeliest confirmed family and its place in characters, and all confirmed families.
 
-    n_unknown counts windows that the model finds licence-like but that are below the threshold or unlike every
-    template of their family. Null, empty and wordless texts have no paragraphs and null families; repeated rows and
+    n_paragraphs counts windows of single lines. n_licensed counts these, and joined ones without a confirmed line of
+    their family. n_unknown counts windows that the model finds licence-like but that are below the threshold or unlike
+    every template of their family, unless a window of the other kind over the same words is counted. Null, empty and wordless texts have no paragraphs and null families; repeated rows and
     null ids stay as they are.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)  # its size is a parameter
@@ -208,24 +228,35 @@ def scan(docs: DataFrame, model: Model, p: Licenses = Licenses(), id_col: str =
                 rows = [[0, 0, 0, None, None, None, None, None, []] for _ in range(j - i)]
                 for r, n in enumerate(np.bincount(row, minlength=j - i).tolist()):
                     rows[r][0] = n
-                if len(w0):
-                    q = _softmax(_logits(m, h, w0, w1, p) / m.temperature)
-                    top = q[:, :-1].argmax(axis=1)
-                    for k in np.flatnonzero(q[:, -1] < 0.5).tolist():
-                        out, prob = rows[row[k]], float(q[k, top[k]])
-                        a, z = int(s[w0[k]]), int(e[w1[k] - 1])
-                        family = FAMILIES[top[k]]
-                        alike = similarity(re.findall(r"[a-z0-9]+", raw[a:z].tobytes().decode(errors="replace").lower()), family)
-                        if prob < m.threshold or alike < p.min_similarity:
-                            out[2] += 1
-                            continue
-                        out[1] += 1
-                        if family not in out[8]:
-                            out[8].append(family)
-                        if out[3] is None or (prob, alike) > (out[4], out[5]):
-                            zero = o[row[k]]
-                            chars = lambda x: int(((raw[zero:x] & 0xC0) != 0x80).sum())  # noqa: B023, E731
-                            out[3:8] = [family, prob, alike, chars(a), chars(z)]
+                flagged: list[tuple[int, int, int, str | None]] = []  # windows of single lines, in order
+                sure: list[tuple[int, int]] = []  # confirmed joined windows
+
+                def note(r, a, z, family, prob, alike):
+                    out = rows[r]  # noqa: B023
+                    out[1] += 1
+                    if family not in out[8]:
+                        out[8].append(family)
+                    if out[3] is None or (prob, alike) > (out[4], out[5]):
+                        chars = lambda x: int(((raw[o[r] : x] & 0xC0) != 0x80).sum())  # noqa: B023, E731
+                        out[3:8] = [family, prob, alike, chars(a), chars(z)]
+
+                for r, a, z, family, prob, alike in _judged(m, raw, s, e, h, w0, w1, row, p):
+                    if family:
+                        note(r, a, z, family, prob, alike)
+                    flagged.append((a, z, r, family))
+                _, _, _, j0, j1, jrow = _windows(raw, o, p, joined=True)
+                begins = [x[0] for x in flagged]
+                for r, a, z, family, prob, alike in _judged(m, raw, s, e, h, j0, j1, jrow, p):
+                    inside = [x for x in flagged[bisect_left(begins, a) : bisect_left(begins, z)] if x[1] <= z]
+                    if family:
+                        sure.append((a, z))
+                        if family not in [x[3] for x in inside]:
+                            note(r, a, z, family, prob, alike)
+                    elif not inside:
+                        rows[r][2] += 1
+                for a, z, r, family in flagged:
+                    if not family and not any(x <= a and z <= y for x, y in sure):
+                        rows[r][2] += 1
                 cols = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
                 yield pa.record_batch([b.column(0).slice(i, j - i), *cols], ["doc_id", "n_paragraphs", "n_licensed", "n_unknown", "family", "probability", "similarity", "start", "stop", "families"])
 
