@@ -1,13 +1,15 @@
 """I-Match fingerprints.
 
-Terms are lower-cased words; a term's document frequency is counted over all documents in a hashed lexicon of fixed
-size. A document keeps its distinct terms whose frequency lies in a band: not so common that all share them. Several
-randomised lexicons each hold a random part of all terms; for each, the document's terms in it are sorted and hashed.
-
-A lexicon that holds a fixed part of the terms suits one length of text. Each randomised lexicon is therefore nested:
-level l holds a 2**-l part of its terms. A document uses the two levels at which about `terms` and half as many of its
-terms are left, so a small edit leaves many hashes as they were, at any length. Likeness is the share of equal hashes
-among those of common levels that stand for at least one term in one of the two documents.
+Terms are lower-cased words. Their document frequencies are counted over all documents, and the lexicon is the band of
+terms that stand in a share `rare` to `common` of them: below are misspellings, names and numbers, above the words that
+all texts share. Since a term of the band stands in `rare` of all documents at least, the lexicon has at most (distinct
+terms a document) / rare terms, whatever the input.
+
+Randomised lexicons are subsets of it. There are `lexicons` random orders of the terms; of each, level l keeps a share
+`keep` / 2**l, so level 0 keeps most of the lexicon, as I-Match with random lexicons does. A fingerprint has, for each of
+these lexicons, the hash of all sorted distinct terms of the document that it holds. A large lexicon tells copies and
+small edits, and changes with any longer edit; the smaller ones resolve those. Likeness is the largest share of equal
+hashes that a level has, of levels at which at least half of the lexicons hold a term of one of the two documents.
 """
 
 from __future__ import annotations
@@ -24,84 +26,125 @@ from skyloom.llm.common import U64, mix, spans, tasks, text_or_empty, utf8
 from skyloom.llm.words import word_bounds, word_hashes
 
 BYTES_AT_ONCE = 2 << 20
+NONE = "----"
 
 
 @dataclass(frozen=True)
 class IMatch:
-    """bits: the lexicon has 2**bits hashed terms. rarest: least document frequency of the band. common: its top, as a share of all documents. lexicons: how many. terms: expected terms of a document in the lexicon of its level."""
+    """rare, common: the band of document frequency, as shares of all documents; a term of a single document is never in it. lexicons: random orders. levels, keep: sizes of the lexicons of each. max_terms: a larger lexicon is an error, since every task holds it."""
 
-    bits: int = 18
-    rarest: int = 1
+    rare: float = 0.0005
     common: float = 0.02
-    lexicons: int = 32
-    terms: float = 0.5
+    lexicons: int = 12
+    levels: int = 10
+    keep: float = 2 / 3
+    max_terms: int = 1 << 22
     seed: int = 11
 
 
-def _terms(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
-    """The distinct term hashes of each row."""
+def _terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct term hashes with their rows, in the order of (row, hash)."""
     s, e, row = word_bounds(data, offsets)
     h = word_hashes(data, s, e)
-    at = np.searchsorted(row, np.arange(len(offsets)))
-    return [np.unique(h[at[i] : at[i + 1]]) for i in range(len(offsets) - 1)]
+    at = np.lexsort((h, row))
+    h, row = h[at], row[at]
+    first = np.ones(len(h), bool)
+    first[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
+    return h[first], row[first]
 
 
-def document_frequency(docs: DataFrame, p: IMatch, text_col: str = "text") -> tuple[np.ndarray, int]:
-    """Documents for each hashed term, over all rows, and the number of rows. 2**bits numbers, whatever the input."""
+def document_frequency(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(term, n): documents that each term, by its hash, stands in; over all rows."""
 
     def run(batches):
-        seen, rows = np.zeros(1 << p.bits, np.int64), 0
+        terms, counts = [], []
+
+        def merged():
+            t, at = np.unique(np.concatenate(terms), return_inverse=True)
+            return t, np.bincount(at, np.concatenate(counts)).astype(np.int64)
+
         for b in batches:
             data, off = utf8(b.column(0))
-            rows += b.num_rows
             for i, j in spans(off, BYTES_AT_ONCE):
-                slots = [np.unique(x >> U64(64 - p.bits)) for x in _terms(data[off[i] : off[j]], off[i : j + 1] - off[i])]
-                seen += np.bincount(np.concatenate(slots).astype(np.int64), minlength=1 << p.bits)
-        used = np.flatnonzero(seen)
-        yield pa.record_batch([pa.array(np.append(used, -1)), pa.array(np.append(seen[used], rows))], ["slot", "n"])
-
-    counts = docs.select(text_or_empty(text_col).alias("text")).mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    slot, n = counts.column("slot").to_numpy(), counts.column("n").to_numpy()
-    df = np.zeros(1 << p.bits, np.int64)
-    df[slot[slot >= 0]] = n[slot >= 0]
-    return df, int(n[slot < 0].sum())
-
-
-def fingerprint(terms: np.ndarray, band: np.ndarray, p: IMatch) -> str:
-    """level, then the hashes of that level and of the next, each of 5 hex digits, "-----" where no term is left. Without terms "", without terms in the band all terms count."""
-    if not len(terms):
-        return ""
-    kept = terms[band[(terms >> U64(64 - p.bits)).astype(np.int64)]]
-    kept = kept if len(kept) else terms
-    level = max(0, int(np.floor(np.log2(len(kept) / p.terms))))
-    out = []
-    with np.errstate(over="ignore"):
-        own = mix(kept[None, :] ^ mix(np.arange(1, p.lexicons + 1, dtype=np.uint64) + U64(p.seed << 32))[:, None])  # a term's place in each lexicon
-        name = mix(own * U64(0x9E3779B97F4A7C15) + U64(1))
-        for at in (level, level + 1):
-            inside = (own >> U64(64 - at)) == 0 if at else np.ones(own.shape, bool)
-            # terms are distinct and in order, so a sum of their mixed names stands for the sorted list
-            total = mix(np.where(inside, name, U64(0)).sum(axis=1, dtype=np.uint64)) >> U64(44)
-            some = inside.any(axis=1)
-            out += [f"{int(v):05x}" if x else "-----" for v, x in zip(total, some, strict=True)]
-    return f"{level:02d}" + "".join(out)
+                t, n = np.unique(_terms(data[off[i] : off[j]], off[i : j + 1] - off[i])[0], return_counts=True)
+                terms.append(t)
+                counts.append(n)
+                if sum(len(x) for x in terms[1:]) > 1 << 20:
+                    t, n = merged()
+                    terms, counts = [t], [n]
+                    if len(t) > 1 << 21:  # what a task holds is bounded
+                        yield pa.record_batch([pa.array(t.view(np.int64)), pa.array(n)], ["term", "n"])
+                        terms, counts = [], []
+        if terms:
+            t, n = merged()
+            yield pa.record_batch([pa.array(t.view(np.int64)), pa.array(n)], ["term", "n"])
+
+    return docs.select(text_or_empty(text_col).alias("text")).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+
+
+def lexicon(docs: DataFrame, p: IMatch = IMatch(), text_col: str = "text") -> np.ndarray:
+    """The sorted hashes of the band's terms."""
+    rows = docs.count()
+    band = document_frequency(docs, text_col).where(F.col("n").between(max(2.0, p.rare * rows), max(2.0, p.common * rows))).select("term")
+    got = band.limit(p.max_terms + 1).toArrow().column("term").to_numpy()
+    if len(got) > p.max_terms:
+        raise ValueError(f"more than {p.max_terms} terms in the band; raise rare")
+    return np.sort(got.astype(np.int64).view(np.uint64))
+
+
+def fingerprints(data: np.ndarray, offsets: np.ndarray, held: np.ndarray, p: IMatch) -> list[str]:
+    """For each row lexicons * levels hashes of 4 hex digits, level by level, NONE where a lexicon holds none of its terms.
+
+    A document without a term of the band has "=" and a hash of its whole text, so it is like equal texts alone.
+    """
+    rows = len(offsets) - 1
+    t, row = _terms(data, offsets)
+    if len(held):
+        at = np.minimum(np.searchsorted(held, t), len(held) - 1)
+        t, row = t[held[at] == t], row[held[at] == t]
+    else:
+        t, row = t[:0], row[:0]
+    first = np.searchsorted(row, np.arange(rows))
+    some = np.bincount(row, minlength=rows) > 0
+    edge = first[some]
+    out = np.full((p.levels, p.lexicons, rows), NONE, "U4")
+    limits = [U64(int(p.keep * 2.0**-level * 2.0**64)) for level in range(p.levels)]
+    digits = np.array([f"{v:04x}" for v in range(1 << 16)])
+    for k in range(p.lexicons):
+        with np.errstate(over="ignore"):
+            place = mix(t ^ mix(np.array([p.seed * 1000 + k + 1], np.uint64))[0])  # a term's place in this order
+            name = mix(place * U64(0x9E3779B97F4A7C15) + U64(1))
+            for level, limit in enumerate(limits):
+                inside = place < limit
+                if not inside.any():
+                    break
+                # terms are distinct and sorted, so a sum of their mixed names stands for the sorted list
+                total = mix(np.add.reduceat(np.where(inside, name, U64(0)), edge)) >> U64(48)
+                any_in = np.logical_or.reduceat(inside, edge)
+                out[level, k, some] = np.where(any_in, digits[total.astype(np.int64)], NONE)
+    joined = ["".join(x) for x in out.reshape(-1, rows).T.tolist()]
+    return [joined[i] if some[i] else "=" + hashlib.sha256(data[offsets[i] : offsets[i + 1]].tobytes()).hexdigest()[:32] for i in range(rows)]
 
 
 def likeness(a: str, b: str, p: IMatch) -> float:
-    """Share of equal hashes of common levels, of those that stand for a term. Equal fingerprints have 1."""
+    """The largest share of equal hashes of a level, of those at which half of the lexicons hold a term; of the first level where none is so. Equal fingerprints have 1."""
     if a == b:
         return 1.0
-    if not a or not b:
+    if a[:1] == "=" or b[:1] == "=":
         return 0.0
-    equal = told = 0
-    la, lb = int(a[:2]), int(b[:2])
-    for level in {la, la + 1} & {lb, lb + 1}:
-        x, y = a[2 + (level - la) * 5 * p.lexicons :], b[2 + (level - lb) * 5 * p.lexicons :]
-        for k in range(0, 5 * p.lexicons, 5):
-            if x[k : k + 5] != "-----" or y[k : k + 5] != "-----":
+    width = 4 * p.lexicons
+    best = 0.0
+    for level in range(p.levels):
+        x, y = a[level * width : (level + 1) * width], b[level * width : (level + 1) * width]
+        told = equal = 0
+        for k in range(0, width, 4):
+            u, v = x[k : k + 4], y[k : k + 4]
+            if u != NONE or v != NONE:
                 told += 1
-                equal += x[k : k + 5] == y[k : k + 5]
-    return equal / told if told else 0.0
+                equal += u == v
+        if equal and (2 * told >= p.lexicons or level == 0):
+            best = max(best, equal / told)
+    return best
 
 
 def _with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -138,17 +181,16 @@ def _with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def edited_fingerprints(docs: DataFrame, p: IMatch = IMatch(), id_col: str = "doc_id", text_col: str = "text", share: int = 4) -> DataFrame:
     """For every row its fingerprint and that of the edited text, whose last floor(n/share) characters are replaced by the first as many of the next row by id.
 
-    Null and empty texts have the empty fingerprint. Rows of equal id follow one another in the order of a hash of
+    Null, empty and wordless texts have the fingerprint of a text without terms of the band. Rows of equal id follow one another in the order of a hash of
     their texts; a null id comes first. A single row is its own next. An empty table gives an empty result.
     """
-    df, rows = document_frequency(docs, p, text_col)
-    held = docs.sparkSession.sparkContext.broadcast((df >= p.rarest) & (df <= max(p.rarest, p.common * rows)))  # 2**bits flags
+    held = docs.sparkSession.sparkContext.broadcast(lexicon(docs, p, text_col))  # at most max_terms hashes
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
     def made(texts: list[str]) -> list[str]:
         raw = [x.encode() for x in texts]
         off = np.concatenate([[0], np.cumsum([len(x) for x in raw])])
-        return [fingerprint(x, held.value, p) for x in _terms(np.frombuffer(b"".join(raw), np.uint8), off)]
+        return fingerprints(np.frombuffer(b"".join(raw), np.uint8), off, held.value, p)
 
     def told(rows: list[tuple[int | None, str, str]]) -> pa.RecordBatch:
         """Of rows with the part of the next text that they need; the last one is a successor only, and its own text whole."""
@@ -174,9 +216,9 @@ def edited_fingerprints(docs: DataFrame, p: IMatch = IMatch(), id_col: str = "do
                 t = t.as_py()
                 held_rows.append((part, i, t))
                 size += len(t)
-                if len(held_rows) > 1 and (place or size > BYTES_AT_ONCE):
+                if len(held_rows) > 1 and (place or size > BYTES_AT_ONCE or len(held_rows) > 4096):
                     yield out()
                     held_rows, size = ([] if place else held_rows[-1:]), 0 if place else len(t)
 
-    laid = _with_next(docs, id_col, text_col).repartition(tasks(docs.sparkSession), "part").sortWithinPartitions("part", "place", "id", F.xxhash64("text"))
+    laid = _with_next(docs, id_col, text_col).repartitionById(tasks(docs.sparkSession), F.col("part")).sortWithinPartitions("part", "place", "id", F.xxhash64("text"))
     return laid.mapInArrow(run, schema)
