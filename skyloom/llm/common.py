@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -18,17 +19,34 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     """A new folder name under spark.checkpoint.dir; where that is unset (tests), under a temporary folder."""
     base = spark.conf.get(CHECKPOINT, None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError(f"{CHECKPOINT} must name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="skyloom-")
         spark.conf.set(CHECKPOINT, base)
     return f"{base.rstrip('/')}/skyloom/{label}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame, label: str) -> DataFrame:
-    """Write df to the shared folder and read it back: lineage ends there, and no executor's loss undoes it."""
+_OPEN: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables that `cut` writes inside are deleted at the end; a result must be cut after it, or be read by then."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN.pop():
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def cut(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
+    """Write df to the shared folder and read it back: lineage ends there, and no executor's loss undoes it. keep: beyond the enclosing scratch."""
     spark = df.sparkSession
     path = shared_dir(spark, label)
+    if _OPEN and not keep:
+        _OPEN[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
