@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -307,7 +307,7 @@ FEATURES = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string
 
 
 def features(media: DataFrame) -> DataFrame:
-    """FEATURES of (doc_id, n_bytes, media): what the images' markers and thumbnails say. A sequence of images counts as one image, its thumbnails one below another. Media that isn't baseline JPEG has null features; null media too."""
+    """FEATURES of (doc_id, n_bytes, media): what the images' markers and thumbnails say. A sequence of images counts as one image, its thumbnails one below another. Media that isn't baseline JPEG or whose scan is damaged has null features; null media too. Repeated rows have equal features, an empty table has none."""
 
     def one(raw, scans, images):
         y = np.concatenate(images)
@@ -326,6 +326,16 @@ def features(media: DataFrame) -> DataFrame:
             return []
         return got
 
+    def rows_of(raws: list[bytes], of: list[list[Scan]]) -> list[list]:
+        base = np.concatenate([[0], np.cumsum([len(x) for x in raws])]).tolist()
+        scans = [replace(s, data=(s.data[0] + k, s.data[1] + k)) for k, got in zip(base, of, strict=False) for s in got]
+        try:
+            images = iter(decode(b"".join(raws), scans)) if scans else iter(())
+        except (ValueError, IndexError, KeyError, TypeError):  # a damaged scan: halves, so that the others keep their features
+            half = len(raws) // 2
+            return rows_of(raws[:half], of[:half]) + rows_of(raws[half:], of[half:]) if half else [[None] * 9]
+        return [one(x, got, [next(images) for _ in got]) if got else [None] * 9 for x, got in zip(raws, of, strict=True)]
+
     def run(batches):
         fields = FEATURES.replace(",", "").split()[::2]
         for b in batches:
@@ -333,16 +343,7 @@ def features(media: DataFrame) -> DataFrame:
             off = np.concatenate([[0], np.cumsum([len(x or b"") for x in media])])
             for i, j in spans(off, BYTES_AT_ONCE):
                 raws = [x or b"" for x in media[i:j]]
-                base = np.concatenate([[0], np.cumsum([len(x) for x in raws])])
-                scans, of = [], []
-                for k, x in enumerate(raws):
-                    got = scans_of(x, k)
-                    of.append(got)
-                    for s in got:
-                        s.data = (s.data[0] + int(base[k]), s.data[1] + int(base[k]))
-                    scans += got
-                images = iter(decode(b"".join(raws), scans)) if scans else iter(())
-                rows = [one(x, got, [next(images) for _ in got]) if got else [None] * 9 for x, got in zip(raws, of, strict=True)]
+                rows = rows_of(raws, [scans_of(x, k) for k, x in enumerate(raws)])
                 cols = [b.column(0).slice(i, j - i), b.column(1).slice(i, j - i), *(pa.array(c) for c in zip(*rows, strict=True))]
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
                 yield pa.record_batch([c.cast(t) for c, t in zip(cols, kinds, strict=True)], fields)
