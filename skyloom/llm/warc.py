@@ -5,8 +5,9 @@ lie in compressed blocks of shard files (first level), and a sparse directory ha
 (second level). A lookup bisects the directory, reads the byte ranges of the blocks that can hold its key, bisects
 their lines, and reads the byte ranges of the records. Files are opened through pyarrow's file systems, by URI.
 
-The directory has `max_blocks` entries and one per shard at most, whatever the size of the crawl, with keys of at most
-`key_chars` characters; that bound is why lookups may hold it whole. Blocks grow instead.
+The directory has `max_blocks` entries and one per shard at most, whatever the size of the crawl; that bound is why
+lookups may hold it whole. Blocks grow instead. A block's entry is the shortest string that parts its first key from the
+last key before it, so URLs that share a long path are told apart and entries stay short; `key_chars` bounds them.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ class Warc:
     file_bytes: int = 64 << 20
     block_lines: int = 256
     max_blocks: int = 65_536
-    key_chars: int = 96
+    key_chars: int = 1024
     read_bytes: int = 1 << 20
 
 
@@ -137,6 +138,7 @@ def write_index(lines: DataFrame, folder: str, p: Warc = Warc()) -> DataFrame:
 
     def run(batches):
         system, base = _open(folder)
+        before = None
         name, out, at, number, held = f"{TaskContext.get().partitionId():07d}-{uuid.uuid4().hex}.idx", None, 0, 0, []  # names sort as keys do
         for b in chain(batches, [None]):
             if b is not None:
@@ -148,8 +150,8 @@ def write_index(lines: DataFrame, folder: str, p: Warc = Warc()) -> DataFrame:
                     out = system.open_output_stream(f"{base}/{name}", compression=None)
                 body = zlib.compress("\n".join(f"{_quoted(k)} {'-' if i is None else i} {f} {o} {n}" for k, i, f, o, n in now).encode(), 6)
                 out.write(body)
-                done.append({"first": now[0][0][: p.key_chars], "shard": name, "block": number, "offset": at, "length": len(body), "lines": len(now)})
-                at, number = at + len(body), number + 1
+                done.append({"first": _parting(before, now[0][0])[: p.key_chars], "shard": name, "block": number, "offset": at, "length": len(body), "lines": len(now)})
+                at, number, before = at + len(body), number + 1, now[-1][0]
             if done:
                 yield pa.RecordBatch.from_pylist(done)
         if out is not None:
@@ -158,6 +160,13 @@ def write_index(lines: DataFrame, folder: str, p: Warc = Warc()) -> DataFrame:
     return cut(ordered.mapInArrow(run, "first string, shard string, block long, offset long, length long, lines long"), "directory")
 
 
+def _parting(last: str | None, first: str) -> str:
+    """The shortest beginning of first that is greater than last, a key before it; first itself where they are equal or none is before."""
+    if last is None or last == first:
+        return first
+    return first[: next((i for i, (a, b) in enumerate(zip(last, first, strict=False)) if a != b), len(last)) + 1]
+
+
 def _quoted(key: str) -> str:
     return key.replace("%", "%25").replace(" ", "%20").replace("\n", "%0A").replace("\r", "%0D")
 
