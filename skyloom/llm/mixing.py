@@ -22,7 +22,7 @@ from skyloom.llm.common import cut, text_or_empty, unused
 
 @dataclass(frozen=True)
 class Mixing:
-    """max_labelled bounds the labelled rows of the classifier. evidence: how many words a text counts as at most, which keeps memberships soft. power: default targets are shares to this power, raised so that no document shrinks; growth: by so much at most beyond the least total at which no domain shrinks."""
+    """max_labelled bounds the labelled rows of the classifier. evidence: how many words a text counts as at most, which keeps memberships soft. power: default targets are shares to this power, raised so that no document shrinks; growth: by so much at most beyond the least total at which no domain shrinks. replayed: rates are written after so many rounds."""
 
     buckets: int = 2048
     max_labelled: int = 5000
@@ -32,6 +32,7 @@ class Mixing:
     growth: float = 2.0
     rounds: int = 40
     tolerance: float = 1e-3
+    replayed: int = 10
     max_domains: int = 64
 
 
@@ -49,10 +50,10 @@ def word_table(docs: DataFrame, labelled: DataFrame, p: Mixing, id_col: str, tex
     share = int(min(1.0, p.max_labelled / max(1, ids.count())) * 1_000_000)
     ids = ids.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < share)  # max_labelled rows or so, whatever the input
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(domain_col).cast("string").alias("domain"), text_or_empty(text_col).alias("text")).where("domain is not null").join(F.broadcast(ids), "id")
+    if rows.select("domain").distinct().limit(p.max_domains + 1).count() > p.max_domains:  # before anything is gathered
+        raise ValueError(f"more than {p.max_domains} domains")
     counts = rows.select("domain", F.explode(_words(F.col("text"))).alias("w")).groupBy("domain", _bucket(F.col("w"), p).alias("b")).count().collect()
     domains = sorted({r.domain for r in counts})
-    if len(domains) > p.max_domains:
-        raise ValueError(f"{len(domains)} domains; max_domains is {p.max_domains}")
     table = {}
     whole = sum(r["count"] for r in counts)
     for d in domains:
@@ -92,14 +93,15 @@ def memberships(text: Column, table: dict[str, tuple[float, list[float]]], p: Mi
     return _let(_words(F.coalesce(text.cast("string"), F.lit(""))), of)
 
 
-def rate(post: Column, history: list[list[float]], floor: float = 0.0) -> Column:
-    """r after the rounds whose residuals are given, floor or more."""
+def rate(post: Column, history: list[list[float]], floor: float = 0.0, start: Column | None = None) -> Column:
+    """r after the rounds whose residuals are given, floor or more; start is r before them, 1 where it isn't given."""
+    start = F.lit(1.0) if start is None else start
     if not history:
-        return F.lit(1.0)
+        return start
     width = len(history[0])
     steps = F.transform(F.sequence(F.lit(0), F.lit(len(history) - 1)), lambda k: F.slice(_numbers([v for e in history for v in e]), k * width + 1, width))
     dot = lambda e: sum((post[i] * e[i] for i in range(width)), F.lit(0.0))
-    return F.aggregate(steps, F.lit(1.0), lambda r, e: F.greatest(F.lit(floor), r - dot(e)))
+    return F.aggregate(steps, start, lambda r, e: F.greatest(F.lit(floor), r - dot(e)))
 
 
 @dataclass(frozen=True)
@@ -119,8 +121,8 @@ def fit(docs: DataFrame, labelled: DataFrame, p: Mixing = Mixing(), targets: dic
         return Fitted({}, [], [], [], []), docs.select(F.col(id_col).cast("long").alias("doc_id"), F.size(_words(text_or_empty(text_col))).cast("long").alias("tokens"), F.array().cast("array<double>").alias("post"))
     rows = cut(docs.select(F.col(id_col).cast("long").alias("doc_id"), memberships(F.col(text_col), table, p).alias("m")).select("doc_id", "m.tokens", "m.post"), "posteriors")
     width = range(len(table))
-    gathered = lambda r: [x or 0.0 for x in rows.agg(*[F.sum(F.col("tokens") * F.col("post")[i] * r).alias(f"n{i}") for i in width]).first()]
-    n = [max(x, 1e-9) for x in gathered(F.lit(1.0))]
+    gathered = lambda at, r: [x or 0.0 for x in at.agg(*[F.sum(F.col("tokens") * F.col("post")[i] * r).alias(f"n{i}") for i in width]).first()]
+    n = [max(x, 1e-9) for x in gathered(rows, F.lit(1.0))]
     weight = [targets.get(d, 0.0) for d in table] if targets else [(x / sum(n)) ** p.power for x in n]
     weight = [w / sum(weight) for w in weight]
     total = sum(n) if targets else max(x / w for x, w in zip(n, weight, strict=True))
@@ -128,13 +130,15 @@ def fit(docs: DataFrame, labelled: DataFrame, p: Mixing = Mixing(), targets: dic
 
     def descend(goal: list[float], floor: float) -> tuple[list[list[float]], list[float]]:
         history: list[list[float]] = []
-        got = n
+        got, at, done = n, rows.withColumn("r", F.lit(1.0)), 0
         while len(history) < p.rounds:
             e = [(g - t) / x for g, t, x in zip(got, goal, n, strict=True)]
             if max(abs(v) for v in e) < p.tolerance:
                 break
+            if len(history) - done >= p.replayed:  # a round replays the few before it, not all
+                at, done = cut(at.select("tokens", "post", rate(F.col("post"), history[done:], floor, F.col("r")).alias("r")), "rates"), len(history)
             history.append(e)
-            got = gathered(rate(F.col("post"), history, floor))
+            got = gathered(at, rate(F.col("post"), history[done:], floor, F.col("r")))
         return history, got
 
     history, got = descend(goal, 0.0)
@@ -168,7 +172,12 @@ def mix(docs: DataFrame, labelled: DataFrame, p: Mixing = Mixing(), targets: dic
 
 
 def rates(docs: DataFrame, labelled: DataFrame, p: Mixing = Mixing(), targets: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "lang") -> DataFrame:
-    """(doc_id, tokens, domain, membership, rate, copies) per row; domain is the likeliest one."""
+    """(doc_id, tokens, domain, membership, rate, copies) per row; domain is the likeliest one, the first by name of equally likely ones.
+
+    Null, empty and wordless texts have 0 tokens and the domains' shares as membership. Repeated rows have equal rates;
+    rows without id are all drawn alike. Without labelled rows the domain is null and every rate is 1. An empty table
+    gives an empty result.
+    """
     fitted, rows = fit(docs, labelled, p, targets, id_col, text_col, domain_col)
     names = F.array(*[F.lit(d) for d in fitted.table]) if fitted.table else F.array().cast("array<string>")
     best = F.get(names, (F.array_position("post", F.array_max("post")) - 1).cast("int"))
