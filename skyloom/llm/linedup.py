@@ -17,8 +17,8 @@ def _named(line: Column) -> Column:
     return F.struct(F.xxhash64(line).alias("h"), F.length(line).alias("n"))
 
 
-def boilerplate(docs: DataFrame, text_col: str = "text", site_col: str = "source", percent: int = 5, min_pages: int = 5) -> DataFrame:
-    """(site, dropped): of each site, the lines that stand on more than `percent` % of its pages and on `min_pages` at least.
+def boilerplate(docs: DataFrame, text_col: str = "text", site_col: str = "source", percent: int = 5, min_pages: int = 2) -> DataFrame:
+    """(site, dropped): of each site, the lines that stand on more than `percent` % of its pages and on `min_pages` at least; by default on two, since a line of one page is no repetition.
 
     Pages of a site with equal texts count once: a page that was crawled a thousand times isn't boilerplate. Blank
     lines never count. Null and empty sites are one site. An array holds at most (lines a page) * 100 / percent lines.
@@ -32,7 +32,7 @@ def boilerplate(docs: DataFrame, text_col: str = "text", site_col: str = "source
     return bad.groupBy("site").agg(F.sort_array(F.collect_list(F.struct("h", "n"))).alias("dropped"))
 
 
-def drop_boilerplate(docs: DataFrame, text_col: str = "text", site_col: str = "source", percent: int = 5, min_pages: int = 5, count_col: str | None = None) -> DataFrame:
+def drop_boilerplate(docs: DataFrame, text_col: str = "text", site_col: str = "source", percent: int = 5, min_pages: int = 2, count_col: str | None = None) -> DataFrame:
     """docs without the boilerplate lines in text_col; count_col gets the number of lines dropped.
 
     Every row and every other column stays; a text of boilerplate alone becomes empty, a null text stays null.
@@ -53,7 +53,7 @@ ORACLE_SQL = """
 WITH d AS (SELECT doc_id, coalesce(source, '') AS site, coalesce(text, '') AS body, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 total AS (SELECT site, count(DISTINCT body) AS pages FROM d GROUP BY site),
 seen AS (SELECT site, line, count(DISTINCT body) AS seen FROM (SELECT site, body, unnest(list_distinct(ls)) AS line FROM d) WHERE length(trim(line)) > 0 GROUP BY site, line),
-bad AS (SELECT seen.site, list(line) AS dropped FROM seen JOIN total ON seen.site = total.site WHERE seen >= 5 AND seen * 100 > pages * 5 GROUP BY seen.site),
+bad AS (SELECT seen.site, list(line) AS dropped FROM seen JOIN total ON seen.site = total.site WHERE seen >= 2 AND seen * 100 > pages * 5 GROUP BY seen.site),
 k AS (SELECT doc_id, ls, list_filter(ls, lambda x: NOT list_contains(coalesce(dropped, []), x)) AS kept FROM d LEFT JOIN bad ON d.site = bad.site)
 SELECT doc_id, len(ls) AS n_lines, len(ls) - len(kept) AS n_dropped, md5(array_to_string(kept, chr(10))) AS kept_md5 FROM k
 """

@@ -300,7 +300,7 @@ def test_boilerplate_lines(spark, docs, rows):
         for line in set((t or "").split("\n")):
             if line.strip(" "):
                 seen[s, line].add(t or "")
-    bad = {k for k, v in seen.items() if len(v) >= 5 and len(v) * 100 > len(pages[k[0]]) * 20}
+    bad = {k for k, v in seen.items() if len(v) >= 2 and len(v) * 100 > len(pages[k[0]]) * 20}
     assert bad
     want = sorted((repr(i), repr(None if t is None else "\n".join(x for x in t.split("\n") if (s, x) not in bad))) for s, (i, t) in zip(sites, rows, strict=True))
     assert sorted((repr(r.doc_id), repr(r.text)) for r in got.collect()) == want
