@@ -26,10 +26,11 @@ _BREAK[[b for b in range(128) if not chr(b).isalnum()]] = True
 
 @dataclass(frozen=True)
 class Mil:
-    """max_positive, max_negative, max_chars bound the labelled rows that the weights are fitted on; scoring reads every text whole."""
+    """max_positive, max_negative, max_chars bound the labelled rows that the weights are fitted on; scoring reads every text whole. longest: a sentence of more words counts as several."""
 
     bits: int = 18
     beginning: int = 5
+    longest: int = 64
     max_positive: int = 1000
     max_negative: int = 1600
     max_chars: int = 100_000
@@ -47,6 +48,9 @@ def features(data: np.ndarray, offsets: np.ndarray, p: Mil) -> tuple[np.ndarray,
         return z, z, z
     ended = np.concatenate([[0], np.cumsum(_ENDS[data])])[s]
     new = np.concatenate([[False], (ended[1:] != ended[:-1]) | (row[1:] != row[:-1])])
+    begins = np.concatenate([[0], np.flatnonzero(new)])
+    new |= (np.arange(len(s)) - begins[np.cumsum(new)]) % p.longest == 0
+    new[0] = False
     sentence = np.cumsum(new)
     whole = (word_hashes(data, s, e) >> np.uint64(64 - p.bits)).astype(np.int64)
     part = (word_hashes(data, s, np.minimum(e, s + p.beginning)) >> np.uint64(64 - p.bits)).astype(np.int64) + (1 << p.bits)
@@ -126,7 +130,9 @@ def scorer(spark, weights: np.ndarray, p: Mil = Mil()):
         for i, j in spans(off, 1 << 20):
             raw, o = data[off[i] : off[j]], off[i : j + 1] - off[i]
             s, f, row = features(raw, o, p)
-            z = np.bincount(s, w[f], len(row)) + w[-1] if len(row) else np.zeros(0)
+            told = np.flatnonzero(w[f])
+            at = np.unique(s[told] * len(w) + f[told])  # of a sentence each feature counts once
+            z = np.bincount(at // len(w), w[at % len(w)], len(row)) + w[-1] if len(row) else np.zeros(0)
             none = np.exp(-np.bincount(row, np.logaddexp(0, z), j - i)) if len(row) else np.ones(j - i)
             bad: list[list[dict]] = [[] for _ in range(j - i)]
             if (z >= 0).any():
