@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 # Fixed values.
 ACCEPTED, LOW, HIGH, UNDERDETERMINED = 0, 1, 2, 3
 OK, MIN_SAMPLES, ALL_REJECTED, INVALID_INPUT, SHALLOW = "ok", "min_samples", "all_rejected", "invalid_input", "underdetermined"
+INVALID_METHOD, INVALID_CONFIGURATION = "invalid_method", "invalid_configuration"
+CENTRE, SCALE, RAW = "median_center", "median_scale", "none"
 MINIMUM = {"none": 0, "percentile": 2, "linear": 4, "sigma": 3, "winsorized": 3, "averaged": 3, "esd": 3, "median_sigma": 3, "minmax": 3}
 DECISION = "struct<reasons:array<tinyint>,accepted:int,rejected_low:int,rejected_high:int,iterations:int,status:string>"
 _DECISION_ARROW = pa.struct([("reasons", pa.list_(pa.int8())), ("accepted", pa.int32()), ("rejected_low", pa.int32()), ("rejected_high", pa.int32()), ("iterations", pa.int32()), ("status", pa.string())])
@@ -32,21 +34,51 @@ def stacks(samples: DataFrame, by: list[str], order: list[str], value: str, **ca
     return listed.select(*by, F.transform("s", lambda x, i: F.struct((i + 1).alias("ord"), *[x[n].alias(n) for n in names])).alias("stack"))
 
 
-def median(values: Column) -> Column:
-    """Of an array; the mean of the two middle values at even size, 0 of an empty one."""
-    s, n = F.array_sort(values), F.size(values)
+def bags(samples: DataFrame, by: list[str], value: str, **carried: str) -> DataFrame:
+    """(*by, stack): as stacks, but in the order of values, for what doesn't depend on the samples' order; only these columns are shuffled."""
+    row = F.struct(F.col(value).alias("v"), *[F.col(c).alias(n) for n, c in carried.items()])
+    return samples.groupBy(*by).agg(F.array_sort(F.collect_list(row)).alias("stack"))
+
+
+def let(value: Column, body) -> Column:
+    """body(value), with value computed once a row."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def middle(s: Column) -> Column:
+    """The median of a sorted array; 0 of an empty one."""
+    n = F.size(s)
     low, high = F.get(s, F.floor((n - 1) / 2).cast("int")), F.get(s, F.floor(n / 2).cast("int"))
     return F.when(n == 0, F.lit(0.0)).otherwise((low + high) / 2)
 
 
+def median(values: Column) -> Column:
+    """Of an array; the mean of the two middle values at even size, 0 of an empty one."""
+    return let(F.array_sort(values), middle)
+
+
 def upper_median(values: Column) -> Column:
     return F.get(F.array_sort(values), F.floor(F.size(values) / 2).cast("int"))
 
 
-def percentile_reasons(stack: Column, low: float = 0.2, high: float = 0.1) -> Column:
-    """Single pass about the median, in shares of its absolute value."""
-    med = median(F.transform(stack, lambda x: x["v"]))
-    return F.flatten(F.transform(F.array(med), lambda m: F.transform(stack, lambda x: F.when(x["v"] - m < -F.abs(m) * low, LOW).when(x["v"] - m > F.abs(m) * high, HIGH).otherwise(ACCEPTED).cast("tinyint"))))
+def contract(values: Column, reasons: Column, minimum: int) -> Column:
+    """reasons as a stack may give them: all UNDERDETERMINED, which counts as accepted, for a sample that isn't finite, for two samples or fewer, for fewer than minimum, and where all of up to four would go."""
+    from skyloom.functions.frames import finite
+
+    n = F.size(values)
+    none_left = F.forall(reasons, lambda r: (r == LOW) | (r == HIGH))
+    spared = (n <= 2) | (n < minimum) | ((n <= 4) & none_left) | F.exists(values, lambda v: ~finite(v))
+    return F.when(spared, F.transform(reasons, lambda _: F.lit(UNDERDETERMINED).cast("tinyint"))).otherwise(reasons)
+
+
+def percentile_reasons(stack: Column, low: float = 0.2, high: float = 0.1, in_order: bool = False) -> Column:
+    """Single pass about the median, in shares of its absolute value. in_order: the stack is sorted by value."""
+
+    def of(values: Column, mid: Column) -> Column:
+        code = lambda m: lambda v: F.when(v - m < -F.abs(m) * low, LOW).when(v - m > F.abs(m) * high, HIGH).otherwise(ACCEPTED).cast("tinyint")
+        return let(mid, lambda m: let(F.transform(values, code(m)), lambda r: contract(values, r, MINIMUM["percentile"])))
+
+    return let(F.transform(stack, lambda x: x["v"]), lambda v: of(v, middle(v) if in_order else median(v)))
 
 
 def minmax_reasons(stack: Column, low: int = 1, high: int = 1, min_kept: int = 4) -> Column:
@@ -55,7 +87,8 @@ def minmax_reasons(stack: Column, low: int = 1, high: int = 1, min_kept: int = 4
     ranked = F.transform(F.array_sort(F.transform(stack, lambda x: F.struct(x["v"].alias("v"), x["ord"].alias("ord")))), lambda x: x["ord"])
     bottom, top = F.slice(ranked, 1, low), F.slice(ranked, F.greatest(n - high + 1, F.lit(1)), high)
     reason = F.transform(stack, lambda x: F.when(F.array_contains(bottom, x["ord"]), LOW).when(F.array_contains(top, x["ord"]), HIGH).otherwise(ACCEPTED).cast("tinyint"))
-    return F.when(n - low - high < min_kept, F.transform(stack, lambda x: F.lit(UNDERDETERMINED).cast("tinyint"))).otherwise(reason)
+    fewer = F.when(n - low - high < min_kept, F.transform(stack, lambda x: F.lit(UNDERDETERMINED).cast("tinyint"))).otherwise(reason)
+    return contract(F.transform(stack, lambda x: x["v"]), fewer, MINIMUM["minmax"])
 
 
 def auto_method(depth: Column) -> Column:
@@ -107,8 +140,8 @@ def _clip(b: _Batch, spread, centre, guard: bool, lower: float, upper: float, ro
             return
         c = centre(b, count)
         b.centre = np.where(b.open, c, b.centre)
-        s = spread(b, c, count)
-        b.close(~(s > 1e-12))
+        s, usable = spread(b, c, count)
+        b.close(~usable)
         with np.errstate(invalid="ignore", divide="ignore"):
             z = (b.v - c[:, None]) / s[:, None]
         before = b.alive.sum(axis=1)
@@ -125,7 +158,7 @@ def _about(b: _Batch, c: np.ndarray, count: np.ndarray, v: np.ndarray | None = N
     return np.sqrt(b.sums(d * d) / np.maximum(count - 1, 1))
 
 
-def _winsorized_spread(b: _Batch, c: np.ndarray, count: np.ndarray) -> np.ndarray:
+def _winsorized_spread(b: _Batch, c: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     sigma = _about(b, c, count)
     usable, moving = sigma > 1e-12, np.ones(len(sigma), bool)
     for _ in range(64):
@@ -136,7 +169,17 @@ def _winsorized_spread(b: _Batch, c: np.ndarray, count: np.ndarray) -> np.ndarra
         moving &= ~near
         if not moving.any():
             break
-    return np.where(usable, sigma, 0.0)
+    return sigma, usable  # the first spread decides; one that has collapsed since leaves the centre alone
+
+
+def _wide(spread):
+    """A spread that is usable from 1e-12 on."""
+
+    def of(b: _Batch, c: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        s = spread(b, c, count)
+        return s, s > 1e-12
+
+    return of
 
 
 def _by_side(b: _Batch, centre: np.ndarray) -> np.ndarray:
@@ -244,36 +287,89 @@ def _esd(b: _Batch, most: int = 10, alpha: float = 0.05) -> np.ndarray:
     return _by_side(b, b.median(b.v, b.there))
 
 
-def decide(method: str, lengths: np.ndarray, flat: np.ndarray, lower: float = 4.0, upper: float = 3.0, rounds: int = 8) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Reasons of all samples, iterations and status of each stack. Non-finite samples make a stack invalid; one with two samples or fewer, or fewer than the method needs, is underdetermined."""
+def _auto(lengths: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """decide by the method that suits each stack's depth."""
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    kind = np.where(lengths < 6, 0, np.where(lengths <= 15, 1, 2))
+    reasons, iterations, status = np.zeros(len(flat), np.int8), np.zeros(len(lengths), np.int32), np.full(len(lengths), OK, object)
+    for k, method in enumerate(("percentile", "winsorized", "linear")):
+        if (kind == k).any():
+            r, i, s = decide(method, lengths[kind == k], flat[kind[owner] == k])
+            reasons[kind[owner] == k], iterations[kind == k], status[kind == k] = r, i, s
+    return reasons, iterations, status.tolist()
+
+
+def _percentile(b: _Batch, centre: np.ndarray, low: float = 0.2, high: float = 0.1) -> np.ndarray:
+    """b holds values less their median, centre the medians."""
+    m = np.abs(centre)[:, None]
+    return np.where(b.v < -m * low, LOW, np.where(b.v > m * high, HIGH, ACCEPTED))
+
+
+def decide(method: str, lengths: np.ndarray, flat: np.ndarray, lower: float = 4.0, upper: float = 3.0, rounds: int = 8, normalization: str = CENTRE, scale_floor: float = 1e-12) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Reasons of all samples, iterations and status of each stack; "auto" takes the method by the stack's depth.
+
+    Nothing is rejected, and all reasons are UNDERDETERMINED, for an unknown method, a sample that isn't finite, a
+    percentile rule without centring, two samples or fewer or fewer than the method needs, and where all of up to four
+    samples would go. Decisions are made on the values less their median, over its absolute value, or as they are.
+    """
+    if method == "auto":
+        return _auto(lengths, flat)
+    spared = INVALID_METHOD if method not in MINIMUM or normalization not in (CENTRE, SCALE, RAW) else None
     bad = np.zeros(len(lengths), bool)
     owner = np.repeat(np.arange(len(lengths)), lengths)
     bad[owner[~np.isfinite(flat)]] = True
+    if method == "percentile" and normalization != CENTRE:
+        spared = INVALID_CONFIGURATION
+    if spared:
+        first = (lambda x, n: MIN_SAMPLES if n == 0 else INVALID_INPUT if x else spared) if spared == INVALID_CONFIGURATION else (lambda x, n: spared)
+        return np.full(len(flat), UNDERDETERMINED, np.int8), np.zeros(len(lengths), np.int32), [first(x, n) for x, n in zip(bad, lengths, strict=True)]
     shallow = (lengths <= 2) | (lengths < MINIMUM[method])
     b = _Batch(lengths, np.where(bad[owner], 0.0, flat))
-    b.v -= np.where(lengths > 0, b.median(b.v, b.there), 0.0)[:, None]
+    centre = np.where(lengths > 0, b.median(b.v, b.there), 0.0)
+    if normalization == CENTRE:
+        b.v -= centre[:, None]
+    elif normalization == SCALE:
+        b.v /= np.maximum(np.abs(centre), scale_floor)[:, None]
     b.v[~b.there] = 0.0
     b.close(bad | shallow)
     if method == "sigma":
-        _clip(b, lambda x, c, n: 1.4826 * x.median(np.abs(x.v - c[:, None]), x.alive), lambda x, n: x.median(x.v, x.alive), False, lower, upper, rounds)
+        _clip(b, _wide(lambda x, c, n: 1.4826 * x.median(np.abs(x.v - c[:, None]), x.alive)), lambda x, n: x.median(x.v, x.alive), False, lower, upper, rounds)
     elif method == "averaged":
-        _clip(b, lambda x, c, n: x.sums(np.abs(x.v - c[:, None])) / np.maximum(n, 1) * math.sqrt(math.pi / 2), _mean, False, lower, upper, rounds)
+        _clip(b, _wide(lambda x, c, n: x.sums(np.abs(x.v - c[:, None])) / np.maximum(n, 1) * math.sqrt(math.pi / 2)), _mean, False, lower, upper, rounds)
     elif method == "median_sigma":
-        _clip(b, _about, lambda x, n: x.median(x.v, x.alive), True, lower, upper, rounds)
+        _clip(b, _wide(_about), lambda x, n: x.median(x.v, x.alive), True, lower, upper, rounds)
     elif method == "winsorized":
         _clip(b, _winsorized_spread, lambda x, n: x.median(x.v, x.alive), True, lower, upper, rounds)
-    reason = _linear(b) if method == "linear" else _esd(b) if method == "esd" else _by_side(b, b.centre)
-    left = (reason == ACCEPTED) & b.there
+    if method == "linear":
+        reason = _linear(b)
+    elif method == "esd":
+        reason = _esd(b)
+    elif method == "percentile":
+        reason = _percentile(b, centre)
+    elif method == "minmax":
+        reason = _minmax(b, lengths, flat)
+    else:
+        reason = _by_side(b, b.centre)
+    some = (reason == UNDERDETERMINED).any(axis=1)
+    left = np.isin(reason, (ACCEPTED, UNDERDETERMINED)) & b.there
     none = ~left.any(axis=1) & (lengths > 0)
     flip = none & (lengths <= 4)
-    reason = np.where((shallow | flip)[:, None], UNDERDETERMINED, reason)
-    reason[bad] = ACCEPTED
-    status = [INVALID_INPUT if x else MIN_SAMPLES if n == 0 else SHALLOW if s or f else ALL_REJECTED if r else OK for x, n, s, f, r in zip(bad, lengths, shallow, flip, none, strict=True)]
+    reason = np.where((bad | shallow | flip)[:, None], UNDERDETERMINED, reason)
+    status = [MIN_SAMPLES if n == 0 else INVALID_INPUT if x else SHALLOW if s or f else ALL_REJECTED if r else OK for x, n, s, f, r in zip(bad, lengths, shallow | some, flip, none, strict=True)]
     return reason[b.there].astype(np.int8), b.iterations, status
 
 
+def _minmax(b: _Batch, lengths: np.ndarray, flat: np.ndarray, low: int = 1, high: int = 1, min_kept: int = 4) -> np.ndarray:
+    """By rank of the values as they came; equal ones rank by their place."""
+    raw = np.full(b.v.shape, np.inf)
+    raw[b.there] = np.where(np.isfinite(flat), flat, 0.0)
+    rank = np.argsort(np.argsort(raw, axis=1, kind="stable"), axis=1)
+    out = np.where(rank < low, LOW, np.where(rank >= (lengths - high)[:, None], HIGH, ACCEPTED))
+    return np.where((lengths - low - high < min_kept)[:, None], UNDERDETERMINED, out)
+
+
 def rejection(method: str, values: Column) -> Column:
-    """DECISION of an array of doubles in sample order, by an iterative method."""
+    """DECISION of an array of doubles in sample order, by any method or "auto"."""
 
     @F.arrow_udf(DECISION)
     def run(column: pa.Array) -> pa.Array:
@@ -299,13 +395,22 @@ def integrate(stack: Column, reasons: Column) -> Column:
     """
     from skyloom.functions.frames import finite
 
-    good = F.filter(F.zip_with(stack, reasons, lambda s, r: F.struct(s["v"].alias("v"), s["w"].alias("w"), s["sup"].alias("sup"), r.alias("r"))), lambda x: x["r"].isin(ACCEPTED, UNDERDETERMINED))
-    poisoned = F.exists(good, lambda x: ~finite(x["v"]) | ~finite(x["sup"]) | (x["sup"] <= 0) | ~finite(x["w"]) | (x["w"] < 0))
-    used = F.filter(good, lambda x: x["w"] > 0)
-    total = F.aggregate(used, F.lit(0.0), lambda a, x: a + x["w"])
-    signal = F.aggregate(used, F.lit(0.0), lambda a, x: a + x["w"] * x["v"]) / total
-    status = F.when(F.size(stack) == 0, 1).when(poisoned, 4).when(F.size(used) > 0, 0).when(F.size(good) == 0, 2).otherwise(3)
-    ok = status == 0
-    return F.struct(
-        F.when(ok, signal).alias("signal"), F.when(ok, F.array_max(F.transform(good, lambda x: x["sup"]))).alias("support"), F.when(ok, F.size(used)).otherwise(0).alias("n_used"),
-        F.size(stack).alias("n_candidates"), F.size(good).alias("n_accepted"), status.alias("status"))
+    zero = F.struct(F.lit(False).alias("bad"), F.lit(0).alias("good"), F.lit(0).alias("used"), F.lit(0.0).alias("w"), F.lit(0.0).alias("wv"), F.lit(float("-inf")).alias("sup"))
+
+    def add(a: Column, x: Column) -> Column:
+        wrong = ~finite(x["v"]) | ~finite(x["sup"]) | (x["sup"] <= 0) | ~finite(x["w"]) | (x["w"] < 0)
+        counts = x["w"] > 0
+        some = F.struct(
+            (a["bad"] | wrong).alias("bad"), (a["good"] + 1).alias("good"), (a["used"] + counts.cast("int")).alias("used"), F.when(counts, a["w"] + x["w"]).otherwise(a["w"]).alias("w"),
+            F.when(counts, a["wv"] + x["w"] * x["v"]).otherwise(a["wv"]).alias("wv"), F.greatest(a["sup"], x["sup"]).alias("sup"))
+        return F.when(x["r"].isin(ACCEPTED, UNDERDETERMINED), some).otherwise(a)
+
+    def told(a: Column) -> Column:
+        status = F.when(F.size(stack) == 0, 1).when(a["bad"], 4).when(a["used"] > 0, 0).when(a["good"] == 0, 2).otherwise(3)
+        ok = status == 0
+        return F.struct(
+            F.when(ok, a["wv"] / a["w"]).alias("signal"), F.when(ok, a["sup"]).alias("support"), F.when(ok, a["used"]).otherwise(0).alias("n_used"),
+            F.size(stack).alias("n_candidates"), a["good"].alias("n_accepted"), status.alias("status"))
+
+    one = lambda s, r: F.struct(s["v"].cast("double").alias("v"), s["w"].cast("double").alias("w"), s["sup"].cast("double").alias("sup"), r.alias("r"))
+    return let(F.aggregate(F.zip_with(stack, reasons, one), zero, add), told)

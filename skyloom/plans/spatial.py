@@ -156,11 +156,11 @@ def constellation(spark, sf):
 
 
 @query("a_const_area", f"""WITH {CATALOG}, {_BOUNDS}, m AS (SELECT source_id, mag, const, row_number() OVER (PARTITION BY source_id ORDER BY de_low DESC, const DESC) AS r FROM cat JOIN bd ON dec >= de_low AND CASE WHEN ra_low <= ra_up THEN ra / 15 >= ra_low AND ra / 15 < ra_up ELSE ra / 15 >= ra_low OR ra / 15 < ra_up END)
-SELECT const, count(*) AS frames, round(avg(mag), 6) AS depth FROM m WHERE r = 1 GROUP BY const""")
+SELECT const, count(*) AS frames, sum(round(mag * 100000)::BIGINT)::DOUBLE / count(*) / 100000 AS depth FROM m WHERE r = 1 GROUP BY const""")
 def const_area(spark, sf):
     c = catalog(spark, sf).withColumn("ra_h", F.col("ra") / 15)
     named = sp.first_match(c, _bounds(spark, sf), "source_id").where("const <> ''").join(c.select("source_id", "mag"), "source_id")
-    return named.groupBy("const").agg(F.count("*").alias("frames"), F.round(F.avg("mag"), 6).alias("depth"))
+    return named.groupBy("const").agg(F.count("*").alias("frames"), (F.sum(F.round(F.col("mag") * 100000).cast("long")).cast("double") / F.count("*") / 100000).alias("depth"))  # whole numbers: no order of addition decides a tie
 
 
 @query("j_boundary_link", f"WITH {_PLANE} SELECT p.lid AS a, q.lid AS b FROM a p JOIN a q ON p.lid < q.lid AND p.lid % 4 <> q.lid % 4 AND sqrt((p.x - q.x) ** 2 + (p.y - q.y) ** 2) <= 4")

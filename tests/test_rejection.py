@@ -33,7 +33,7 @@ def test_two_samples_are_underdetermined(method):
 
 @pytest.mark.parametrize("method", ITERATIVE)
 def test_non_finite_stacks_are_invalid_and_keep_all(method):
-    assert one(method, [1.0, float("nan"), 2.0, 3.0])[0::2] == ([0] * 4, rj.INVALID_INPUT)
+    assert one(method, [1.0, float("nan"), 2.0, 3.0])[0::2] == ([rj.UNDERDETERMINED] * 4, rj.INVALID_INPUT)
 
 
 @pytest.mark.parametrize("method", ITERATIVE)
