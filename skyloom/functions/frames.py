@@ -82,8 +82,9 @@ def quality_factor(flags: Column) -> Column:
 
 
 def control_weight(flags: Column, control_ivar: Column) -> Column:
-    """quality_factor * control_ivar; null where the inverse variance is missing, not finite or not positive."""
-    return F.when(finite(control_ivar) & (control_ivar > 0), quality_factor(flags) * control_ivar)
+    """quality_factor * control_ivar. A control's inverse variance that is missing, not finite or not positive is an error: a silent weight would change what the model means."""
+    missing = F.raise_error(F.lit("a control has no inverse variance")).cast("double")
+    return F.when(F.coalesce(finite(control_ivar) & (control_ivar > 0), F.lit(False)), quality_factor(flags) * control_ivar).otherwise(missing)
 
 
 def legacy_weight(flags: Column, support: Column, snr: Column, uncertainty: Column, power: float = 1.0, floor: float = 1e-3) -> Column:

@@ -124,21 +124,50 @@ def fits_local(index: Column, shift: int) -> Column:
     return morton(F.lit(width - 1) - F.shiftright(index.cast("long"), shift), _and(index.cast("long"), width - 1))
 
 
+def pixel_scale(cd11: Column, cd12: Column, cd21: Column, cd22: Column) -> Column:
+    """Arcseconds a pixel: the root of the matrix' determinant."""
+    return F.sqrt(F.abs(cd11 * cd22 - cd12 * cd21)) * 3600
+
+
+def nside_for_scale(arcsec: Column) -> Column:
+    """The smallest power of two whose pixels are as fine, between 16 and 2**22."""
+    return F.least(F.lit(1 << 22), F.greatest(F.lit(16), F.pow(F.lit(2.0), F.ceil(F.log2(F.lit(211034.6) / arcsec))))).cast("long")
+
+
+# Of each base face the one beyond its (x, y) border, x and y each -1, 0 or 1; none where three faces meet.
+_BESIDE = {
+    (-1, -1): [8, 9, 10, 11, None, None, None, None, 10, 11, 8, 9],
+    (0, -1): [5, 6, 7, 4, 8, 9, 10, 11, 9, 10, 11, 8],
+    (1, -1): [None, None, None, None, 5, 6, 7, 4, None, None, None, None],
+    (-1, 0): [4, 5, 6, 7, 11, 8, 9, 10, 11, 8, 9, 10],
+    (0, 0): [0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11],
+    (1, 0): [1, 2, 3, 0, 0, 1, 2, 3, 5, 6, 7, 4],
+    (-1, 1): [None, None, None, None, 7, 4, 5, 6, None, None, None, None],
+    (0, 1): [3, 0, 1, 2, 3, 0, 1, 2, 4, 5, 6, 7],
+    (1, 1): [2, 3, 0, 1, None, None, None, None, 0, 1, 2, 3],
+}
+
+
 def neighbours(pixels: DataFrame, order: int, pix: str = "pix") -> DataFrame:
-    """A row for each pixel and each of its distinct neighbours: those that share an edge or corner within the base face, and, across
-    its borders, those that hold the points a pixel's width beyond the centre. Near the corners of base faces that is approximate."""
+    """A row for each row and each neighbour of its pixel: those that share an edge or a corner, 8, or 7 where three base faces meet.
+
+    A step over a border of a base face goes to the face beside it. Between two polar faces of a hemisphere the axes
+    change places and one of them turns round; elsewhere they keep their direction.
+    """
     size, n = 4**order, 1 << order
     p = F.col(pix).cast("long")
     x, y = unmorton(_and(p, size - 1))
-    at = with_centre(pixels, order, pix, "__ra", "__dec").withColumns({"__face": F.shiftright(p, 2 * order), "__x": x, "__y": y})
     steps = F.array(*[F.struct(F.lit(i).alias("dx"), F.lit(j).alias("dy")) for i in (-1, 0, 1) for j in (-1, 0, 1) if i or j])
-    at = at.withColumn("__s", F.explode(steps))
-    dx, dy, half = F.col("__s.dx"), F.col("__s.dy"), resolution_arcsec(order) / 7200
-    u, v = F.col("__x") + dx, F.col("__y") + dy
-    # on the sky +x is north-east and +y north-west
-    d = F.greatest(F.lit(-90.0), F.least(F.lit(90.0), F.col("__dec") + half * (dx + dy)))
-    r = F.col("__ra") + half * (dx - dy) / F.greatest(F.cos(F.radians(F.col("__dec"))), F.lit(0.01))
-    at = at.withColumns({"__u": u, "__v": v, "__r": r, "__d": d})
-    inside = F.col("__u").between(0, n - 1) & F.col("__v").between(0, n - 1)
-    near = F.when(inside, F.col("__face") * size + morton(F.col("__u"), F.col("__v"))).otherwise(ang2pix(order, F.col("__r"), F.col("__d")))
-    return at.withColumn("neighbor", near).where(F.col("neighbor") != p).select(*pixels.columns, "neighbor").distinct()
+    at = pixels.withColumns({"__f": F.shiftright(p, 2 * order).cast("int"), "__x": x, "__y": y}).withColumn("__s", F.explode(steps))
+    at = at.withColumns({"__u": F.col("__x") + F.col("__s.dx"), "__v": F.col("__y") + F.col("__s.dy")})
+    side = lambda c: F.when(F.col(c) < 0, -1).when(F.col(c) >= n, 1).otherwise(0)
+    at = at.withColumns({"__i": side("__u"), "__j": side("__v")})
+    faces = F.array(*[F.array(*[F.lit(v).cast("int") for v in _BESIDE[i, j]]) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+    at = at.withColumn("__g", F.get(F.get(faces, (F.col("__i") + 1) * 3 + F.col("__j") + 1), F.col("__f"))).where(F.col("__g").isNotNull())
+    u, v, i, j = F.pmod(F.col("__u"), F.lit(n)), F.pmod(F.col("__v"), F.lit(n)), F.col("__i"), F.col("__j")
+    north, south = F.col("__f") < 4, F.col("__f") >= 8
+    # over a polar edge: the coordinate along the edge becomes the other axis, at its far (north) or near (south) end
+    top, low = n - 1, 0
+    g_x = F.when(north & (i == 1) & (j == 0), v).when(north & (i == 0) & (j == 1), F.lit(top)).when(north & (i == 1) & (j == 1), F.lit(top)).when(south & (i == -1) & (j == 0), v).when(south & (i == 0) & (j == -1), F.lit(low)).when(south & (i == -1) & (j == -1), F.lit(low)).otherwise(u)
+    g_y = F.when(north & (i == 1) & (j == 0), F.lit(top)).when(north & (i == 0) & (j == 1), u).when(north & (i == 1) & (j == 1), F.lit(top)).when(south & (i == -1) & (j == 0), F.lit(low)).when(south & (i == 0) & (j == -1), u).when(south & (i == -1) & (j == -1), F.lit(low)).otherwise(v)
+    return at.withColumn("neighbor", F.col("__g") * F.lit(size).cast("long") + morton(g_x, g_y)).select(*pixels.columns, "neighbor")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,6 +58,74 @@ def fit(obs: DataFrame, rounds: int = 100, tolerance: float = 1e-6, anchor: floa
     return m, c
 
 
+def smoothed(nodes: DataFrame, links: DataFrame, smoothing: float, anchor: float, steps: int = 200) -> DataFrame:
+    """(frame, control, c): (W + smoothing * L + anchor) c = rhs for each frame, by conjugate gradients from zero.
+
+    nodes (frame, control, weight, rhs) are a frame's sums; L is the Laplacian of links (a, b). A component that a frame
+    doesn't touch stays zero and isn't solved; frames and components are solved apart, each in one task.
+    """
+    part = cut(components(links, "a", "b")).withColumnsRenamed({"id": "control", "root": "part"})
+    own = nodes.join(part, "control", "left").withColumn("part", F.coalesce("part", "control"))
+    touched = own.select("frame", "part").distinct()
+    edges = touched.join(links.join(part.withColumnRenamed("control", "a"), "a"), "part").select("frame", "part", "a", "b")
+
+    def solve(left, right):
+        names = np.unique(np.concatenate([left.column("control").to_numpy(), right.column("a").to_numpy(), right.column("b").to_numpy()]))
+        w, rhs = np.zeros(len(names)), np.zeros(len(names))
+        at = np.searchsorted(names, left.column("control").to_numpy())
+        w[at], rhs[at] = left.column("weight").to_numpy(), left.column("rhs").to_numpy()
+        a, b = (np.searchsorted(names, right.column(c).to_numpy()) for c in "ab")
+
+        def times(v):
+            d = smoothing * (v[a] - v[b])
+            return (w + anchor) * v + np.bincount(a, d, len(v)) - np.bincount(b, d, len(v))
+
+        x, r = np.zeros(len(names)), rhs.copy()
+        p, rr = r.copy(), float(r @ r)
+        for _ in range(steps):
+            ap = times(p)
+            down = float(p @ ap)
+            if down <= 1e-30:
+                break
+            x, r = x + rr / down * p, r - rr / down * ap
+            new = float(r @ r)
+            if new < 1e-24:
+                break
+            p, rr = r + new / rr * p, new
+        frame = left.column("frame")[0] if left.num_rows else right.column("frame")[0]
+        return pa.table({"frame": pa.array([frame.as_py()] * len(names), pa.int64()), "control": pa.array(names), "c": pa.array(x)})
+
+    longs = own.select(F.col("frame").cast("long").alias("frame"), F.col("part").cast("long").alias("part"), F.col("control").cast("long").alias("control"), F.col("weight").cast("double").alias("weight"), F.col("rhs").cast("double").alias("rhs"))
+    ends = edges.select(*[F.col(c).cast("long").alias(c) for c in ("frame", "part", "a", "b")])
+    return longs.groupBy("frame", "part").cogroup(ends.groupBy("frame", "part")).applyInArrow(solve, "frame long, control long, c double")
+
+
+def model_hash(c: DataFrame, scale: int = 10_000) -> DataFrame:
+    """(hash, frames) of (frame, control, c), whatever the order of rows: of each frame's sorted rows, then of all frames; c counts in units of 1 / scale."""
+    row = F.concat_ws(",", "control", F.round(F.col("c") * scale).cast("long"))
+    frames = c.groupBy("frame").agg(F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("control", row.alias("t")))), lambda x: x["t"]), ";"), 256).alias("h"))
+    each = F.transform(F.sort_array(F.collect_list(F.struct("frame", "h"))), lambda x: F.concat_ws(",", x["frame"], x["h"]))
+    return frames.agg(F.sha2(F.array_join(each, ";"), 256).alias("hash"), F.count("*").alias("frames"))  # a line a frame
+
+
+def save(c: DataFrame, path: str) -> None:
+    """The non-zero rows of (frame, control, c) under path, with their hash and numbers beside them."""
+    rows = c.where("c <> 0")
+    rows.write.mode("errorifexists").parquet(f"{path}/c")
+    saved = c.sparkSession.read.parquet(f"{path}/c")
+    model_hash(saved).crossJoin(saved.agg(F.count("*").alias("rows"))).write.parquet(f"{path}/manifest")  # one row each
+
+
+def open_model(spark, path: str) -> DataFrame:
+    """The rows that save wrote. A model with other rows than its manifest says, or with a (frame, control) twice, is an error."""
+    c, said = spark.read.parquet(f"{path}/c"), spark.read.parquet(f"{path}/manifest").first()
+    if said is None or c.count() != said["rows"] or model_hash(c).first()["hash"] != said["hash"]:
+        raise ValueError(f"{path}: the model is not what its manifest says")
+    if not c.groupBy("frame", "control").count().where("count > 1").isEmpty():
+        raise ValueError(f"{path}: a control stands twice in a frame")
+    return c
+
+
 def objective(obs: DataFrame, m: DataFrame, c: DataFrame, delta: float = 1.345, floor: float = 1e-3) -> DataFrame:
     rows = obs.join(m, "control").join(c, ["frame", "control"])
     return rows.agg(F.sum(F.col("w") * huber_rho(_residual(floor), delta)).alias("objective"))
@@ -70,9 +140,10 @@ def _segment(v: Column, low: Column, high: Column, cell: int) -> tuple[Column, C
 
 
 def evaluate(pixels: DataFrame, nodes: DataFrame, cell: int = 64) -> DataFrame:
-    """pixels (frame, tile, x, y, …) with c, bilinear in nodes (frame, tile, gx, gy, c); beyond the covered nodes the outermost lines go on. A missing node counts as 0, a tile without nodes gives 0."""
+    """pixels (frame, tile, x, y, …) with c, bilinear in nodes (frame, tile, gx, gy, c); beyond the covered nodes the outermost lines go on. A missing node counts as 0, a tile without nodes gives 0; a frame that the model doesn't know is an error."""
     bounds = nodes.groupBy("tile").agg(F.min("gx").alias("__gx0"), F.max("gx").alias("__gx1"), F.min("gy").alias("__gy0"), F.max("gy").alias("__gy1"))
-    at = pixels.join(bounds, "tile", "left")
+    known = nodes.select("frame", F.lit(True).alias("__known")).distinct()
+    at = pixels.join(known, "frame", "left").join(bounds, "tile", "left")
     for axis in "xy":
         lo, hi = _segment(F.col(axis), F.col(f"__g{axis}0"), F.col(f"__g{axis}1"), cell)
         at = at.withColumns({f"__{axis}0": lo, f"__{axis}1": hi})
@@ -82,4 +153,5 @@ def evaluate(pixels: DataFrame, nodes: DataFrame, cell: int = 64) -> DataFrame:
     node = lambda i, j: F.coalesce(F.try_element_at("__grid", F.struct(F.floor(F.col(f"__x{i}") / cell).alias("gx"), F.floor(F.col(f"__y{j}") / cell).alias("gy"))), F.lit(0.0))
     top = node(0, 0) + F.col("__tx") * (node(1, 0) - node(0, 0))
     low = node(0, 1) + F.col("__tx") * (node(1, 1) - node(0, 1))
-    return at.withColumn("c", F.coalesce(top + F.col("__ty") * (low - top), F.lit(0.0))).select(*pixels.columns, "c")
+    unknown = F.raise_error(F.concat(F.lit("the model has no frame "), F.col("frame").cast("string"))).cast("double")
+    return at.withColumn("c", F.when(F.col("__known").isNull(), unknown).otherwise(F.coalesce(top + F.col("__ty") * (low - top), F.lit(0.0)))).select(*pixels.columns, "c")

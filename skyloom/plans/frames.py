@@ -67,10 +67,10 @@ def quality_factor(spark, sf):
     return table(spark, sf, "customer").select(C("c_custkey").alias("id"), fr.quality_factor(C("c_custkey") % 32).alias("qf"))
 
 
-@query("x_upm_raw_weight", f"WITH {_LI}, f AS (SELECT *, p % 32 AS f FROM li) SELECT id, p, round(CASE WHEN d > 0 THEN {_QF} * d END, 6) AS w, round({_QF} * least(1, greatest(0, t * 20)) * (q * q / (1 + q * q)) / greatest(abs(d), 0.001) ** 2, 4) AS legacy FROM f")
+@query("x_upm_raw_weight", f"WITH {_LI}, f AS (SELECT *, p % 32 AS f FROM li) SELECT id, p, round({_QF} * d, 6) AS w, round({_QF} * least(1, greatest(0, t * 20)) * (q * q / (1 + q * q)) / greatest(abs(d), 0.001) ** 2, 4) AS legacy FROM f WHERE d > 0")
 def upm_raw_weight(spark, sf):
     f = C("p") % 32
-    return _li(spark, sf).select("id", "p", F.round(fr.control_weight(f, C("d")), 6).alias("w"), F.round(fr.legacy_weight(f, C("t") * 20, C("q"), C("d")), 4).alias("legacy"))
+    return _li(spark, sf).where("d > 0").select("id", "p", F.round(fr.control_weight(f, C("d")), 6).alias("w"), F.round(fr.legacy_weight(f, C("t") * 20, C("q"), C("d")), 4).alias("legacy"))
 
 
 @query("x_huber", f"WITH {_LI}, r AS (SELECT id, p, (q - 25) / 10 AS r FROM li) SELECT id, p, round(CASE WHEN abs(r) <= 1.345 THEN 0.5 * r * r ELSE 1.345 * (abs(r) - 0.6725) END, 6) AS rho, round(CASE WHEN abs(r) <= 1.345 THEN 1 ELSE 1.345 / abs(r) END, 6) AS w FROM r")
