@@ -25,8 +25,8 @@ from skyloom.llm.words import runs, word_hashes
 # Notices by which authors apply a licence.
 TEMPLATES: dict[str, tuple[str, ...]] = {
     "AGPL-3.0": ("This program is licensed under the GNU Affero General Public License, version 3.", "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation"),
-    "Apache-2.0": ("Licensed under the Apache License, Version 2.0.", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.", "SPDX-License-Identifier: Apache-2.0"),
-    "BSD-3-Clause": ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met", "Released under the BSD 3-Clause License.", "Use of this source code is governed by a BSD-style license"),
+    "Apache-2.0": ("Licensed under the Apache License, Version 2.0.", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.", "SPDX-License-Identifier: Apache-2.0"),
+    "BSD-3-Clause": ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met", "Released under the BSD 3-Clause License.", "Use of this source code is governed by a BSD-style license", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
     "CC-BY-4.0": ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "Licensed under CC BY 4.0."),
     "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
@@ -34,7 +34,12 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "GPL-2.0": ("This work is licensed under the GNU General Public License, version 2.", "under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License"),
     "GPL-3.0": ("This work is licensed under the GNU General Public License, version 3.", "under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License"),
     "LGPL-3.0": ("This library is licensed under the GNU Lesser General Public License, version 3.", "under the terms of the GNU Lesser General Public License", "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License"),
-    "MIT": ("Released under the MIT License.", "Licensed under the MIT license.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+    "MIT": ("Released under the MIT License.", "Licensed under the MIT license.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    "BSL-1.0": ("Distributed under the Boost Software License, Version 1.0.", "Boost Software License - Version 1.0 - August 17th, 2003"),
+    "EPL-2.0": ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at", "Licensed under the Eclipse Public License 2.0."),
+    "ISC": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.", "Licensed under the ISC License."),
+    "Unlicense": ("This is free and unencumbered software released into the public domain.", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+    "Zlib": ("This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.", "Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software."),
     "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Licensed under the Mozilla Public License 2.0."),
 }
 FAMILIES = tuple(TEMPLATES)
@@ -46,12 +51,13 @@ _LINE = re.compile(r"[^\n]+")
 
 @dataclass(frozen=True)
 class Licenses:
-    """max_background bounds the paragraphs of the corpus that the model is fitted on; scanning reads every text whole. window: words of a paragraph that are judged at once, half of them shared with the next window."""
+    """max_background bounds the paragraphs of the corpus that the model is fitted on, twice that at most, and max_chars each of them; scanning reads every text whole. window: words of a paragraph that are judged at once, half of them shared with the next window."""
 
     bits: int = 16
     window: int = 64
     variants: int = 120
     max_background: int = 4000
+    max_chars: int = 4000
     rounds: int = 150
     ridge: float = 1e-4
     false_share: float = 1e-3
@@ -117,8 +123,8 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def similarity(words: list[str], family: str) -> float:
-    """Share of a template's words that stand in the paragraph in the same order, for the best template."""
+def similarity(words: list[str], family: str, either: bool = False) -> float:
+    """Share of a template's words that stand in the paragraph in the same order, for the best template; either: of the shorter one's words, so that a piece of a notice is like it."""
     best = 0.0
     for t in TEMPLATES[family]:
         want = re.findall(r"[a-z0-9]+", t.lower())
@@ -127,7 +133,7 @@ def similarity(words: list[str], family: str) -> float:
             before = 0
             for j, y in enumerate(words, 1):
                 before, row[j] = row[j], before + 1 if x == y else max(row[j], row[j - 1])
-        best = max(best, row[-1] / len(want))
+        best = max(best, row[-1] / max(1, min(len(want), len(words)) if either else len(want)))
     return best
 
 
@@ -151,14 +157,28 @@ def _arrays(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in raw])])
 
 
+def background_paragraphs(docs: DataFrame, p: Licenses, text_col: str = "text") -> list[str]:
+    """At most window words of a random line of each of about max_background distinct texts, drawn by hash from all; short lines of fewer than 20 characters don't count."""
+    text = docs.select(text_or_empty(text_col).alias("text")).where("length(text) > 0").select(F.xxhash64("text").alias("h"), "text")
+    distinct = text.agg(F.approx_count_distinct("h")).first()[0]
+    share = min(1.0, p.max_background / max(1, distinct))
+    lines = F.filter(F.split("text", "\n"), lambda x: F.length(F.trim(x)) > 0)
+    drawn = text.where(F.pmod(F.xxhash64("h"), F.lit(1 << 30)) < int(share * (1 << 30))).withColumn("lines", lines)
+    drawn = drawn.select("h", F.filter(F.split(F.get("lines", F.pmod(F.xxhash64("h", F.lit(1)), F.greatest(F.size("lines"), F.lit(1))).cast("int")), r"\s+"), lambda w: w != "").alias("words"))
+    at = F.pmod(F.xxhash64("h", F.lit(2)), F.greatest(F.size("words") - p.window + 1, F.lit(1))).cast("int")
+    part = F.substring(F.array_join(F.slice("words", at + 1, p.window), " "), 1, p.max_chars)
+    rows = drawn.select("h", part.alias("part")).groupBy("h").agg(F.first("part").alias("part")).where("length(part) > 20")  # of equal texts one
+    return [r.part for r in rows.orderBy("h").limit(2 * p.max_background).collect()]
+
+
 def train(docs: DataFrame, p: Licenses = Licenses(), text_col: str = "text") -> Model:
-    """Fit on varied notices and on at most max_background first lines of texts, those of the least hashes. Without texts, background is the notices' words in random order."""
-    line = F.substring(F.element_at(F.split(text_or_empty(text_col), "\n"), 1), 1, 400)
-    background = [r.line for r in docs.select(line.alias("line")).where("length(line) > 20").distinct().orderBy(F.xxhash64("line"), "line").limit(p.max_background).collect()]
+    """Fit on varied notices and on paragraphs of about max_background texts. Without texts, background is the notices' words in random order."""
+    background = background_paragraphs(docs, p, text_col)
     rng = np.random.default_rng(p.seed)
-    scrambled = [" ".join(rng.permutation(t.split())[: int(rng.integers(2, 8))]) for ts in TEMPLATES.values() for t in ts for _ in range(6)]
+    pool = [w for ts in TEMPLATES.values() for t in ts for w in t.split()]  # of all families: the words of one notice in another order would speak for it
+    scrambled = [" ".join(pool[i] for i in rng.integers(0, len(pool), int(rng.integers(2, 8)))) for _ in range(6 * sum(len(ts) for ts in TEMPLATES.values()))]
     filler = [w for t in background[:200] for w in t.split()]
-    background = [t for t in background if max(similarity(re.findall(r"[a-z0-9]+", t.lower())[: p.window], f) for f in FAMILIES) < 0.5] + scrambled
+    background = [t for t in background if max(similarity(re.findall(r"[a-z0-9]+", t.lower())[: p.window], f, either=True) for f in FAMILIES) < 0.5] + scrambled
     texts, labels = _varied(rng, filler, p)
     y = np.array(labels + [len(FAMILIES)] * len(background))
     data, off = _arrays(texts + background)

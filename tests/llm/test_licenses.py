@@ -13,6 +13,10 @@ NOTICES = {
     "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
     "GPL-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
 }
+NOTICES |= {
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "Unlicense": "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+}
 GPL = NOTICES["GPL-3.0"]
 NOTICES |= {"GPL-2.0": GPL.replace(", either version 3", "; either version 2"), "AGPL-3.0": GPL.replace("GNU General", "GNU Affero General"), "LGPL-3.0": GPL.replace("GNU General", "GNU Lesser General")}
 MARKS = ["", "# ", " * ", "// "]
@@ -35,3 +39,13 @@ def test_wrapped_notices(found, family, mark):
 
 def test_wrapped_prose_has_no_licence(found):
     assert not [i for i, r in found.items() if i >= 100 and (r.family or r.n_licensed)]
+
+
+def test_background_is_drawn_from_whole_texts(spark):
+    docs = spark.createDataFrame([(i, "\n".join(f"text{i} line{j} " + "word " * (200 if j == 5 else 10) for j in range(6))) for i in range(3000)] + [(5000 + i, "the same text again and again") for i in range(2000)], "doc_id long, text string")
+    p = licenses.Licenses(max_background=300, window=32)
+    got = licenses.background_paragraphs(docs, p)
+    assert 200 < len(got) < 420 and got.count("the same text again and again") <= 1 and max(len(t.split()) for t in got) <= 32
+    assert len({t.split()[1] for t in got if t.startswith("text")}) > 4  # any line, not the first
+    assert any(t.startswith("word") for t in got)  # any place of a long line
+    assert got == licenses.background_paragraphs(docs.repartition(7), p)
