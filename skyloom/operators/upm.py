@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.functions.frames import huber_rho, huber_weight
+from skyloom.functions.frames import huber_rho
 from skyloom.operators.robust import components
 from skyloom.session import cut
 
@@ -30,32 +30,64 @@ def _residual(floor: float) -> Column:
     return (F.col("v") - F.col("m") - F.col("c")) / F.greatest(F.abs(F.col("unc")), F.lit(floor))
 
 
+def _rounds(t: pa.Table, rounds: int, anchor: float, delta: float, floor: float):
+    """Rounds over one control's observations: its frames, m, their c, and how far m or a c moved in each round."""
+    col = lambda c: np.asarray(t.column(c).to_numpy(), np.float64)
+    v, unc, w = col("v"), np.maximum(np.abs(col("unc")), floor), col("w")
+    null = np.zeros(len(v), bool)
+    for c in ("v", "unc", "w"):
+        null |= t.column(c).is_null().to_numpy()
+    v, unc, w = np.where(null, 0.0, v), np.where(null, 1.0, unc), np.where(null, 0.0, w)
+    frames, at = np.unique(t.column("frame").to_numpy(), return_inverse=True)
+    own = (t.column("frame").to_numpy() == t.column("reference").to_numpy())
+    held = np.zeros(len(frames), bool)
+    held[at[own]] = True
+    m, c, moved = float((w * v).sum() / w.sum()) if w.sum() != 0 else 0.0, np.zeros(len(frames)), np.zeros(rounds)
+    for k in range(rounds):
+        off = np.abs((v - m - c[at]) / unc)
+        h = w * np.where(off <= delta, 1.0, delta / np.maximum(off, delta))
+        hv = h * (v - c[at])
+        m_new = next((float(hv[s].sum() / h[s].sum()) for s in (own, slice(None)) if h[s].sum() > 1e-12), m)
+        down = np.bincount(at, h, len(frames)) + anchor
+        free = ~held & (down > 0)
+        c_new = np.where(free, np.bincount(at, h * (v - m_new), len(frames)) / np.where(free, down, 1.0), 0.0)
+        moved[k] = max(abs(m_new - m), np.abs(c_new - c).max())
+        m, c = m_new, c_new
+        if moved[k] == 0:
+            break
+    return frames, m, c, moved
+
+
 def fit(obs: DataFrame, rounds: int = 100, tolerance: float = 1e-6, anchor: float = 1e-3, delta: float = 1.345, floor: float = 1e-3) -> tuple[DataFrame, DataFrame]:
     """(control, m) and (frame, control, c) of obs (frame, control, v, unc, w), without smoothing between controls.
 
     A round weighs residuals by Huber's function, takes m from the reference frame where it has weight and from all
     frames otherwise, then c from the new m; the reference frame's c is 0, and so is c without weight and anchor. It
-    ends when no m or c moves by tolerance or more. Each round's small tables are checkpointed.
+    ends when no m or c of any control moves by tolerance or more. An observation with a null weighs nothing.
+
+    Without smoothing a control's rounds need its own observations alone, one a frame or a few; so each control is
+    solved in one group, first to learn how far it moves in each round, then for as many rounds as the slowest needs.
     """
-    obs = cut(obs.join(gauge(obs), "frame"))
-    mean = F.try_divide(F.sum(F.col("w") * F.col("v")), F.sum("w"))
-    m = cut(obs.groupBy("control").agg(F.coalesce(mean, F.lit(0.0)).alias("m")))
-    c = cut(obs.select("frame", "control").distinct().withColumn("c", F.lit(0.0)))
-    for _ in range(rounds):
-        rows = obs.join(m, "control").join(c, ["frame", "control"]).withColumn("h", F.col("w") * huber_weight(_residual(floor), delta))
-        own = F.col("frame") == F.col("reference")
-        take = lambda cond: (F.sum(F.when(cond, F.col("h"))), F.sum(F.when(cond, F.col("h") * (F.col("v") - F.col("c")))))
-        (rw, rs), (aw, as_) = take(own), take(F.lit(True))
-        new_m = cut(rows.groupBy("control").agg(F.when(rw > 1e-12, rs / rw).when(aw > 1e-12, as_ / aw).otherwise(F.first("m")).alias("m"), F.first("m").alias("old")))
-        pull = rows.drop("m").join(new_m.select("control", "m"), "control").groupBy("frame", "control")
-        free = F.first("frame") != F.first("reference")
-        weight, part = F.sum("h") + anchor, F.sum(F.col("h") * (F.col("v") - F.col("m")))
-        new_c = cut(pull.agg(F.when(free & (weight > 0), part / weight).otherwise(0.0).alias("c"), F.first("c").alias("old")))
-        moved = new_m.select(F.abs(F.col("m") - F.col("old")).alias("d")).unionByName(new_c.select(F.abs(F.col("c") - F.col("old")).alias("d"))).agg(F.max("d")).first()[0]
-        m, c = new_m.select("control", "m"), new_c.select("frame", "control", "c")
-        if moved is None or moved < tolerance:
-            break
-    return m, c
+    obs = cut(obs.join(gauge(obs), "frame").select("frame", "control", "reference", *[F.col(x).cast("double").alias(x) for x in ("v", "unc", "w")]))
+    kind = {f.name: f.dataType.simpleString() for f in obs.schema}
+    by_control = obs.groupBy("control")
+    if tolerance > 0:
+
+        def moves(t):
+            moved = _rounds(t, rounds, anchor, delta, floor)[3]
+            return pa.table({"round": pa.array(np.arange(1, rounds + 1), pa.int32()), "moved": pa.array(moved)})
+
+        still = by_control.applyInArrow(moves, "round int, moved double").groupBy("round").agg(F.max("moved").alias("moved")).where(F.col("moved") < tolerance)
+        first = still.agg(F.min("round")).first()[0]
+        rounds = first if first is not None else rounds
+
+    def solve(t):
+        frames, m, c, _ = _rounds(t, rounds, anchor, delta, floor)
+        control = t.column("control")[0].as_py()
+        return pa.table({"frame": pa.array(frames, t.schema.field("frame").type), "control": pa.array([control] * len(frames), t.schema.field("control").type), "m": pa.array(np.full(len(frames), m)), "c": pa.array(c)})
+
+    solved = cut(by_control.applyInArrow(solve, f"frame {kind['frame']}, control {kind['control']}, m double, c double"))
+    return solved.select("control", "m").distinct(), solved.select("frame", "control", "c")
 
 
 def smoothed(nodes: DataFrame, links: DataFrame, smoothing: float, anchor: float, steps: int = 200) -> DataFrame:

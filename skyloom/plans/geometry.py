@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from skyloom.functions import frames as fr
 from skyloom.functions import healpix as hp
 from skyloom.plans.registry import query
-from skyloom.plans.roles import CATALOG, POINTINGS, catalog, pointings, table
+from skyloom.plans.roles import CATALOG, PAIR, POINTINGS, catalog, paired, table
 
 
 def morton_sql(x: str, y: str) -> str:
@@ -74,9 +74,9 @@ def distance_sql(ra1: str, dec1: str, ra2: str, dec2: str) -> str:
     return _DIST.format(ra1, dec1, ra2, dec2)
 
 
-@query("x_angdist", f"WITH {CATALOG}, {POINTINGS} SELECT source_id, point_id, round({distance_sql('ra', 'dec', 'ra0', 'dec0')}, 6) AS dist FROM cat JOIN pt ON source_id % 100 = point_id")
+@query("x_angdist", f"WITH {CATALOG}, {POINTINGS} SELECT source_id, point_id, round({distance_sql('ra', 'dec', 'ra0', 'dec0')}, 6) AS dist FROM cat {PAIR}")
 def angdist(spark, sf):
-    both = catalog(spark, sf).join(pointings(spark, sf), F.col("source_id") % 100 == F.col("point_id"))
+    both = paired(spark, sf)
     return both.select("source_id", "point_id", F.round(hp.angular_distance(F.col("ra"), F.col("dec"), F.col("ra0"), F.col("dec0")), 6).alias("dist"))
 
 
@@ -92,21 +92,21 @@ def neighbors(spark, sf):
     return hp.neighbours(p, 5)
 
 
-_TAN = f"""WITH {CATALOG}, {POINTINGS}, j AS (SELECT source_id, ra, dec, ra0, dec0, radians(ra - ra0) AS a, radians(dec) AS d, radians(dec0) AS d0 FROM cat JOIN pt ON source_id % 100 = point_id),
+_TAN = f"""WITH {CATALOG}, {POINTINGS}, j AS (SELECT source_id, ra, dec, ra0, dec0, radians(ra - ra0) AS a, radians(dec) AS d, radians(dec0) AS d0 FROM cat {PAIR}),
 c AS (SELECT *, sin(d0) * sin(d) + cos(d0) * cos(d) * cos(a) AS c FROM j),
 t AS (SELECT *, degrees(cos(d) * sin(a) / c) AS xi, degrees((cos(d0) * sin(d) - sin(d0) * cos(d) * cos(a)) / c) AS eta FROM c WHERE c > 0.2)"""
 
 
 @query("x_tan_forward", f"{_TAN} SELECT source_id, round(xi, 6) AS xi, round(eta, 6) AS eta FROM t")
 def tan_forward(spark, sf):
-    both = catalog(spark, sf).join(pointings(spark, sf), F.col("source_id") % 100 == F.col("point_id"))
+    both = paired(spark, sf)
     xi, eta, c = fr.tangent_forward(F.col("ra"), F.col("dec"), F.col("ra0"), F.col("dec0"))
     return both.where(c > 0.2).select("source_id", F.round(xi, 6).alias("xi"), F.round(eta, 6).alias("eta"))
 
 
 @query("x_tan_inverse", f"{_TAN} SELECT source_id, round(abs(((ra - ra0 + 540) % 360) - 180), 5) AS dra, round(dec, 5) AS dec FROM t")
 def tan_inverse(spark, sf):
-    both = catalog(spark, sf).join(pointings(spark, sf), F.col("source_id") % 100 == F.col("point_id"))
+    both = paired(spark, sf)
     xi, eta, c = fr.tangent_forward(F.col("ra"), F.col("dec"), F.col("ra0"), F.col("dec0"))
     plane = both.where(c > 0.2).select("source_id", "ra0", "dec0", xi.alias("xi"), eta.alias("eta"))
     ra, dec = fr.tangent_inverse(F.col("xi"), F.col("eta"), F.col("ra0"), F.col("dec0"))
@@ -125,7 +125,7 @@ def sip(spark, sf):
 
 @query("x_sky_to_pixel", f"{_TAN}, p AS (SELECT source_id, (xi * 0.9 + eta * 0.1) * 10 AS dx, (eta * 0.9 - xi * 0.1) * 10 AS dy FROM t) SELECT source_id, round(2048 + dx + 1e-5 * dx * dx - 2e-5 * dx * dy, 5) AS px, round(2048 + dy + 3e-5 * dy * dy, 5) AS py FROM p")
 def sky_to_pixel(spark, sf):
-    both = catalog(spark, sf).join(pointings(spark, sf), F.col("source_id") % 100 == F.col("point_id"))
+    both = paired(spark, sf)
     xi, eta, c = fr.tangent_forward(F.col("ra"), F.col("dec"), F.col("ra0"), F.col("dec0"))
     p = both.where(c > 0.2).select("source_id", xi.alias("xi"), eta.alias("eta"))
     p = p.select("source_id", ((F.col("xi") * 0.9 + F.col("eta") * 0.1) * 10).alias("dx"), ((F.col("eta") * 0.9 - F.col("xi") * 0.1) * 10).alias("dy"))
@@ -143,11 +143,11 @@ def polygon_area(spark, sf):
 
 
 @query("x_slerp", f"""WITH {CATALOG}, {POINTINGS}, j AS (SELECT source_id, cos(radians(dec)) * cos(radians(ra)) AS ax, cos(radians(dec)) * sin(radians(ra)) AS ay, sin(radians(dec)) AS az,
- cos(radians(dec0)) * cos(radians(ra0)) AS bx, cos(radians(dec0)) * sin(radians(ra0)) AS by_, sin(radians(dec0)) AS bz FROM cat JOIN pt ON source_id % 100 = point_id),
+ cos(radians(dec0)) * cos(radians(ra0)) AS bx, cos(radians(dec0)) * sin(radians(ra0)) AS by_, sin(radians(dec0)) AS bz FROM cat {PAIR}),
 w AS (SELECT *, acos(greatest(-1, least(1, ax * bx + ay * by_ + az * bz))) AS w FROM j)
 SELECT source_id, round((ax * sin(0.75 * w) + bx * sin(0.25 * w)) / sin(w), 6) AS x, round((ay * sin(0.75 * w) + by_ * sin(0.25 * w)) / sin(w), 6) AS y, round((az * sin(0.75 * w) + bz * sin(0.25 * w)) / sin(w), 6) AS z FROM w""")
 def slerp(spark, sf):
-    both = catalog(spark, sf).join(pointings(spark, sf), F.col("source_id") % 100 == F.col("point_id"))
+    both = paired(spark, sf)
     v = fr.slerp(fr.direction(F.col("ra"), F.col("dec")), fr.direction(F.col("ra0"), F.col("dec0")), F.lit(0.25))
     return both.select("source_id", v.alias("v")).select("source_id", *[F.round(F.col("v")[c], 6).alias(c) for c in "xyz"])
 

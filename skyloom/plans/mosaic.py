@@ -25,14 +25,28 @@ m{_i + 1} AS (SELECT control, CASE WHEN sum(h) FILTER (WHERE frame = 0) > 1e-12
 c{_i + 1} AS (SELECT frame, h.control, CASE WHEN frame = 0 THEN 0 ELSE sum(h * (v - m)) / (sum(h) + 0.001) END AS c FROM h{_i} h JOIN m{_i + 1} m ON h.control = m.control GROUP BY frame, h.control)"""
 
 
-@query("upm_fit", f"{_OBS} SELECT c.frame, c.control, round(m, 6) AS m, round(c, 6) AS c FROM c{ROUNDS} c JOIN m{ROUNDS} m ON c.control = m.control")
+@query("upm_fit")
 def fit(spark, sf):
+    """The model fitted until nothing moves by 1e-6, in 100 rounds at most: too many to unroll in SQL."""
+    m, c = upm.fit(_obs(spark, sf))
+    return c.join(m, "control").select("frame", "control", F.round("m", 6).alias("m"), F.round("c", 6).alias("c"))
+
+
+@query("upm_fit_steps", f"{_OBS} SELECT c.frame, c.control, round(m, 6) AS m, round(c, 6) AS c FROM c{ROUNDS} c JOIN m{ROUNDS} m ON c.control = m.control")
+def fit_steps(spark, sf):
+    """The first three rounds, which SQL can follow."""
     m, c = upm.fit(_obs(spark, sf), rounds=ROUNDS, tolerance=0.0)
     return c.join(m, "control").select("frame", "control", F.round("m", 6).alias("m"), F.round("c", 6).alias("c"))
 
 
-@query("upm_objective", f"{_OBS} SELECT round(sum(w * CASE WHEN abs((v - m - c) / 0.02) <= 1.345 THEN 0.5 * ((v - m - c) / 0.02) ** 2 ELSE 1.345 * (abs((v - m - c) / 0.02) - 0.6725) END), 4) AS objective FROM o JOIN m{ROUNDS} m ON o.control = m.control JOIN c{ROUNDS} c ON o.frame = c.frame AND o.control = c.control")
+@query("upm_objective")
 def objective(spark, sf):
+    obs = _obs(spark, sf)
+    return upm.objective(obs, *upm.fit(obs)).select(F.round("objective", 4).alias("objective"))
+
+
+@query("upm_objective_steps", f"{_OBS} SELECT round(sum(w * CASE WHEN abs((v - m - c) / 0.02) <= 1.345 THEN 0.5 * ((v - m - c) / 0.02) ** 2 ELSE 1.345 * (abs((v - m - c) / 0.02) - 0.6725) END), 4) AS objective FROM o JOIN m{ROUNDS} m ON o.control = m.control JOIN c{ROUNDS} c ON o.frame = c.frame AND o.control = c.control")
+def objective_steps(spark, sf):
     obs = _obs(spark, sf)
     m, c = upm.fit(obs, rounds=ROUNDS, tolerance=0.0)
     return upm.objective(obs, m, c).select(F.round("objective", 4).alias("objective"))

@@ -27,6 +27,15 @@ def pointings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 POINTINGS = "pt AS (SELECT s_suppkey AS point_id, ((s_suppkey * 211) % 3600) / 10.0::DOUBLE + 0.033::DOUBLE AS ra0, ((s_suppkey * 97) % 1700) / 10.0::DOUBLE - 85 + 0.021::DOUBLE AS dec0 FROM supplier)"
 
+PAIR = "JOIN pt ON point_id = source_id % (SELECT count(*) FROM supplier)"
+
+
+def paired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every star with a pointing; the pointings, numbered from 0, are dealt out in turn."""
+    pt = pointings(spark, sf_dir)
+    return catalog(spark, sf_dir).withColumn("point_id", F.col("source_id") % pt.agg(F.count("*")).scalar()).join(pt, "point_id")
+
+
 STACK_ORDER = ["l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_returnflag", "l_extendedprice", "l_quantity", "l_discount"]
 
 

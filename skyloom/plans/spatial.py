@@ -9,7 +9,7 @@ from skyloom.functions import healpix as hp
 from skyloom.operators import spatial as sp
 from skyloom.plans.geometry import ang2pix_sql, distance_sql
 from skyloom.plans.registry import query
-from skyloom.plans.roles import CATALOG, POINTINGS, catalog, pointings, table
+from skyloom.plans.roles import CATALOG, POINTINGS, STACK_ORDER, catalog, pointings, table
 
 D = distance_sql("ra", "dec", "ra0", "dec0")
 NEAR = f"WITH {CATALOG}, {POINTINGS}, near AS (SELECT *, {D} AS dist FROM pt CROSS JOIN cat)"
@@ -133,12 +133,23 @@ def query_disc(spark, sf):
     return sp.cone_join(pointings(spark, sf), cells, 4.0).select("point_id", "cell")
 
 
-@query("j_coords", """WITH f AS (SELECT o_orderkey AS f, o_custkey AS k FROM orders), i AS (SELECT * FROM (SELECT c_custkey % 1000 AS k, c_acctbal AS exp, row_number() OVER (PARTITION BY c_custkey % 1000 ORDER BY c_custkey DESC) AS r FROM customer WHERE c_acctbal > 0) WHERE r = 1)
-SELECT f.f, f.k, i.exp FROM f JOIN i ON f.k = i.k""")
+_INFO = f"i AS (SELECT l_orderkey AS f, l_quantity AS exp FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(c + ' DESC' for c in STACK_ORDER)}) AS r FROM lineitem WHERE l_discount > 0) WHERE r = 1)"
+
+
+def _info(spark, sf):
+    """Of each file the last of its rows."""
+    return table(spark, sf, "lineitem").where("l_discount > 0").groupBy(F.col("l_orderkey").alias("f")).agg(F.max_by("l_quantity", F.struct(*STACK_ORDER)).alias("exp"))
+
+
+@query("j_coords", f"WITH {_INFO} SELECT o_orderkey AS f, o_custkey AS k, exp FROM orders JOIN i ON o_orderkey = f")
 def coords(spark, sf):
-    w = Window.partitionBy("k").orderBy(F.col("c_custkey").desc())
-    info = table(spark, sf, "customer").where("c_acctbal > 0").withColumn("k", F.col("c_custkey") % 1000).withColumn("r", F.row_number().over(w)).where("r = 1").select("k", F.col("c_acctbal").alias("exp"))
-    return table(spark, sf, "orders").select(F.col("o_orderkey").alias("f"), F.col("o_custkey").alias("k")).join(info, "k").select("f", "k", "exp")
+    return table(spark, sf, "orders").select(F.col("o_orderkey").alias("f"), F.col("o_custkey").alias("k")).join(_info(spark, sf), "f")
+
+
+@query("j_coords_unmatched", f"WITH {_INFO} SELECT count(*) AS files, count(exp) AS matched, count(*) - count(exp) AS unmatched FROM orders LEFT JOIN i ON o_orderkey = f")
+def coords_unmatched(spark, sf):
+    both = table(spark, sf, "orders").select(F.col("o_orderkey").alias("f")).join(_info(spark, sf), "f", "left")
+    return both.agg(F.count("*").alias("files"), F.count("exp").alias("matched"), (F.count("*") - F.count("exp")).alias("unmatched"))
 
 
 _BOUNDS = "bd AS (SELECT n_name AS const, (n_nationkey * 5 % 24)::DOUBLE AS ra_low, ((n_nationkey * 5 + 7) % 24)::DOUBLE AS ra_up, ((n_nationkey * 31) % 160 - 80)::DOUBLE AS de_low FROM nation)"

@@ -61,6 +61,52 @@ def test_fields_of_frames_are_found(spark):
     assert all(r.c == pytest.approx(0.3 * r.frame * r.control, abs=1e-6) for r in c.collect())
 
 
+def _plain_fit(obs, rounds, tolerance, anchor):
+    """The joint model of one component whose reference is its least frame, row by row."""
+    ref = min(o[0] for o in obs)
+    controls, pairs = {o[1] for o in obs}, {o[:2] for o in obs}
+    m = {k: sum(o[4] * o[2] for o in obs if o[1] == k) / sum(o[4] for o in obs if o[1] == k) for k in controls}
+    c = dict.fromkeys(pairs, 0.0)
+    for n in range(1, rounds + 1):
+        h = {}
+        for o in obs:
+            e = abs(o[2] - m[o[1]] - c[o[:2]]) / max(abs(o[3]), 1e-3)
+            h[o] = o[4] * (1 if e <= 1.345 else 1.345 / e)
+        new_m, new_c = {}, {}
+        for k in controls:
+            of_ref = [o for o in obs if o[1] == k and o[0] == ref]
+            use = of_ref if sum(h[o] for o in of_ref) > 1e-12 else [o for o in obs if o[1] == k]
+            new_m[k] = sum(h[o] * (o[2] - c[o[:2]]) for o in use) / sum(h[o] for o in use)
+        for f, k in pairs:
+            use = [o for o in obs if o[:2] == (f, k)]
+            new_c[f, k] = 0.0 if f == ref else sum(h[o] * (o[2] - new_m[k]) for o in use) / (sum(h[o] for o in use) + anchor)
+        moved = max([abs(new_m[k] - m[k]) for k in m] + [abs(new_c[p] - c[p]) for p in c])
+        m, c = new_m, new_c
+        if moved < tolerance:
+            break
+    return n, m, c
+
+
+def test_the_joint_model_is_a_plain_loop_run_to_its_tolerance(spark):
+    rng = np.random.default_rng(5)
+    obs = [(f, k, float(rng.normal(10 + k + 0.2 * f, 0.05 if rng.random() < 0.8 else 2.0)), float(rng.uniform(0, 0.1)), float(rng.uniform(0.1, 1))) for f in range(4) for k in range(5) for _ in range(3) if (f, k) != (0, 2)]
+    frame = spark.createDataFrame(obs, "frame long, control long, v double, unc double, w double")
+    n, m, c = _plain_fit(obs, 100, 1e-6, 1e-3)
+    assert n > 3
+    got_m, got_c = upm.fit(frame)
+    assert {r.control: r.m for r in got_m.collect()} == pytest.approx(m, abs=1e-10)
+    assert {(r.frame, r.control): r.c for r in got_c.collect()} == pytest.approx(c, abs=1e-10)
+
+
+def test_observations_with_nulls_weigh_nothing(spark):
+    rows = [(0, 1, 5.0, 0.1, 1.0), (1, 1, 7.0, 0.1, 1.0), (1, 1, None, 0.1, 1.0), (1, 1, 9.0, 0.1, None), (2, 1, None, 0.1, 1.0)]
+    m, c = upm.fit(spark.createDataFrame(rows, "frame long, control long, v double, unc double, w double"), anchor=0.0)
+    assert [r.m for r in m.collect()] == [5.0]
+    assert {r.frame: r.c for r in c.collect()} == {0: 0.0, 1: pytest.approx(2.0), 2: 0.0}
+    empty = upm.fit(spark.createDataFrame([], "frame long, control long, v double, unc double, w double"))
+    assert [x.count() for x in empty] == [0, 0]
+
+
 def test_fields_go_on_beyond_their_nodes(spark):
     nodes = spark.createDataFrame([(0, 7, x, y, 2.0 * (x * 64 + 32) + 3.0 * (y * 64 + 32)) for x in (2, 3, 4) for y in (1, 2)], "frame long, tile long, gx long, gy long, c double")
     pixels = spark.createDataFrame([(0, 7, 0, 0), (0, 7, 511, 300), (0, 7, 160, 96), (0, 8, 1, 1)], "frame long, tile long, x long, y long")
