@@ -17,13 +17,31 @@ def median(value: Column) -> Column:
     return F.percentile(value, F.lit(0.5))
 
 
-def upper_medians(df: DataFrame, keys: list[str], value: str, name: str = "med") -> DataFrame:
-    """(*keys, name): the value at place n // 2, from 0, of each group; nulls don't count."""
+def stack_upper_medians(df: DataFrame, keys: list[str], value: str, name: str = "med") -> DataFrame:
+    """upper_medians of many small groups, such as the stacks of pixels: each is ranked in one window."""
     w = Window.partitionBy(*keys)
     ranked = df.where(F.col(value).isNotNull()).withColumn("__r", F.row_number().over(w.orderBy(value))).withColumn("__n", F.count("*").over(w))
     return ranked.where(F.col("__r") == F.floor(F.col("__n") / 2) + 1).select(*keys, F.col(value).alias(name))
 
 
+def upper_medians(df: DataFrame, keys: list[str], value: str, name: str = "med") -> DataFrame:
+    """(*keys, name): the value at place n // 2, from 0, of each group; null values and keys don't count, NaN is the greatest.
+
+    Groups may be whole frames: a sketch of each, combined on the map side, gives two values close around the middle,
+    an exact count of what lies below and between them tells whether they hold it, and only distinct values between them
+    are ranked. A group whose sketch missed is ranked whole.
+    """
+    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("__v"))
+    v = F.col("__v")
+    near = rows.groupBy(*keys).agg(F.percentile_approx(F.nanvl(v.cast("double"), F.lit(float("inf"))), F.array(F.lit(0.499), F.lit(0.501)), F.lit(10_000)).alias("__q"))
+    at = rows.join(near, keys).withColumn("__side", F.when(v < F.col("__q")[0], -1).when(v > F.col("__q")[1], 1).otherwise(0))
+    held = at.groupBy(*keys).agg((F.floor(F.count("*") / 2) - F.count_if(F.col("__side") < 0)).alias("__place"), F.count_if(F.col("__side") == 0).alias("__n"), F.floor(F.count("*") / 2).alias("__whole"))
+    held = held.withColumn("__hit", (F.col("__place") >= 0) & (F.col("__place") < F.col("__n")))
+    counts = at.join(held, keys).where(~F.col("__hit") | (F.col("__side") == 0)).groupBy(*keys, "__v").agg(F.count("*").alias("__c"), F.first(F.when(F.col("__hit"), F.col("__place")).otherwise(F.col("__whole"))).alias("__place"))
+    run = counts.withColumn("__to", F.sum("__c").over(Window.partitionBy(*keys).orderBy("__v")))
+    return run.where((F.col("__place") < F.col("__to")) & (F.col("__place") >= F.col("__to") - F.col("__c"))).select(*keys, v.alias(name))
+
+
 def spreads(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """(*keys, med, dev): the median, and the median absolute deviation from it without any factor."""
     at = beside(df.select(*keys, value), keys, med=median(F.col(value)))

@@ -98,14 +98,16 @@ def inverse_distance(points: DataFrame, stars: DataFrame, radius: float, point_i
 def first_match(points: DataFrame, bounds: DataFrame, point_id: str, ra_h: str = "ra_h", dec: str = "dec") -> DataFrame:
     """(point_id, const): the bound of the greatest de_low that holds the point: de_low <= dec and ra_h in [ra_low, ra_up), across 24 h where ra_low > ra_up; ties by name; "" for none.
 
-    Bounds are spread over the whole hours that they touch, so the join is on the hour.
+    A point without declination (null or NaN) lies in none. Bounds are spread over the whole hours that they touch and,
+    from de_low up, over bands of declination, so the join is on the hour and the band.
     """
+    band = lambda c: F.least(F.lit(17), F.greatest(F.lit(0), F.floor((F.col(c) + 90) / 10))).cast("int")
     last = F.when(F.col("ra_up") == F.floor("ra_up"), F.col("ra_up") - 1).otherwise(F.floor("ra_up")).cast("int")
     first = F.floor("ra_low").cast("int")
     hours = F.when(F.col("ra_low") <= F.col("ra_up"), F.sequence(first, F.greatest(first, last))).otherwise(F.concat(F.sequence(first, F.lit(23)), F.sequence(F.lit(0), F.greatest(F.lit(0), last))))
-    spread = bounds.withColumn("__h", F.explode(F.array_distinct(hours)))
-    at = points.withColumn("__h", F.floor(F.col(ra_h)).cast("int"))
+    spread = bounds.withColumn("__h", F.explode(F.array_distinct(hours))).withColumn("__b", F.explode(F.sequence(band("de_low"), F.lit(17))))
+    at = points.where(~F.isnan(dec)).withColumns({"__h": F.floor(F.col(ra_h)).cast("int"), "__b": band(dec)})
     inside = F.when(F.col("ra_low") <= F.col("ra_up"), (F.col(ra_h) >= F.col("ra_low")) & (F.col(ra_h) < F.col("ra_up"))).otherwise((F.col(ra_h) >= F.col("ra_low")) | (F.col(ra_h) < F.col("ra_up")))
-    met = at.join(spread, "__h").where((F.col(dec) >= F.col("de_low")) & inside)
+    met = at.join(spread, ["__h", "__b"]).where((F.col(dec) >= F.col("de_low")) & inside)
     best = met.groupBy(point_id).agg(F.max(F.struct("de_low", "const")).alias("b")).select(point_id, F.col("b.const").alias("const"))
     return points.select(point_id).join(best, point_id, "left").select(point_id, F.coalesce("const", F.lit("")).alias("const"))

@@ -28,7 +28,7 @@ def median(spark, sf):
 
 @query("a_median_upper", f"WITH {SAMPLES}, r AS (SELECT pix, v, row_number() OVER (PARTITION BY pix ORDER BY v) AS k, count(*) OVER (PARTITION BY pix) AS n FROM sm) SELECT pix, round(v, 6) AS med FROM r WHERE k = n // 2 + 1")
 def median_upper(spark, sf):
-    return rb.upper_medians(samples(spark, sf), ["pix"], "v").select("pix", _r(C("med")).alias("med"))
+    return rb.stack_upper_medians(samples(spark, sf), ["pix"], "v").select("pix", _r(C("med")).alias("med"))
 
 
 @query("a_mad", f"WITH {SAMPLES}, m AS (SELECT pix, v, median(v) OVER (PARTITION BY pix) AS m FROM sm), d AS (SELECT pix, median(abs(v - m)) AS d FROM m GROUP BY pix) SELECT pix, round(d * 1.4826, 6) AS sigma, round(d * 1.482602218505602, 6) AS noise, round(d / 0.6745, 6) AS phot FROM d")

@@ -79,3 +79,28 @@ def test_scaled_integers_and_blanks():
     cards = [("SIMPLE", True), ("BITPIX", 16), ("NAXIS", 2), ("NAXIS1", 2), ("NAXIS2", 2), ("BSCALE", 2.0), ("BZERO", 10.0), ("BLANK", -32768)]
     got = fits.image(fits._cards(cards) + stored.tobytes().ljust(2880, b"\0"))
     assert got[0, 0] == 12 and math.isnan(got[0, 1]) and got[1, 1] == 18
+
+
+@pytest.mark.parametrize("find", [rb.upper_medians, rb.stack_upper_medians])
+def test_upper_medians_of_small_large_tied_and_odd_groups(spark, find):
+    rng = np.random.default_rng(11)
+    groups = [rng.normal(0, 1, 20_001), rng.normal(5, 1, 20_000), rng.integers(0, 3, 5000).astype(float), np.array([1.0]), np.array([2.0, 1.0]), np.full(3000, 7.0), np.append(rng.uniform(0, 1e-9, 999), [1e300] * 1000), np.array([1.0, math.inf, -math.inf, 2.0])]
+    rows = [(g, float(v)) for g, vs in enumerate(groups) for v in vs] + [(0, None), (9, None)]
+    rows += [(8, math.nan), (8, math.nan), (8, 1.0)]
+    got = {r.g: r.med for r in find(spark.createDataFrame(rows, "g long, v double").repartition(5), ["g"], "v").collect()}
+    assert math.isnan(got.pop(8))
+    assert got == {g: float(np.sort(vs)[len(vs) // 2]) for g, vs in enumerate(groups)}
+
+
+def test_first_match_takes_the_highest_bound_that_holds_the_point(spark):
+    rng = np.random.default_rng(12)
+    bounds = [(float(rng.uniform(0, 24)), float(rng.uniform(0, 24)), float(rng.uniform(-95, 90)), f"B{i:02}") for i in range(30)] + [(22.0, 3.0, -20.0, "W1"), (0.0, 24.0, 88.5, "CAP")]
+    points = [(i, float(rng.uniform(0, 24)), float(rng.uniform(-90, 90))) for i in range(400)] + [(900, 0.0, 90.0), (901, 23.999, -90.0), (902, 3.0, -20.0)]
+
+    def plain(ra, dec):
+        held = [(lo, n) for a, b, lo, n in bounds if dec >= lo and (a <= ra < b if a <= b else ra >= a or ra < b)]
+        return max(held)[1] if held else ""
+
+    frame = spark.createDataFrame(points + [(903, 1.0, None), (904, 1.0, math.nan)], "id long, ra_h double, dec double")
+    got = dict(map(tuple, sp.first_match(frame, spark.createDataFrame(bounds, "ra_low double, ra_up double, de_low double, const string"), "id").select("id", "const").collect()))
+    assert got == {i: plain(ra, dec) for i, ra, dec in points} | {903: "", 904: ""}
