@@ -25,21 +25,35 @@ def stack_upper_medians(df: DataFrame, keys: list[str], value: str, name: str =
 
 
 def upper_medians(df: DataFrame, keys: list[str], value: str, name: str = "med") -> DataFrame:
-    """(*keys, name): the value at place n // 2, from 0, of each group; null values and keys don't count, NaN is the greatest.
+    """(*keys, name): the value at place n // 2, from 0, of each group, however large; null values and keys don't count, NaN is the greatest."""
+    return order_statistics(df, keys, value, {name: 0.5})
 
-    Groups may be whole frames: a sketch of each, combined on the map side, gives two values close around the middle,
-    an exact count of what lies below and between them tells whether they hold it, and only distinct values between them
+
+def order_statistics(df: DataFrame, keys: list[str], value: str, shares: dict[str, float]) -> DataFrame:
+    """(*keys, a column for each of shares): the value at place floor(n * share), from 0 and n - 1 at most, of each group; null values and keys don't count, NaN is the greatest.
+
+    Groups may be whole frames: a sketch of each, combined on the map side, gives two values close around each place, an
+    exact count of what lies below and between them tells whether they hold it, and only distinct values between them
     are ranked. A group whose sketch missed is ranked whole.
     """
+    v, every = F.col("__v"), list(enumerate(shares.items()))
     rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("__v"))
-    v = F.col("__v")
-    near = rows.groupBy(*keys).agg(F.percentile_approx(F.nanvl(v.cast("double"), F.lit(float("inf"))), F.array(F.lit(0.499), F.lit(0.501)), F.lit(10_000)).alias("__q"))
-    at = rows.join(near, keys).withColumn("__side", F.when(v < F.col("__q")[0], -1).when(v > F.col("__q")[1], 1).otherwise(0))
-    held = at.groupBy(*keys).agg((F.floor(F.count("*") / 2) - F.count_if(F.col("__side") < 0)).alias("__place"), F.count_if(F.col("__side") == 0).alias("__n"), F.floor(F.count("*") / 2).alias("__whole"))
-    held = held.withColumn("__hit", (F.col("__place") >= 0) & (F.col("__place") < F.col("__n")))
-    counts = at.join(held, keys).where(~F.col("__hit") | (F.col("__side") == 0)).groupBy(*keys, "__v").agg(F.count("*").alias("__c"), F.first(F.when(F.col("__hit"), F.col("__place")).otherwise(F.col("__whole"))).alias("__place"))
-    run = counts.withColumn("__to", F.sum("__c").over(Window.partitionBy(*keys).orderBy("__v")))
-    return run.where((F.col("__place") < F.col("__to")) & (F.col("__place") >= F.col("__to") - F.col("__c"))).select(*keys, v.alias(name))
+    around = F.array(*[F.lit(min(1.0, max(0.0, s + d))) for s in shares.values() for d in (-0.001, 0.001)])
+    near = rows.groupBy(*keys).agg(F.percentile_approx(F.nanvl(v.cast("double"), F.lit(float("inf"))), around, F.lit(10_000)).alias("__q"))
+    side = lambda k: F.when(v < F.col("__q")[2 * k], -1).when(v > F.col("__q")[2 * k + 1], 1).otherwise(0)
+    at = rows.join(near, keys)
+    place = lambda s: F.least(F.count("*") - 1, F.floor(F.count("*") * F.lit(s)))
+    held = at.groupBy(*keys).agg(*[F.struct(place(s).alias("place"), F.count_if(side(k) < 0).alias("below"), F.count_if(side(k) == 0).alias("n")).alias(f"__h{k}") for k, (_, s) in every])
+    parts = []
+    for k, _ in every:
+        h = F.col(f"__h{k}")
+        hit = (h["place"] >= h["below"]) & (h["place"] < h["below"] + h["n"])
+        parts.append(F.when(~hit | (side(k) == 0), F.struct(F.lit(k).alias("k"), F.when(hit, h["place"] - h["below"]).otherwise(h["place"]).alias("place"))))
+    some = at.join(held, keys).select(*keys, "__v", F.explode(F.filter(F.array(*parts), lambda x: x.isNotNull())).alias("__p"))
+    counts = some.groupBy(*keys, F.col("__p.k").alias("__k"), "__v").agg(F.count("*").alias("__c"), F.first("__p.place").alias("__place"))
+    run = counts.withColumn("__to", F.sum("__c").over(Window.partitionBy(*keys, "__k").orderBy("__v")))
+    found = run.where((F.col("__place") < F.col("__to")) & (F.col("__place") >= F.col("__to") - F.col("__c")))
+    return found.groupBy(*keys).agg(*[F.max(F.when(F.col("__k") == k, v)).alias(name) for k, (name, _) in every])
 
 
 def spreads(df: DataFrame, keys: list[str], value: str) -> DataFrame:

@@ -202,10 +202,7 @@ def stack_legacy(spark, sf):
 
 @query("a_auto_stretch", f"WITH {IMAGE}, r AS (SELECT frame, value, row_number() OVER (PARTITION BY frame ORDER BY value) - 1 AS k, count(*) OVER (PARTITION BY frame) AS n FROM im WHERE value > 0), a AS (SELECT frame, max(CASE WHEN k = floor(n * 0.005) THEN value END) AS lo, max(CASE WHEN k = least(n - 1, floor(n * 0.995)) THEN value END) AS hi, max(CASE WHEN k = n // 2 THEN value END) AS med FROM r GROUP BY frame) SELECT frame, lo, hi, round(least(0.99, greatest(0.01, (med - lo) / CASE WHEN hi - lo < 1e-30 THEN 1 ELSE hi - lo END)), 6) AS mid FROM a")
 def auto_stretch(spark, sf):
-    w = Window.partitionBy("frame")
-    r = image(spark, sf).where("value > 0").withColumn("k", F.row_number().over(w.orderBy("value")) - 1).withColumn("n", F.count("*").over(w))
-    at = lambda k: F.max(F.when(C("k") == k, C("value")))
-    a = r.groupBy("frame").agg(at(F.floor(C("n") * 0.005)).alias("lo"), at(F.least(C("n") - 1, F.floor(C("n") * 0.995))).alias("hi"), at(F.floor(C("n") / 2)).alias("med"))
+    a = rb.order_statistics(image(spark, sf).where("value > 0"), ["frame"], "value", {"lo": 0.005, "hi": 0.995, "med": 0.5})
     span = C("hi") - C("lo")
     return a.select("frame", "lo", "hi", _r(fr.clamp((C("med") - C("lo")) / F.when(span < 1e-30, 1.0).otherwise(span), 0.01, 0.99)).alias("mid"))
 

@@ -104,3 +104,12 @@ def test_first_match_takes_the_highest_bound_that_holds_the_point(spark):
     frame = spark.createDataFrame(points + [(903, 1.0, None), (904, 1.0, math.nan)], "id long, ra_h double, dec double")
     got = dict(map(tuple, sp.first_match(frame, spark.createDataFrame(bounds, "ra_low double, ra_up double, de_low double, const string"), "id").select("id", "const").collect()))
     assert got == {i: plain(ra, dec) for i, ra, dec in points} | {903: "", 904: ""}
+
+
+def test_order_statistics_of_several_shares(spark):
+    rng = np.random.default_rng(13)
+    groups = [rng.normal(0, 1, 30_000), np.append(np.zeros(9000), rng.uniform(0, 5, 50)), np.arange(3.0), np.array([4.0])]
+    shares = {"first": 0.0, "low": 0.005, "mid": 0.5, "high": 0.995, "last": 1.0}
+    frame = spark.createDataFrame([(g, float(v)) for g, vs in enumerate(groups) for v in vs], "g long, v double").repartition(4)
+    got = {r.g: r.asDict() for r in rb.order_statistics(frame, ["g"], "v", shares).collect()}
+    assert got == {g: {"g": g} | {name: float(np.sort(vs)[min(len(vs) - 1, int(len(vs) * s))]) for name, s in shares.items()} for g, vs in enumerate(groups)}
