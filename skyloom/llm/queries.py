@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm import imatch, jpeg, licenses, linedup, minhash, mixing, packing, quality, suffixdup, toxicity, warc, whitening
+from skyloom.llm import alignment, imatch, jpeg, licenses, linedup, minhash, mixing, packing, quality, suffixdup, toxicity, warc, whitening
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -70,6 +70,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixdup.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(_table(spark, sf_dir, "embeddings"))
 
@@ -78,5 +82,5 @@ def op13_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing_rates, op2_warc_index, op3_minhash_neardup, op4_media_jpeg, op5_line_dedup, op6_toxicity_mil, op7_imatch, op8_license_scan, op9_best_fit_packing, op10_suffix_dedup, op12_embedding_whitening, op13_compression_quality)}
+QUERIES = {f.__name__: f for f in (op1_mixing_rates, op2_warc_index, op3_minhash_neardup, op4_media_jpeg, op5_line_dedup, op6_toxicity_mil, op7_imatch, op8_license_scan, op9_best_fit_packing, op10_suffix_dedup, op11_token_alignment, op12_embedding_whitening, op13_compression_quality)}
 ORACLES: dict[str, str] = {"op2_warc_index": warc.ORACLE_SQL, "op5_line_dedup": linedup.ORACLE_SQL}
