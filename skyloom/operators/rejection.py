@@ -15,12 +15,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyloom.operators.chauvenet import survivors
+
 # Fixed values.
 ACCEPTED, LOW, HIGH, UNDERDETERMINED = 0, 1, 2, 3
 OK, MIN_SAMPLES, ALL_REJECTED, INVALID_INPUT, SHALLOW = "ok", "min_samples", "all_rejected", "invalid_input", "underdetermined"
 INVALID_METHOD, INVALID_CONFIGURATION = "invalid_method", "invalid_configuration"
 CENTRE, SCALE, RAW = "median_center", "median_scale", "none"
-MINIMUM = {"none": 0, "percentile": 2, "linear": 4, "sigma": 3, "winsorized": 3, "averaged": 3, "esd": 3, "median_sigma": 3, "minmax": 3}
+MINIMUM = {"none": 0, "percentile": 2, "linear": 4, "sigma": 3, "winsorized": 3, "averaged": 3, "esd": 3, "median_sigma": 3, "minmax": 3, "rcr": 3}
 DECISION = "struct<reasons:array<tinyint>,accepted:int,rejected_low:int,rejected_high:int,iterations:int,status:string>"
 _DECISION_ARROW = pa.struct([("reasons", pa.list_(pa.int8())), ("accepted", pa.int32()), ("rejected_low", pa.int32()), ("rejected_high", pa.int32()), ("iterations", pa.int32()), ("status", pa.string())])
 
@@ -309,7 +311,7 @@ def decide(method: str, lengths: np.ndarray, flat: np.ndarray, lower: float = 4.
     """Reasons of all samples, iterations and status of each stack; "auto" takes the method by the stack's depth.
 
     Nothing is rejected, and all reasons are UNDERDETERMINED, for an unknown method, a sample that isn't finite, a
-    percentile rule without centring, two samples or fewer or fewer than the method needs, and where all of up to four
+    percentile rule without centring or a Chauvenet one with normalization, two samples or fewer or fewer than the method needs, and where all of up to four
     samples would go. Decisions are made on the values less their median, over its absolute value, or as they are.
     """
     if method == "auto":
@@ -318,7 +320,7 @@ def decide(method: str, lengths: np.ndarray, flat: np.ndarray, lower: float = 4.
     bad = np.zeros(len(lengths), bool)
     owner = np.repeat(np.arange(len(lengths)), lengths)
     bad[owner[~np.isfinite(flat)]] = True
-    if method == "percentile" and normalization != CENTRE:
+    if method == "percentile" and normalization != CENTRE or method == "rcr" and normalization != RAW:
         spared = INVALID_CONFIGURATION
     if spared:
         first = (lambda x, n: MIN_SAMPLES if n == 0 else INVALID_INPUT if x else spared) if spared == INVALID_CONFIGURATION else (lambda x, n: spared)
@@ -348,6 +350,8 @@ def decide(method: str, lengths: np.ndarray, flat: np.ndarray, lower: float = 4.
         reason = _percentile(b, centre)
     elif method == "minmax":
         reason = _minmax(b, lengths, flat)
+    elif method == "rcr":
+        reason = _rcr(b)
     else:
         reason = _by_side(b, b.centre)
     some = (reason == UNDERDETERMINED).any(axis=1)
@@ -359,6 +363,13 @@ def decide(method: str, lengths: np.ndarray, flat: np.ndarray, lower: float = 4.
     return reason[b.there].astype(np.int8), b.iterations, status
 
 
+def _rcr(b: _Batch) -> np.ndarray:
+    """Sequential robust Chauvenet; the three passes count as iterations."""
+    b.alive = np.where(b.open[:, None], survivors(b.v, b.there & b.open[:, None]), b.there)
+    b.iterations = np.where(b.open, 3, 0).astype(np.int32)
+    return _by_side(b, b.median(b.v, b.there))
+
+
 def _minmax(b: _Batch, lengths: np.ndarray, flat: np.ndarray, low: int = 1, high: int = 1, min_kept: int = 4) -> np.ndarray:
     """By rank of the values as they came; equal ones rank by their place."""
     raw = np.full(b.v.shape, np.inf)
@@ -368,8 +379,9 @@ def _minmax(b: _Batch, lengths: np.ndarray, flat: np.ndarray, low: int = 1, high
     return np.where((lengths - low - high < min_kept)[:, None], UNDERDETERMINED, out)
 
 
-def rejection(method: str, values: Column) -> Column:
-    """DECISION of an array of doubles in sample order, by any method or "auto"."""
+def rejection(method: str, values: Column, normalization: str | None = None) -> Column:
+    """DECISION of an array of doubles in sample order, by any method or "auto". normalization: none for rcr, the median's else."""
+    chosen = normalization or (RAW if method == "rcr" else CENTRE)
 
     @F.arrow_udf(DECISION)
     def run(column: pa.Array) -> pa.Array:
@@ -377,7 +389,7 @@ def rejection(method: str, values: Column) -> Column:
         offsets = np.asarray(column.offsets)
         flat = column.values.slice(offsets[0], offsets[-1] - offsets[0]).to_numpy(zero_copy_only=False).astype(float)
         n = np.diff(offsets).astype(np.int64)
-        reason, iterations, status = decide(method, n, flat)
+        reason, iterations, status = decide(method, n, flat, normalization=chosen)
         owner = np.repeat(np.arange(len(n)), n)
         count = lambda codes: pa.array(np.bincount(owner, np.isin(reason, codes), len(n)).astype(np.int32))
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(reason))

@@ -55,8 +55,9 @@ def _rounds_sql(centre: str, spread: str) -> str:
 
 
 def _counts(spark, sf, method):
+    """Of rules to which the samples' order is nothing."""
     d = rj.rejection(method, _values())
-    return _stacks(spark, sf).select("pix", d.alias("d")).select("pix", *[F.col(f"d.{c}").cast("long").alias(c) for c in ("rejected_low", "rejected_high", "accepted")])
+    return rj.bags(samples(spark, sf), ["pix"], "v").select("pix", d.alias("d")).select("pix", *[F.col(f"d.{c}").cast("long").alias(c) for c in ("rejected_low", "rejected_high", "accepted")])
 
 
 @query("rej_sigma", f"{RANKED.format(by='pix')}, {_rounds_sql('median(v)', '1.4826 * median(abs(v - m))')}")
@@ -69,8 +70,9 @@ def averaged(spark, sf):
     return _counts(spark, sf, "averaged")
 
 
-def _full(spark, sf, method):
-    return _stacks(spark, sf).select("pix", rj.rejection(method, _values()).alias("d")).select("pix", "d.accepted", "d.rejected_low", "d.rejected_high", "d.iterations", "d.status")
+def _full(spark, sf, method, ordered=True):
+    stacked = _stacks(spark, sf) if ordered else rj.bags(samples(spark, sf), ["pix"], "v")
+    return stacked.select("pix", rj.rejection(method, _values()).alias("d")).select("pix", "d.accepted", "d.rejected_low", "d.rejected_high", "d.iterations", "d.status")
 
 
 @query("rej_winsor")
@@ -85,7 +87,7 @@ def median_sigma(spark, sf):
 
 @query("rej_linear")
 def linear(spark, sf):
-    return _full(spark, sf, "linear")
+    return _full(spark, sf, "linear", ordered=False)
 
 
 @query("rej_esd")
@@ -93,6 +95,11 @@ def esd(spark, sf):
     return _full(spark, sf, "esd")
 
 
+@query("rej_rcr")
+def rcr(spark, sf):
+    return _full(spark, sf, "rcr", ordered=False)
+
+
 @query("rej_plan", f"WITH {SAMPLES}, n AS (SELECT pix2, count(*) AS n FROM sm GROUP BY pix2) SELECT pix2, n, CASE WHEN n < 6 THEN 'percentile' WHEN n <= 15 THEN 'winsorized' ELSE 'linear' END AS method FROM n")
 def plan(spark, sf):
     return samples(spark, sf).groupBy("pix2").agg(F.count("*").alias("n")).withColumn("method", rj.auto_method(F.col("n")))
