@@ -13,9 +13,12 @@ How often a pair of ids is linked is counted over the corpus; counts go to the d
 from __future__ import annotations
 
 import hashlib
+import json
 import re
+from array import array
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +38,8 @@ class Alignment:
     """block: ids in an event row. keep_chunks bounds a worker's cache. batch: ids that the sweep takes at a time. max_pairs: counts broadcast at a time, and held by a task before it passes them on."""
 
     block: int = 2048
-    keep_chunks: int = 250_000
-    batch: int = 500_000
+    keep_chunks: int = 150_000
+    batch: int = 150_000
     max_pairs: int = 2_000_000
 
 
@@ -44,6 +47,8 @@ class Alignment:
 # begins a part there, and B has no piece with a blank behind another sign or with a line feed (`_Tokens` checks it).
 _CHUNK = re.compile(r"[ \n]\s*\S*(?:[^\S \n]\s*\S*)*")
 _WHOLE = re.compile(r"(?s).+")
+# Fixed value: the split of byte-level vocabularies.
+_SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def _byte_signs() -> dict[str, int]:
@@ -53,18 +58,39 @@ def _byte_signs() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def _encoder(path: str):
+    """A function from a text to A's ids, and the tokens of all ids.
+
+    Where the file is a byte-level model whose ids are the ranks of its merges, the library that is faster on short texts
+    encodes, and the other one isn't kept in memory.
+    """
+    with open(path, encoding="utf-8") as f:
+        held = json.load(f)
+    model, split = held["model"], held["pre_tokenizer"] or {}
+    vocab, merges = model["vocab"], [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    plain = held["normalizer"] is None and not model.get("dropout") and not model.get("ignore_merges") and split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex")
+    if plain and sorted(vocab.values()) == list(range(len(vocab))) and all(vocab.get(x + y) == len(vocab) - len(merges) + k for k, (x, y) in enumerate(merges)):
+        import tiktoken
+
+        signs = _byte_signs()
+        ranks = {bytes(signs[c] for c in t): i for t, i in vocab.items()}
+        return tiktoken.Encoding("ranks", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary, sorted(vocab, key=vocab.get)
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(path)
+    whole.encode_special_tokens = True
+    return lambda text: whole.encode(text, add_special_tokens=False).ids, [whole.id_to_token(i) or "" for i in range(whole.get_vocab_size())]
+
+
 class _Tokens(dict):
     """chunk -> (A's ids, B's ids) as bytes."""
 
     def __init__(self, a_path: str, b_path: str, keep: int):
         from sentencepiece import SentencePieceProcessor
-        from tokenizers import Tokenizer
 
-        self.a, self.b, self.keep = Tokenizer.from_file(a_path), SentencePieceProcessor(model_file=b_path), keep
-        self.a.encode_special_tokens = True
+        self.b, self.keep = SentencePieceProcessor(model_file=b_path), keep
+        self.encode, raw = _encoder(a_path)
         signs = _byte_signs()
-        size = self.a.get_vocab_size()
-        raw = [(self.a.id_to_token(i) or "") for i in range(size)]
         self.a_bytes = [bytes(signs[c] for c in t) if all(c in signs for c in t) else t.encode() for t in raw]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(t[3:5], 16)]) if self.b.is_byte(i) else t.replace("▁", " ").encode() for i, t in enumerate(pieces)]
@@ -74,39 +100,41 @@ class _Tokens(dict):
         plain = [t for i, t in enumerate(pieces) if not (self.b.is_control(i) or self.b.is_unknown(i) or self.b.is_byte(i))]
         self.chunk = _WHOLE if any(re.search("[^▁]▁|\n", t) for t in plain) or self.b.is_unknown(self.blank) else _CHUNK
         self.odd: set[str] = set()
-
-    def _ids(self, chunk: str) -> tuple[list[int], list[int]]:
-        a = self.a.encode(chunk, add_special_tokens=False).ids
-        if chunk == " ":
-            return a, [self.blank]
-        if chunk[0] == " ":  # the blank that B adds
-            return a, self.b.encode(chunk[1:], num_threads=1)
-        return a, self.b.encode(chunk, num_threads=1)[1:]
-
-    def __missing__(self, chunk: str) -> tuple[bytes, bytes]:
-        a, b = self._ids(chunk)
-        want = chunk.encode()
-        if b"".join([self.a_bytes[i] for i in a]) != want or b"".join([self.b_bytes[i] for i in b]) != want:
-            self.odd.add(chunk)
-        got = np.array(a, self.kinds[0]).tobytes(), np.array(b, self.kinds[1]).tobytes()
-        if len(chunk) <= 64:
-            self[chunk] = got
-        return got
-
-    def of(self, text: str) -> tuple[bytes, bytes]:
-        """Both sides' ids of blank + text; empty where a side's bytes differ from it."""
+        self.codes = tuple("H" if k.itemsize == 2 else "I" for k in self.kinds)
+
+    def learn(self, chunks) -> None:
+        """Ids of chunks that aren't known yet."""
+        new = [c for c in chunks if c not in self]
+        blank = [c[0] == " " for c in new]
+        known = self.b.encode([c[1:] if k else c for c, k in zip(new, blank, strict=True)], num_threads=1)
+        for c, k, b in zip(new, blank, known, strict=True):
+            b = [self.blank] if c == " " else b if k else b[1:]  # B adds a blank; of a chunk without one it goes
+            a, want = self.encode(c), c.encode()
+            if b"".join([self.a_bytes[i] for i in a]) != want or b"".join([self.b_bytes[i] for i in b]) != want:
+                self.odd.add(c)
+            self[c] = array(self.codes[0], a).tobytes(), array(self.codes[1], b).tobytes()
+
+    def of(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
+        """Both sides' ids of blank + text, for each text; empty where a side's bytes differ from it."""
         if len(self) > self.keep:
             self.clear()
             self.odd.clear()
-        chunks = self.chunk.findall(" " + text)
-        parts = list(map(self.__getitem__, chunks))
-        a, b = b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts])
-        if self.odd and not self.odd.isdisjoint(chunks):
-            want = (" " + text).encode()
-            for ids, kind, table in ((a, self.kinds[0], self.a_bytes), (b, self.kinds[1], self.b_bytes)):
-                if b"".join([table[i] for i in np.frombuffer(ids, kind)]) != want:
-                    return b"", b""
-        return a, b
+        split = [self.chunk.findall(" " + t) if t else [] for t in texts]
+        self.learn(set(chain.from_iterable(split)))
+        out = []
+        for text, chunks in zip(texts, split, strict=True):
+            parts = [self[c] for c in chunks]
+            a, b = b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts])
+            if self.odd and not self.odd.isdisjoint(chunks):
+                want = (" " + text).encode()
+                for ids, kind, table in ((a, self.kinds[0], self.a_bytes), (b, self.kinds[1], self.b_bytes)):
+                    if b"".join([table[i] for i in np.frombuffer(ids, kind)]) != want:
+                        a = b = b""
+                        break
+            out.append((a, b))
+        for c in [c for c in chain.from_iterable(split) if len(c) > 64]:
+            self.pop(c, None)  # long chunks are of one text
+        return out
 
 
 @lru_cache(maxsize=1)
@@ -122,13 +150,12 @@ def events(docs: DataFrame, a_path: str, b_path: str, p: Alignment = Alignment()
         tokens = _tokens(a_path, b_path, p.keep_chunks)
         for b in batches:
             data, off = utf8(b.column(2).cast(pa.large_binary()))
-            for i, j in spans(off, 1 << 21):
+            for i, j in spans(off, 1 << 20):
+                raws = [data[off[k] : off[k + 1]].tobytes() for k in range(i, j)]
+                texts = [raw.decode("utf-8", "replace") for raw in raws]
+                texts = ["" if "\ufffd" in t and t.encode() != raw else t for t, raw in zip(texts, raws, strict=True)]
                 out: list[tuple[int, int | None, int, int, bytes]] = []
-                for k, doc, row in zip(range(i, j), b.column(0).slice(i, j - i).to_pylist(), b.column(1).slice(i, j - i).to_pylist(), strict=True):
-                    raw = data[off[k] : off[k + 1]].tobytes()
-                    text = raw.decode("utf-8", "replace")
-                    known = text and ("�" not in text or text.encode() == raw)
-                    sides = tokens.of(text) if known else (b"", b"")
+                for sides, doc, row in zip(tokens.of(texts), b.column(0).slice(i, j - i).to_pylist(), b.column(1).slice(i, j - i).to_pylist(), strict=True):
                     if not sides[0]:
                         out.append((row, doc, 0, 0, b""))
                         continue
@@ -184,6 +211,10 @@ class _Open:
     sha: object | None
 
 
+def _distinct(rising: np.ndarray) -> np.ndarray:
+    return rising[np.concatenate([[True], rising[1:] != rising[:-1]])] if len(rising) else rising
+
+
 class _Sweep:
     def __init__(self, tokens: _Tokens):
         self.lengths, self.kinds = tokens.lengths, tokens.kinds
@@ -230,7 +261,7 @@ class _Sweep:
 
     def _told(self, flat, ends, rows, docs, sha, last: bool) -> pa.RecordBatch:
         n_docs = len(rows)
-        every = np.unique(np.concatenate(ends))
+        every = _distinct(np.sort(np.concatenate(ends), kind="stable"))  # two sorted runs
         at = [np.searchsorted(every, e) for e in ends]
         is_end = [np.zeros(len(every), bool) for _ in ends]
         for flag, k in zip(is_end, at, strict=True):
@@ -243,7 +274,9 @@ class _Sweep:
         n_links, n_groups = count(of_doc), count(of_doc[both])
         # pairs
         space = np.int64(len(self.lengths[0])) * self.size_b
-        key, times = np.unique(of_doc * space + flat[0][token[0]] * self.size_b + flat[1][token[1]], return_counts=True)
+        linked = np.sort(of_doc * space + flat[0][token[0]] * self.size_b + flat[1][token[1]])
+        key = _distinct(linked)
+        times = np.diff(np.searchsorted(linked, key), append=len(linked))
         cuts = np.searchsorted(key, np.arange(n_docs + 1, dtype=np.int64) * space)
         # the groups' text: ids in the order of groups, A before B, each with the sign behind it
         of_group = [group[k] for k in at]
