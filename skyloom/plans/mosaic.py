@@ -77,15 +77,45 @@ _NODES = "nd AS (SELECT c_custkey % 4 AS frame, (c_custkey // 4) % 5 AS tile, (c
 _AXIS = "CASE WHEN {v} <= {lo} THEN {lo} WHEN {v} >= {hi} THEN {hi} - 64 WHEN {v} <= least({g1}, greatest({g0}, {v} // 64)) * 64 + 32 THEN least({g1}, greatest({g0}, {v} // 64)) * 64 - 32 ELSE least({g1}, greatest({g0}, {v} // 64)) * 64 + 32 END"
 
 
-@query("upm_calibrate", f"""WITH {_NODES}, b AS (SELECT tile, min(gx) AS gx0, max(gx) AS gx1, min(gy) AS gy0, max(gy) AS gy1 FROM nd GROUP BY tile), p AS (SELECT event_id AS id, event_id % 4 AS frame, (event_id // 4) % 5 AS tile, (event_id * 37) % 512 AS x, (event_id * 91) % 512 AS y, value FROM events),
+_FIELD = f"""WITH {_NODES}, b AS (SELECT tile, min(gx) AS gx0, max(gx) AS gx1, min(gy) AS gy0, max(gy) AS gy1 FROM nd GROUP BY tile), p AS (SELECT event_id AS id, event_id % 4 AS frame, (event_id // 4) % 5 AS tile, (event_id * 37) % 512 AS x, (event_id * 91) % 512 AS y, value FROM events),
 s AS (SELECT p.*, {_AXIS.format(v='x', lo='(gx0 * 64 + 32)', hi='(gx1 * 64 + 32)', g0='gx0', g1='gx1')} AS x0, {_AXIS.format(v='y', lo='(gy0 * 64 + 32)', hi='(gy1 * 64 + 32)', g0='gy0', g1='gy1')} AS y0 FROM p JOIN b ON p.tile = b.tile),
 l AS (SELECT s.*, coalesce(n00.c, 0) AS c00, coalesce(n10.c, 0) AS c10, coalesce(n01.c, 0) AS c01, coalesce(n11.c, 0) AS c11 FROM s
  LEFT JOIN nd n00 ON n00.frame = s.frame AND n00.tile = s.tile AND n00.gx = x0 // 64 AND n00.gy = y0 // 64 LEFT JOIN nd n10 ON n10.frame = s.frame AND n10.tile = s.tile AND n10.gx = x0 // 64 + 1 AND n10.gy = y0 // 64
- LEFT JOIN nd n01 ON n01.frame = s.frame AND n01.tile = s.tile AND n01.gx = x0 // 64 AND n01.gy = y0 // 64 + 1 LEFT JOIN nd n11 ON n11.frame = s.frame AND n11.tile = s.tile AND n11.gx = x0 // 64 + 1 AND n11.gy = y0 // 64 + 1)
-SELECT id, round(value - ((c00 + (x - x0) / 64.0 * (c10 - c00)) * (1 - (y - y0) / 64.0) + (c01 + (x - x0) / 64.0 * (c11 - c01)) * ((y - y0) / 64.0)), 9) AS value FROM l""")
-def calibrate(spark, sf):
+ LEFT JOIN nd n01 ON n01.frame = s.frame AND n01.tile = s.tile AND n01.gx = x0 // 64 AND n01.gy = y0 // 64 + 1 LEFT JOIN nd n11 ON n11.frame = s.frame AND n11.tile = s.tile AND n11.gx = x0 // 64 + 1 AND n11.gy = y0 // 64 + 1)"""
+_AT = "(c00 + (x - x0) / 64.0 * (c10 - c00)) * (1 - (y - y0) / 64.0) + (c01 + (x - x0) / 64.0 * (c11 - c01)) * ((y - y0) / 64.0)"
+
+
+def _nodes_and_pixels(spark, sf):
     k, e = C("c_custkey"), C("event_id")
     nodes = table(spark, sf, "customer").select((k % 4).alias("frame"), (F.floor(k / 4) % 5).alias("tile"), (F.floor(k / 20) % 6 + 1).alias("gx"), (F.floor(k / 120) % 5 + 2).alias("gy"), C("c_acctbal"))
     nodes = nodes.groupBy("frame", "tile", "gx", "gy").agg((F.min("c_acctbal") / 997).alias("c"))
-    pixels = table(spark, sf, "events").select(e.alias("id"), (e % 4).alias("frame"), (F.floor(e / 4) % 5).alias("tile"), (e * 37 % 512).alias("x"), (e * 91 % 512).alias("y"), "value")
+    return nodes, table(spark, sf, "events").select(e.alias("id"), (e % 4).alias("frame"), (F.floor(e / 4) % 5).alias("tile"), (e * 37 % 512).alias("x"), (e * 91 % 512).alias("y"), "value")
+
+
+@query("upm_calibrate", f"{_FIELD} SELECT id, round(value - ({_AT}), 9) AS value FROM l")
+def calibrate(spark, sf):
+    nodes, pixels = _nodes_and_pixels(spark, sf)
     return upm.evaluate(pixels, nodes).select("id", F.round(C("value") - C("c"), 9).alias("value"))
+
+
+@query("upm_dense", f"{_FIELD} SELECT id, round({_AT}, 9) AS c FROM l")
+def dense(spark, sf):
+    """The whole field of every tile, read at the events' pixels."""
+    nodes, pixels = _nodes_and_pixels(spark, sf)
+    return pixels.join(upm.dense(nodes), ["frame", "tile"]).select("id", F.round(F.get("field", (C("x") * 512 + C("y")).cast("int")), 9).alias("c"))
+
+
+@query("upm_fit_smooth")
+def fit_smooth(spark, sf):
+    """The fit with a pull between neighbours, the controls being one tile's; four rounds at most."""
+    grid = samples(spark, sf).select("control", F.lit(5).cast("long").alias("tile"), F.floor(C("control") / 8).alias("gx"), (C("control") % 8).alias("gy")).distinct()
+    m, c = upm.fit_smoothed(_obs(spark, sf), upm.linked(grid, 1), 0.2, rounds=4, tolerance=1e-4)
+    return c.join(m, "control").select("frame", "control", F.round("m", 5).alias("m"), F.round("c", 5).alias("c"))
+
+
+@query("upm_graph_tiles")
+def graph_tiles(spark, sf):
+    """Links of the customers' control nodes in tiles and across their borders."""
+    k = C("c_custkey")
+    n = table(spark, sf, "customer").select((k % 48).alias("tile"), (F.floor(k / 48) % 8).alias("gx"), (F.floor(k / 384) % 8).alias("gy")).distinct()
+    return upm.linked(n.withColumn("control", C("tile") * 64 + C("gx") * 8 + C("gy")), 1)
