@@ -37,7 +37,7 @@ class Mixing:
 
 
 def _words(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), " "), lambda w: w != "")
+    return F.filter(F.split(F.lower(text), r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
 
 def _bucket(word: Column, p: Mixing) -> Column:

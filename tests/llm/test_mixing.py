@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 
 import numpy as np
 import pytest
@@ -19,7 +20,7 @@ def rows():
     rng = np.random.default_rng(8)
     shared = "taxi radio hotel piano opera".split() * 4
     out = [(i, " ".join(rng.choice(KINDS[d].split() + shared, 15)), d) for i in range(150) for d in [["en", "en", "en", "fr", "de"][i % 5]]]
-    return [*out, (150, None, "en"), (151, "", "fr"), (152, "  ", None), (152, "The the", "de"), (153, "house " * 400_000, "en")]
+    return [*out, (150, None, "en"), (151, "", "fr"), (152, "  ", None), (152, "The the", "de"), (153, "house " * 400_000, "en"), (154, "river\nhouse\tand \r\n of\u00a0the\n", "en")]
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +29,7 @@ def docs(spark, rows):
 
 
 def _plainly(spark, rows, targets):
-    words = lambda t: [w for w in (t or "").lower().split(" ") if w]
+    words = lambda t: [w for w in re.split(r"[\x20\x09-\x0D]+", (t or "").lower()) if w]
     known = sorted({w for _, t, _ in rows for w in words(t)})
     hashed = spark.createDataFrame([(w,) for w in known], "w string").select("w", F.pmod(F.xxhash64("w"), F.lit(P.buckets)).cast("int").alias("b"))
     bucket = {r.w: r.b for r in hashed.collect()}
