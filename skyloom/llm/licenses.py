@@ -3,7 +3,8 @@
 A softmax regression over hashed word n-grams is trained on varied notices of each family, and on paragraphs of the
 corpus that resemble none of them. A temperature fitted on held-out examples makes its probabilities honest; a
 paragraph is `unknown` below the probability that at most `false_share` of held-out background paragraphs reach. What
-passes is compared with the family's templates: the share of a template's words that the paragraph has in order.
+passes is compared with the family's templates: the share of a template's words that the paragraph has in order, how
+closely they stand together, and that the words which tell the licence and its version from others are all there.
 Lines are judged one by one, and once more joined up to the next line without words, since notices are wrapped over
 lines and stand behind comment marks.
 """
@@ -13,6 +14,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +46,8 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
 }
 FAMILIES = tuple(TEMPLATES)
 RESULT = "doc_id long, n_paragraphs long, n_licensed long, n_unknown long, family string, probability double, similarity double, start long, stop long, families array<string>"
+# Words of notices that name no licence.
+_GENERIC = frozenset("a an and any are as at available by code copy dedicated distributed either form free in is it later licence license licensed made of only or program released software source subject terms the these this to under use v version work library file files project".split())
 _APART = np.zeros(256, bool)
 _APART[[b for b in range(128) if not chr(b).isalnum()]] = True
 _LINE = re.compile(r"[^\n]+")
@@ -51,7 +55,7 @@ _LINE = re.compile(r"[^\n]+")
 
 @dataclass(frozen=True)
 class Licenses:
-    """max_background bounds the paragraphs of the corpus that the model is fitted on, twice that at most, and max_chars each of them; scanning reads every text whole. window: words of a paragraph that are judged at once, half of them shared with the next window."""
+    """max_background bounds the paragraphs of the corpus that the model is fitted on, twice that at most, and max_chars each of them; scanning reads every text whole. window: words of a paragraph that are judged at once, half of them shared with the next window. min_tight: share of the words between the first and the last matched one that match. title: templates of so many words at most are titles, of which every naming word counts."""
 
     bits: int = 16
     window: int = 64
@@ -62,6 +66,8 @@ class Licenses:
     ridge: float = 1e-4
     false_share: float = 1e-3
     min_similarity: float = 0.75
+    min_tight: float = 0.8
+    title: int = 16
     seed: int = 3
 
 
@@ -137,6 +143,69 @@ def similarity(words: list[str], family: str, either: bool = False) -> float:
     return best
 
 
+def _tokens(text: str) -> list[str]:
+    return re.findall(r"[a-z0-9]+", text.lower())
+
+
+def matched(words: list[str], want: list[str]) -> tuple[int, int, int]:
+    """The longest common subsequence of a paragraph and a template: its length, and the shortest range of the paragraph's words that holds it."""
+    row = [(0, 0)] * (len(words) + 1)  # length and start, the later the better
+    for x in want:
+        before = row[0]
+        for j, y in enumerate(words, 1):
+            here = row[j]
+            row[j] = max(here, row[j - 1], (before[0] + 1, before[1] if before[0] else j - 1) if x == y else here)
+            before = here
+    length, start = max(row)
+    return length, start, next(j for j, r in enumerate(row) if r == (length, start))
+
+
+@lru_cache(maxsize=1)
+def _telling() -> dict[str, list[tuple[list[str], list[str]]]]:
+    """Of each family the templates' words, and those that a notice must have: of a title its naming words, of a longer text its numbers and what sets it apart from a template of another family that is much like it."""
+    whole = {f: [_tokens(t) for t in ts] for f, ts in TEMPLATES.items()}
+    out: dict[str, list[tuple[list[str], list[str]]]] = {}
+    for f, templates in whole.items():
+        out[f] = []
+        for t in templates:
+            if len(t) <= Licenses.title:
+                must = [w for w in t if w not in _GENERIC]
+            else:
+                apart = {w for g, others in whole.items() if g != f for u in others if matched(u, t)[0] >= 0.75 * len(t) for w in t if w not in u}
+                must = [w for w in t if w in apart or any(c.isdigit() for c in w)]
+            out[f].append((t, must))
+    return out
+
+
+def _in_order(words: list[str], want: list[str]) -> bool:
+    rest = iter(words)
+    return all(w in rest for w in want)
+
+
+def confirmed(words: list[str], family: str, p: Licenses) -> tuple[float, bool]:
+    """The best similarity of a paragraph to a template of the family, and whether one of them confirms it.
+
+    A template confirms if enough of its words stand in the paragraph, closely together, with all that tell it from
+    others. Between the naming words of a title no other names may stand, and a version that follows must be the family's.
+    """
+    best, sure, major = 0.0, 0.0, re.findall(r"\d+", family.partition("-")[2])[:1]
+    for t, must in _telling()[family]:
+        n, start, stop = matched(words, t)
+        share = n / len(t)
+        span = words[start:stop]
+        good = share >= p.min_similarity and _in_order(span, must)
+        if good and len(t) <= p.title:
+            named = [w for w in span if w not in _GENERIC]
+            good = named == must
+        elif good:
+            good = n >= p.min_tight * len(span)
+        if good and major and not any(c.isdigit() for w in must for c in w):
+            after = next((w for w in words[stop : stop + 6] if w not in _GENERIC), "")
+            good = not after.isdigit() or after == major[0]
+        best, sure = max(best, share), max(sure, share * good)
+    return (sure, True) if sure else (best, False)
+
+
 def _varied(rng: np.random.Generator, filler: list[str], p: Licenses) -> tuple[list[str], list[int]]:
     texts, labels = [], []
     for c, family in enumerate(FAMILIES):
@@ -223,8 +292,8 @@ def _judged(m: Model, raw: np.ndarray, s: np.ndarray, e: np.ndarray, h: np.ndarr
     for k in np.flatnonzero(q[:, -1] < 0.5).tolist():
         prob, family = float(q[k, top[k]]), FAMILIES[top[k]]
         a, z = int(s[w0[k]]), int(e[w1[k] - 1])
-        alike = similarity(re.findall(r"[a-z0-9]+", raw[a:z].tobytes().decode(errors="replace").lower()), family)
-        yield int(row[k]), a, z, None if prob < m.threshold or alike < p.min_similarity else family, prob, alike
+        alike, sure = confirmed(_tokens(raw[a:z].tobytes().decode(errors="replace")), family, p)
+        yield int(row[k]), a, z, family if sure and prob >= m.threshold else None, prob, alike
 
 
 def scan(docs: DataFrame, model: Model, p: Licenses = Licenses(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
