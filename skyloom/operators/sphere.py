@@ -371,10 +371,12 @@ def cell_overlaps(cells: DataFrame, order: int, width: int, height: int, shrink:
         x, y = first[0][row] + k % np.maximum(span[0], 1)[row], first[1][row] + k // np.maximum(span[0], 1)[row]
         if not len(row):
             return row, (x, y, np.zeros(0), np.zeros(0), np.zeros(0))
-        square, ns = f.take(row).outlines(x.astype(float), y.astype(float))
-        shared = shared_area(poly[row], n[row], square, ns)
+        of_image = [*f.wcs.values(), *(c for grid in (f.a, f.b) if grid is not None for c in grid.T)]
+        _, one, at = np.unique(np.column_stack([*(c[row] for c in of_image), x, y]), axis=0, return_index=True, return_inverse=True)  # cells share pixels
+        square, ns = f.take(row[one]).outlines(x[one].astype(float), y[one].astype(float))
+        shared = shared_area(poly[row], n[row], square[at], ns[at])
         kept = shared > least
-        row, whole = row[kept], np.abs(area(square, ns))[kept]
+        row, whole = row[kept], np.abs(area(square, ns))[at][kept]
         return row, (x[kept], y[kept], shared[kept] / own[row], own[row], whole)
 
     return _joined(_usable(cells.where(F.col("pix").between(0, 12 * 4**order - 1))), work, "x long, y long, weight double, drop_area double, pixel_area double")

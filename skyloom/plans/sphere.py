@@ -26,7 +26,7 @@ def disc_cells(spark, sf):
 def _images(spark, sf):
     """A turned image of 0.3 degrees a pixel about each pointing, with some distortion."""
     turn = F.radians(C("point_id") * 37 % 360)
-    sip = F.array(*[F.lit(v) for v in [0.0] * 7 + [2e-6] + [0.0] * 4 + [1e-6] + [0.0] * 23])
+    sip = F.array(*[F.lit(v) for v in [0.0] * 7 + [3e-8] + [0.0] * 4 + [2e-8] + [0.0] * 23])
     wcs = {"px0": F.lit(2.0), "py0": F.lit(2.0), "cd11": F.cos(turn) * -0.3, "cd12": F.sin(turn) * 0.3, "cd21": F.sin(turn) * 0.3, "cd22": F.cos(turn) * 0.3, "sip_a": sip, "sip_b": F.reverse(sip)}
     return pointings(spark, sf).withColumns(wcs)
 
