@@ -7,10 +7,11 @@ import uuid
 from pyspark.sql import functions as F
 
 from skyloom.functions import healpix as hp
-from skyloom.plans.geometry import ang2pix_sql
+from skyloom.plans.geometry import ang2pix_sql, distance_sql
 from skyloom.plans.registry import query
-from skyloom.plans.roles import CATALOG, IMAGE, catalog, image, table
+from skyloom.plans.roles import CATALOG, IMAGE, POINTINGS, catalog, image, pointings, table
 from skyloom.session import shared_base
+from skyloom.sources import catalog as star_catalog
 from skyloom.sources import fits, products, text
 from skyloom.streaming import incremental
 
@@ -125,3 +126,19 @@ def incremental_stack(spark, sf):
     rows.repartition(3).write.parquet(f"{base}/in")
     incremental.stack_new_files(spark, f"{base}/in", rows.schema, f"{base}/out", f"{base}/checkpoint", "pix").awaitTermination()
     return incremental.stacked(spark, f"{base}/out", "pix").select("pix", "n", F.round("mean", 8).alias("mean"))
+
+
+@query("src_gaia", f"WITH {CATALOG}, {POINTINGS}, near AS (SELECT *, {distance_sql('ra', 'dec', 'ra0', 'dec0')} AS dist FROM pt CROSS JOIN cat) SELECT point_id, source_id, round(dist, 6) AS dist FROM near WHERE dist <= 6")
+def catalog_cones(spark, sf):
+    """The stars written as a catalog of cells, and the cones of all pointings read back from it."""
+    path = _folder(spark, "catalog")
+    star_catalog.write_catalog(catalog(spark, sf), path)
+    return star_catalog.read_cones(spark, path, pointings(spark, sf), 6.0).select("point_id", "source_id", F.round("dist", 6).alias("dist"))
+
+
+@query("src_gaia_cone", f"WITH {CATALOG}, near AS (SELECT *, {distance_sql('ra', 'dec', '123.4::DOUBLE', '41.0::DOUBLE')} AS dist FROM cat) SELECT source_id, round(dist, 6) AS dist FROM near WHERE dist <= 25")
+def catalog_cone(spark, sf):
+    """One cone of that catalog, by the folders and row groups that it reaches."""
+    path = _folder(spark, "catalog")
+    star_catalog.write_catalog(catalog(spark, sf), path)
+    return star_catalog.read_cone(spark, path, 123.4, 41.0, 25.0).select("source_id", F.round("dist", 6).alias("dist"))
