@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyloom.plans import aggregates, detect, fits, frames, geometry, mosaic, products, rejection, sampler, selection, solve, spatial, sphere  # noqa: F401  each registers its queries
+from skyloom.plans import aggregates, detect, fits, frames, geometry, kernels, mosaic, products, rejection, sampler, selection, solve, spatial, sphere  # noqa: F401  each registers its queries
 from skyloom.plans.registry import QUERIES, SQL, Query
 
 

@@ -156,7 +156,8 @@ def _mean(b: _Batch, count: np.ndarray) -> np.ndarray:
 
 
 def _about(b: _Batch, c: np.ndarray, count: np.ndarray, v: np.ndarray | None = None) -> np.ndarray:
-    d = (b.v if v is None else v) - c[:, None]
+    with np.errstate(invalid="ignore"):  # samples that have gone may be infinite
+        d = (b.v if v is None else v) - c[:, None]
     return np.sqrt(b.sums(d * d) / np.maximum(count - 1, 1))
 
 
