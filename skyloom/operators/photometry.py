@@ -4,35 +4,79 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.functions.frames import PHOTOMETRY_MAD, tukey_weight
-from skyloom.operators.robust import median
+from skyloom.functions.frames import PHOTOMETRY_MAD, finite, tukey_weight
+from skyloom.operators.robust import medians
+from skyloom.session import written
 
 TUKEY = 4.685
+REASONS = {"n": 0, "inconsistent": 1, "outliers": 2, "invalid": 3, "unmatched": 5}
 
 
-def zero_points(matches: DataFrame, by: list[str], ratio: str, rounds: int = 20, tolerance: float = 1e-10) -> tuple[DataFrame, DataFrame]:
-    """Per group (location, scale = 10**-location, sigma, n), and the matches with reason: 0 in the fit, 2 an outlier.
+def tukey_locations(df: DataFrame, by: list[str], value: str, rounds: int = 50, tolerance: float = 1e-10) -> DataFrame:
+    """(*by, location, spread, rounds) of each group, however large: the median moved by Tukey's weights at 4.685 spreads, MAD / 0.6745, until it moves by less than the tolerance.
 
-    ratio is the logarithm of synthetic over instrumental flux. The location starts at the median and is moved by
-    Tukey's weights at 4.685 spreads, MAD / 0.6745; a group without spread stays at its median. Rounds are windows over
-    one partitioning, and a location that has settled no longer moves.
+    A round is an aggregate with map-side combine over the rows beside the table of locations, which is written each
+    round; only groups that still move are summed. A group without spread stays at its median. Null keys and values
+    that aren't finite don't count.
     """
-    w, r = Window.partitionBy(*by), F.col(ratio)
-    m = matches.withColumn("__loc", median(r).over(w))
-    m = m.withColumn("__s", median(F.abs(r - F.col("__loc"))).over(w) / PHOTOMETRY_MAD).withColumn("__moving", F.col("__s") > 0)
+    rows = written(df.select(*by, F.col(value).cast("double").alias("__v")).where(finite(F.col("__v"))))
+    v, at, s = F.col("__v"), F.col("location"), F.col("spread")
+    start = written(medians(rows, by, "__v", "location"))
+    off = medians(rows.join(start, by).withColumn("__d", F.abs(v - at)), by, "__d", "__d")
+    state = written(start.join(off, by).select(*by, "location", (F.col("__d") / PHOTOMETRY_MAD).alias("spread"), (F.col("__d") > 0).alias("moving"), F.lit(0).alias("rounds")))
     for _ in range(rounds):
-        m = m.withColumn("__w", tukey_weight(F.try_divide(r - F.col("__loc"), F.col("__s") * TUKEY)))
-        m = m.withColumn("__new", F.try_divide(F.sum(F.col("__w") * r).over(w), F.sum("__w").over(w)))
-        moved = F.col("__moving") & F.col("__new").isNotNull()
-        m = m.withColumn("__still", moved & (F.abs(F.col("__new") - F.col("__loc")) >= tolerance)).withColumn("__loc", F.when(moved, F.col("__new")).otherwise(F.col("__loc"))).withColumn("__moving", F.col("__still"))
-    inlier = (F.col("__s") <= 0) | (F.abs(r - F.col("__loc")) < F.col("__s") * TUKEY)
-    told = m.withColumn("reason", F.when(inlier, 0).otherwise(2))
-    dev = F.when(inlier, F.abs(r - F.col("__loc")))
-    fits = told.groupBy(*by).agg(F.first("__loc").alias("location"), (F.coalesce(median(dev), F.lit(0.0)) / PHOTOMETRY_MAD).alias("sigma"), F.count(dev).alias("n")).withColumn("scale", F.pow(F.lit(10.0), -F.col("location")))
-    return fits, told.drop(*[c for c in told.columns if c.startswith("__")])
+        live = state.where("moving")
+        if live.isEmpty():
+            break
+        w = tukey_weight((v - at) / (s * TUKEY))
+        sums = rows.join(live, by).groupBy(*by).agg(F.try_divide(F.sum(w * v), F.sum(w)).alias("next"))
+        goes = F.col("moving") & F.col("next").isNotNull()
+        still = goes & (F.abs(F.col("next") - at) >= tolerance)
+        state = written(state.join(sums, by, "left").select(*by, F.when(goes, F.col("next")).otherwise(at).alias("location"), "spread", still.alias("moving"), (F.col("rounds") + F.col("moving").cast("int")).alias("rounds")))
+    return state.drop("moving")
+
+
+def _told(rows: DataFrame, by: list[str], rounds: int, tolerance: float) -> tuple[DataFrame, DataFrame]:
+    """Fits over rows of reason null by __r, and all rows with their reason."""
+    used = F.col("reason").isNull()
+    state = tukey_locations(rows.where(used), by, "__r", rounds, tolerance)
+    off = F.abs(F.col("__r") - F.col("location"))
+    told = rows.join(state, by, "left").withColumn("reason", F.when(~used, F.col("reason")).when((F.col("spread") <= 0) | (off < F.col("spread") * TUKEY), 0).otherwise(2)).withColumn("__off", F.when(F.col("reason") == 0, off))
+    counts = told.groupBy(*by).agg(F.max("location").alias("location"), F.max("rounds").alias("rounds"), *[F.count_if(F.col("reason") == k).alias(name) for name, k in REASONS.items()])
+    fits = counts.join(medians(told, by, "__off", "__off"), by, "left").withColumns({"location": F.coalesce("location", F.lit(0.0)), "rounds": F.coalesce("rounds", F.lit(0)), "sigma": F.coalesce(F.col("__off") / PHOTOMETRY_MAD, F.lit(0.0))})
+    return fits.withColumn("scale", F.pow(F.lit(10.0), -F.col("location"))).drop("__off"), told.drop("location", "spread", "rounds", "__off", "__r")
+
+
+def zero_points(matches: DataFrame, by: list[str], ratio: str, rounds: int = 50, tolerance: float = 1e-10) -> tuple[DataFrame, DataFrame]:
+    """Per group (location, scale = 10**-location, sigma, n), and the matches with reason: 0 in the fit, 2 an outlier, 3 not finite.
+
+    ratio is the logarithm of instrumental over synthetic flux. Groups may be whole frames, see tukey_locations.
+    """
+    fits, told = _told(matches.withColumn("__r", F.col(ratio)).withColumn("reason", F.when(~finite(F.col(ratio)), 3)), by, rounds, tolerance)
+    return fits.select(*by, "location", "sigma", "n", "scale"), told
+
+
+def calibrated(stars: DataFrame, by: list[str], instrumental: str, synthetic: str, magnitude: str, magnitudes_kept: float = 1.0, rounds: int = 50, tolerance: float = 1e-10) -> tuple[DataFrame, DataFrame]:
+    """Per frame (location, scale, sigma, rounds, and the count of each of REASONS), and the detected stars with reason.
+
+    A star without synthetic flux and magnitude has no partner in the catalog (5). A flux that isn't positive and finite,
+    a missing magnitude or frame is invalid (3). Of the others, stars whose instrumental less catalog magnitude is more than
+    magnitudes_kept from the frame's median are inconsistent (1); the rest gives the location of log10(instrumental /
+    synthetic) by tukey_locations (0 in the fit, 2 an outlier). A frame without such stars has scale 1 and n 0.
+    """
+    f, s = F.col(instrumental).cast("double"), F.col(synthetic).cast("double")
+    rows = stars.withColumn("__r", F.when((f > 0) & (s > 0), F.log10(f / s))).withColumn("__d", F.when(f > 0, -2.5 * F.log10(f)) - F.col(magnitude))
+    whole = finite(F.col("__r")) & finite(F.col("__d"))
+    for k in by:
+        whole = whole & F.col(k).isNotNull()
+    rows = rows.withColumn("reason", F.when(F.col(synthetic).isNull() & F.col(magnitude).isNull(), 5).when(~whole, 3))
+    middle = written(medians(rows.where("reason is null"), by, "__d", "__middle"))
+    far = F.abs(F.col("__d") - F.col("__middle")) > magnitudes_kept
+    rows = rows.join(middle, by, "left").withColumn("reason", F.when(F.col("reason").isNull() & far, 1).otherwise(F.col("reason"))).drop("__d", "__middle")
+    return _told(rows, by, rounds, tolerance)
 
 
 def akima(x: np.ndarray, y: np.ndarray, at: np.ndarray, fill: float = 0.0) -> np.ndarray:
@@ -48,9 +92,9 @@ def akima(x: np.ndarray, y: np.ndarray, at: np.ndarray, fill: float = 0.0) -> np
     total = left + right
     t = np.where(total == 0, (m[1:-2] + m[2:-1]) / 2, (left * m[1:-2] + right * m[2:-1]) / np.where(total == 0, 1, total))
     j = np.clip(np.searchsorted(x, at, "right") - 1, 0, len(x) - 2)
-    dx = x[j + 1] - x[j]
-    s = (at - x[j]) / dx
-    got = ((2 * s - 3) * s * s + 1) * y[j] + ((s - 2) * s + 1) * s * dx * t[j] + (3 - 2 * s) * s * s * y[j + 1] + (s - 1) * s * s * dx * t[j + 1]
+    h, d = x[j + 1] - x[j], at - x[j]
+    slope = (y[j + 1] - y[j]) / h
+    got = y[j] + d * (t[j] + d / h * (3 * slope - 2 * t[j] - t[j + 1] + d / h * (t[j] + t[j + 1] - 2 * slope)))
     return np.where((at < x[0]) | (at > x[-1]), fill, got)
 
 

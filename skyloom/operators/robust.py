@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,9 +31,17 @@ def upper_medians(df: DataFrame, keys: list[str], value: str, name: str = "med")
     return order_statistics(df, keys, value, {name: 0.5})
 
 
-def order_statistics(df: DataFrame, keys: list[str], value: str, shares: dict[str, float]) -> DataFrame:
+def medians(df: DataFrame, keys: list[str], value: str, name: str = "med") -> DataFrame:
+    """(*keys, name): the mean of the two middle values of each group, however large; null values and keys don't count."""
+    both = order_statistics(df, keys, value, {"__lo": 0.5, "__hi": 0.5}, before={"__lo"})
+    return both.select(*keys, ((F.col("__lo") + F.col("__hi")) / 2).alias(name))
+
+
+def order_statistics(df: DataFrame, keys: list[str], value: str, shares: dict[str, float], before: Collection[str] = ()) -> DataFrame:
     """(*keys, a column for each of shares): the value at place floor(n * share), from 0 and n - 1 at most, of each group; null values and keys don't count, NaN is the greatest.
 
+    For names in `before` the place is floor((n - 1) * share).
+
     Groups may be whole frames: a sketch of each, combined on the map side, gives two values close around each place, an
     exact count of what lies below and between them tells whether they hold it, and only distinct values between them
     are ranked. A group whose sketch missed is ranked whole.
@@ -42,8 +52,8 @@ def order_statistics(df: DataFrame, keys: list[str], value: str, shares: dict[st
     near = rows.groupBy(*keys).agg(F.percentile_approx(F.nanvl(v.cast("double"), F.lit(float("inf"))), around, F.lit(10_000)).alias("__q"))
     side = lambda k: F.when(v < F.col("__q")[2 * k], -1).when(v > F.col("__q")[2 * k + 1], 1).otherwise(0)
     at = rows.join(near, keys)
-    place = lambda s: F.least(F.count("*") - 1, F.floor(F.count("*") * F.lit(s)))
-    held = at.groupBy(*keys).agg(*[F.struct(place(s).alias("place"), F.count_if(side(k) < 0).alias("below"), F.count_if(side(k) == 0).alias("n")).alias(f"__h{k}") for k, (_, s) in every])
+    place = lambda name, s: F.floor((F.count("*") - 1) * F.lit(s)) if name in before else F.least(F.count("*") - 1, F.floor(F.count("*") * F.lit(s)))
+    held = at.groupBy(*keys).agg(*[F.struct(place(name, s).alias("place"), F.count_if(side(k) < 0).alias("below"), F.count_if(side(k) == 0).alias("n")).alias(f"__h{k}") for k, (name, s) in every])
     parts = []
     for k, _ in every:
         h = F.col(f"__h{k}")

@@ -20,6 +20,23 @@ def zero_point(spark, sf):
     return fits.select("frame", F.round("location", 6).alias("location"), F.round("scale", 6).alias("scale"), "n")
 
 
+_STARS = f"""WITH {SAMPLES}, st AS (SELECT frame, CASE WHEN flags = 7 AND t < 0.03 THEN -v ELSE v END AS f, CASE WHEN flags <> 6 THEN w + 10 END AS s, CASE WHEN flags <> 6 THEN 20 * d - 2.5 * log10(w + 10) END AS mag FROM sm),
+ok AS (SELECT frame, log10(f / s) AS r, -2.5 * log10(f) - mag AS delta FROM st WHERE f > 0 AND s > 0), md AS (SELECT *, median(delta) OVER (PARTITION BY frame) AS mid FROM ok), r AS (SELECT * FROM md WHERE abs(delta - mid) <= 1),
+m AS (SELECT frame, r, median(r) OVER (PARTITION BY frame) AS loc FROM r), l0 AS (SELECT *, median(abs(r - loc)) OVER (PARTITION BY frame) / 0.6745 AS s FROM m){_IRLS},
+n AS (SELECT frame, max(loc) AS loc, count(*) FILTER (WHERE abs(r - loc) < 4.685 * s) AS n, count(*) FILTER (WHERE abs(r - loc) >= 4.685 * s) AS outliers, median(abs(r - loc)) FILTER (WHERE abs(r - loc) < 4.685 * s) / 0.6745 AS sigma FROM l20 GROUP BY frame),
+i AS (SELECT frame, count(*) FILTER (WHERE abs(delta - mid) > 1) AS inconsistent FROM md GROUP BY frame), c AS (SELECT frame, count(*) FILTER (WHERE f <= 0 AND s IS NOT NULL) AS invalid, count(*) FILTER (WHERE s IS NULL) AS unmatched FROM st GROUP BY frame)
+SELECT frame, round(loc, 6) AS location, round(sigma, 6) AS sigma, n, inconsistent, outliers, invalid, unmatched FROM n JOIN i USING (frame) JOIN c USING (frame)"""
+
+
+@query("a_zero_point_reasons", _STARS)
+def zero_point_reasons(spark, sf):
+    """Frames calibrated by their stars, some of which have no partner, no flux or an odd magnitude, with the count of each reason."""
+    known = C("flags") != 6
+    stars = samples(spark, sf).select("frame", F.when((C("flags") == 7) & (C("t") < 0.03), -C("v")).otherwise(C("v")).alias("f"), F.when(known, C("w") + 10).alias("s"), F.when(known, C("d") * 20 - F.log10(C("w") + 10) * 2.5).alias("mag"))
+    fits, _ = photometry.calibrated(stars, ["frame"], "f", "s", "mag")
+    return fits.select("frame", F.round("location", 6).alias("location"), F.round("sigma", 6).alias("sigma"), *photometry.REASONS)
+
+
 @query("x_akima")
 def akima(spark, sf):
     e = table(spark, sf, "embeddings").select("vec_id", C("embedding").cast("array<double>").alias("y"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,3 +25,10 @@ def cut(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_base(spark))
     return df.checkpoint()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df as a table in the shared folder. Unlike a checkpoint's its size is known to the planner, which broadcasts it only where it is small."""
+    path = f"{shared_base(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

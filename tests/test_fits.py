@@ -44,6 +44,60 @@ def test_zero_points_pass_over_outliers(spark):
     assert told.where("frame = 1 AND r = 3.0 AND reason <> 2").isEmpty()
 
 
+def _plain_zero_point(stars, kept=1.0, rounds=50):
+    reasons = []
+    for f, s, mag in stars:
+        sound = f is not None and s is not None and mag is not None and f > 0 and s > 0 and np.isfinite([f, s, mag]).all()
+        reasons.append(5 if s is None and mag is None else None if sound else 3)
+    use = [i for i, x in enumerate(reasons) if x is None]
+    delta = {i: -2.5 * np.log10(stars[i][0]) - stars[i][2] for i in use}
+    mid = np.median(list(delta.values())) if use else 0.0
+    for i in use:
+        reasons[i] = 1 if abs(delta[i] - mid) > kept else None
+    use = [i for i in use if reasons[i] is None]
+    if not use:
+        return 0.0, 0.0, reasons
+    r = np.array([np.log10(stars[i][0] / stars[i][1]) for i in use])
+    loc = np.median(r)
+    spread = np.median(abs(r - loc)) / 0.6745
+    for _ in range(rounds if spread > 0 else 0):
+        u = (r - loc) / (4.685 * spread)
+        w = np.where(abs(u) < 1, (1 - u * u) ** 2, 0)
+        before, loc = loc, (w * r).sum() / w.sum()
+        if abs(loc - before) < 1e-10:
+            break
+    inside = (abs(r - loc) < 4.685 * spread) | (spread <= 0)
+    for i, x in zip(use, inside, strict=True):
+        reasons[i] = 0 if x else 2
+    return loc, np.median(abs(r[inside] - loc)) / 0.6745, reasons
+
+
+def test_calibration_tells_every_star_why(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for frame, n in enumerate([400, 61, 7, 2, 1]):
+        for i in range(n):
+            s = float(rng.uniform(1, 50))
+            f = s * 10 ** float(rng.normal(0.2 * frame, 0.02)) * (1.6 if i % 9 == 4 else 1)
+            mag = -2.5 * np.log10(s) + float(rng.normal(0, 0.02)) + (3 if i % 11 == 5 else 0)
+            odd = {2: (None, s, mag), 3: (f, None, None), 4: (-f, s, mag), 5: (float("nan"), s, mag), 6: (f, s, float("inf")), 7: (f, s, None)}.get(i % 13, (f, s, mag))
+            rows.append((frame, len(rows), *[None if x is None else float(x) for x in odd]))
+    rows += [(5, len(rows), 0.0, 1.0, 2.0), (5, len(rows) + 1, 1.0, None, None), (6, len(rows) + 2, 2.0, 1.0, 0.0), (6, len(rows) + 3, 2.0, 1.0, 0.0), (None, len(rows) + 4, 2.0, 1.0, 0.0)]
+    df = spark.createDataFrame(rows, "frame long, star long, f double, s double, mag double")
+    fits, told = photometry.calibrated(df, ["frame"], "f", "s", "mag")
+    reasons = {r.star: r.reason for r in told.collect()}
+    got = {r.frame: r for r in fits.collect()}
+    for frame in range(7):
+        mine = [r for r in rows if r[0] == frame]
+        loc, sigma, want = _plain_zero_point([r[2:] for r in mine])
+        assert [reasons[r[1]] for r in mine] == want, frame
+        assert (got[frame].location, got[frame].sigma) == pytest.approx((loc, sigma), abs=1e-9)
+        assert [got[frame][k] for k in photometry.REASONS] == [want.count(v) for v in photometry.REASONS.values()]
+    assert reasons[rows[-1][1]] == 3 and {0, 1, 2, 3, 5} == set(reasons.values())
+    assert 1 < got[0].rounds <= 50 and (got[5].scale, got[5].n, got[6].rounds) == (1.0, 0, 0)
+    assert told.columns == [*df.columns, "reason"] and photometry.calibrated(df.where("false"), ["frame"], "f", "s", "mag")[0].isEmpty()
+
+
 def test_only_lines_long_enough_grow(spark):
     line = [(0, x, 20) for x in range(10, 22)]
     block = [(0, x, y) for x in (40, 41) for y in (5, 6)]
