@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from math import comb
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.functions.frames import PHOTOMETRY_MAD, finite, tukey_weight
+from skyloom.functions.frames import PHOTOMETRY_MAD, finite
 from skyloom.operators.robust import medians
 from skyloom.session import written
 
@@ -15,27 +18,49 @@ TUKEY = 4.685
 REASONS = {"n": 0, "inconsistent": 1, "outliers": 2, "invalid": 3, "unmatched": 5}
 
 
+def _moved(sums: list[Column], c: Column, gap: Column, rounds: Column, most: int, tolerance: float) -> Column:
+    """struct(t, rounds, moving): Tukey's rounds from power sums of u = (value - location) / c over |u| < 1, t being the move in units of c.
+
+    The first round is always right, later ones as long as no value has crossed the limits: while the move is below the gap
+    between the limits and the value next to them.
+    """
+
+    def about(k: int, t: Column) -> Column:  # the power sum of u - t
+        return reduce(lambda out, j: out + sums[j] * F.pow(-t, F.lit(k - j)) * comb(k, j), range(k + 1), F.lit(0.0))
+
+    def step(a: Column, _: Column) -> Column:
+        t, run = a["t"], a["going"] & (a["rounds"] < most)
+        go = F.try_divide(about(1, t) - about(3, t) * 2 + about(5, t), about(0, t) - about(2, t) * 2 + about(4, t))
+        moving = F.coalesce(F.abs(go) * c >= tolerance, F.lit(False))
+        to = t + F.coalesce(go, F.lit(0.0))
+        return F.when(run, F.struct(to.alias("t"), (a["rounds"] + 1).alias("rounds"), moving.alias("moving"), (moving & (F.abs(to) * c < gap)).alias("going"))).otherwise(a)
+
+    start = F.struct(F.lit(0.0).alias("t"), rounds.alias("rounds"), F.lit(True).alias("moving"), F.lit(True).alias("going"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(most)), start, step)
+
+
 def tukey_locations(df: DataFrame, by: list[str], value: str, rounds: int = 50, tolerance: float = 1e-10) -> DataFrame:
     """(*by, location, spread, rounds) of each group, however large: the median moved by Tukey's weights at 4.685 spreads, MAD / 0.6745, until it moves by less than the tolerance.
 
-    A round is an aggregate with map-side combine over the rows beside the table of locations, which is written each
-    round; only groups that still move are summed. A group without spread stays at its median. Null keys and values
-    that aren't finite don't count.
+    A pass over the rows sums powers for the groups that still move, with map-side combine, beside the table of locations,
+    which is written each time. From the sums follow all rounds in which the same values lie within the limits, so two
+    or three passes do for most. A group without spread stays at its median. Null keys and values that aren't finite don't count.
     """
     rows = written(df.select(*by, F.col(value).cast("double").alias("__v")).where(finite(F.col("__v"))))
     v, at, s = F.col("__v"), F.col("location"), F.col("spread")
     start = written(medians(rows, by, "__v", "location"))
     off = medians(rows.join(start, by).withColumn("__d", F.abs(v - at)), by, "__d", "__d")
-    state = written(start.join(off, by).select(*by, "location", (F.col("__d") / PHOTOMETRY_MAD).alias("spread"), (F.col("__d") > 0).alias("moving"), F.lit(0).alias("rounds")))
+    state = written(start.join(off, by).select(*by, "location", (F.col("__d") / PHOTOMETRY_MAD).alias("spread"), F.lit(0).alias("rounds"), (F.col("__d") > 0).alias("moving")))
+    u = (v - at) / (s * TUKEY)
     for _ in range(rounds):
-        live = state.where("moving")
+        live = state.where(F.col("moving") & (F.col("rounds") < rounds))
         if live.isEmpty():
             break
-        w = tukey_weight((v - at) / (s * TUKEY))
-        sums = rows.join(live, by).groupBy(*by).agg(F.try_divide(F.sum(w * v), F.sum(w)).alias("next"))
-        goes = F.col("moving") & F.col("next").isNotNull()
-        still = goes & (F.abs(F.col("next") - at) >= tolerance)
-        state = written(state.join(sums, by, "left").select(*by, F.when(goes, F.col("next")).otherwise(at).alias("location"), "spread", still.alias("moving"), (F.col("rounds") + F.col("moving").cast("int")).alias("rounds")))
+        inside = F.abs(u) < 1
+        sums = rows.join(live, by).groupBy(*by).agg(*[F.sum(F.when(inside, F.pow(u, F.lit(k)))).alias(f"__p{k}") for k in range(6)], F.min(F.abs(F.abs(v - at) - s * TUKEY)).alias("__gap"))
+        told = state.join(sums, by, "left").withColumn("__m", F.when(F.col("__gap").isNotNull(), _moved([F.col(f"__p{k}") for k in range(6)], s * TUKEY, F.col("__gap"), F.col("rounds"), rounds, tolerance)))
+        m = F.col("__m")
+        state = written(told.select(*by, (at + F.coalesce(m["t"] * s * TUKEY, F.lit(0.0))).alias("location"), "spread", F.coalesce(m["rounds"], "rounds").alias("rounds"), F.coalesce(m["moving"], F.lit(False)).alias("moving")))
     return state.drop("moving")
 
 

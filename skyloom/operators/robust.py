@@ -7,7 +7,7 @@ from collections.abc import Collection
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyloom.session import cut
+from skyloom.session import cut, written
 
 
 def beside(df: DataFrame, keys: list[str], **aggregates: Column) -> DataFrame:
@@ -44,16 +44,17 @@ def order_statistics(df: DataFrame, keys: list[str], value: str, shares: dict[st
 
     Groups may be whole frames: a sketch of each, combined on the map side, gives two values close around each place, an
     exact count of what lies below and between them tells whether they hold it, and only distinct values between them
-    are ranked. A group whose sketch missed is ranked whole.
+    are ranked. A group whose sketch missed is ranked whole. Sketches and counts are written, a row a group, so that the
+    planner knows whether they are small enough to be broadcast and rows needn't be shuffled.
     """
     v, every = F.col("__v"), list(enumerate(shares.items()))
     rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("__v"))
     around = F.array(*[F.lit(min(1.0, max(0.0, s + d))) for s in shares.values() for d in (-0.001, 0.001)])
-    near = rows.groupBy(*keys).agg(F.percentile_approx(F.nanvl(v.cast("double"), F.lit(float("inf"))), around, F.lit(10_000)).alias("__q"))
+    near = written(rows.groupBy(*keys).agg(F.percentile_approx(F.nanvl(v.cast("double"), F.lit(float("inf"))), around, F.lit(10_000)).alias("__q")))
     side = lambda k: F.when(v < F.col("__q")[2 * k], -1).when(v > F.col("__q")[2 * k + 1], 1).otherwise(0)
     at = rows.join(near, keys)
     place = lambda name, s: F.floor((F.count("*") - 1) * F.lit(s)) if name in before else F.least(F.count("*") - 1, F.floor(F.count("*") * F.lit(s)))
-    held = at.groupBy(*keys).agg(*[F.struct(place(name, s).alias("place"), F.count_if(side(k) < 0).alias("below"), F.count_if(side(k) == 0).alias("n")).alias(f"__h{k}") for k, (name, s) in every])
+    held = written(at.groupBy(*keys).agg(*[F.struct(place(name, s).alias("place"), F.count_if(side(k) < 0).alias("below"), F.count_if(side(k) == 0).alias("n")).alias(f"__h{k}") for k, (name, s) in every]))
     parts = []
     for k, _ in every:
         h = F.col(f"__h{k}")
