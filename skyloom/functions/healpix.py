@@ -129,9 +129,9 @@ def pixel_scale(cd11: Column, cd12: Column, cd21: Column, cd22: Column) -> Colum
     return F.sqrt(F.abs(cd11 * cd22 - cd12 * cd21)) * 3600
 
 
-def nside_for_scale(arcsec: Column) -> Column:
-    """The smallest power of two whose pixels are as fine, between 16 and 2**22."""
-    return F.least(F.lit(1 << 22), F.greatest(F.lit(16), F.pow(F.lit(2.0), F.ceil(F.log2(F.lit(211034.6) / arcsec))))).cast("long")
+def nside_for_scale(arcsec: Column, side: float = 211034.6) -> Column:
+    """The smallest power of two whose pixels, `side` arcseconds over nside, are as fine, between 16 and 2**22."""
+    return F.least(F.lit(1 << 22), F.greatest(F.lit(16), F.pow(F.lit(2.0), F.ceil(F.log2(F.lit(side) / arcsec))))).cast("long")
 
 
 # Of each base face the one beyond its (x, y) border, x and y each -1, 0 or 1; none where three faces meet.

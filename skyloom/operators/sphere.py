@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skyloom.functions.healpix import nside_for_scale
+
 WCS = ("ra0", "dec0", "px0", "py0", "cd11", "cd12", "cd21", "cd22")  # an image's centre on the sky and in pixels, and degrees a pixel
 SIP = 6  # distortion coefficients stand at p * SIP + q for dx**p * dy**q
 
@@ -424,3 +426,65 @@ def outlined(cells: DataFrame, order: int, share: float = 1e-6) -> DataFrame:
         return np.arange(len(pix)), (lists, area(poly, n))
 
     return _joined(cells.where(F.col("pix").between(0, 12 * 4**order - 1)), work, "outline array<struct<ra:double,dec:double>>, outline_area double")
+
+
+# pixel scales
+
+
+def local_scale(frames: Frames, x: np.ndarray, y: np.ndarray, half: float = 0.5) -> np.ndarray:
+    """Arcseconds a pixel in the direction in which pixels are finest, by differences of one pixel in the tangent plane of each place; NaN where there is none."""
+    c = frames.sky(x, y)
+
+    def at(dx: float, dy: float) -> np.ndarray:
+        v = frames.sky(x + dx, y + dy)
+        return v / (v * c).sum(-1)[:, None]
+
+    with np.errstate(all="ignore"):
+        along, across = (at(half, 0.0) - at(-half, 0.0)) / (2 * half), (at(0.0, half) - at(0.0, -half)) / (2 * half)
+        a, b, d = (along * along).sum(-1), (along * across).sum(-1), (across * across).sum(-1)
+        finest = np.degrees(np.sqrt((a * d - b * b) / ((a + d + np.sqrt((a - d) ** 2 + 4 * b * b)) / 2))) * 3600
+    return np.where(np.isfinite(finest) & (finest > 0), finest, np.nan)
+
+
+def sampled_scales(frames: Frames, width: np.ndarray, height: np.ndarray, ratio: float, depth: int, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(finest, coarsest, samples) of each image: cells are sampled at nine places and quartered level by level while their scales differ by more than ratio."""
+    finest, coarsest, samples = np.full(len(width), np.inf), np.zeros(len(width)), np.zeros(len(width), np.int64)
+    item = np.flatnonzero((width > 0) & (height > 0))
+    x0, y0 = np.full(len(item), 0.5), np.full(len(item), 0.5)
+    x1, y1 = np.maximum(width[item] - 0.5, 1.5), np.maximum(height[item] - 0.5, 1.5)
+    for level in range(depth + 1):
+        if not len(item):
+            break
+        mine, low, high = frames.take(item), np.full(len(item), np.inf), np.zeros(len(item))
+        for i in (0.0, 0.5, 1.0):
+            for j in (0.0, 0.5, 1.0):
+                s = local_scale(mine, x0 + (x1 - x0) * i, y0 + (y1 - y0) * j)
+                low, high = np.fmin(low, s), np.fmax(high, s)
+                np.add.at(samples, item, ~np.isnan(s))
+        np.minimum.at(finest, item, low)
+        np.maximum.at(coarsest, item, high)
+        split = (high > 0) & (high > low * ratio) & (x1 - x0 >= least) & (y1 - y0 >= least) & (level < depth)
+        item, xm, ym = item[split], (x0 + x1)[split] / 2, (y0 + y1)[split] / 2
+        left, low_y, right, high_y = x0[split], y0[split], x1[split], y1[split]
+        x0, x1 = np.concatenate([left, xm, left, xm]), np.concatenate([xm, right, xm, right])
+        y0, y1 = np.concatenate([low_y, low_y, ym, ym]), np.concatenate([ym, ym, high_y, high_y])
+        item = np.tile(item, 4)
+    return finest, coarsest, samples
+
+
+def finest_scales(images: DataFrame, ratio: float = 1.25, depth: int = 5, least: float = 4.0, batch: int = 32) -> DataFrame:
+    """images with finest and coarsest (arcseconds a pixel), samples, and nside, the smallest power of two from 16 to 2**22 whose cells are as fine as the finest pixel.
+
+    images has width, height, the columns of WCS and, for distortion, sip_a and sip_b. A row is an image; the places
+    sampled in it are followed by distortion, at most 4**depth cells, in batches of images and without any shuffle.
+    An image without a size, or without a usable geometry anywhere, has null scales and nside.
+    """
+
+    side = float(np.degrees(np.sqrt(np.pi / 3)) * 3600)  # of a cell at nside 1, by its area
+
+    def work(b, names):
+        size = lambda c: np.nan_to_num(np.asarray(b.column(names.index(c)).to_numpy(zero_copy_only=False), float))
+        fine, coarse, n = sampled_scales(_frames(b, names), size("width"), size("height"), ratio, depth, least)
+        return np.arange(b.num_rows), [pa.array(fine, mask=n == 0), pa.array(coarse, mask=n == 0), n]
+
+    return _joined(images, work, "finest double, coarsest double, samples long", batch).withColumn("nside", F.when(F.col("finest").isNotNull(), nside_for_scale(F.col("finest"), side)))

@@ -8,7 +8,7 @@ from skyloom.functions import healpix as hp
 from skyloom.operators import sphere
 from skyloom.plans.geometry import compact_sql
 from skyloom.plans.registry import query
-from skyloom.plans.roles import CATALOG, POINTINGS, catalog, pointings
+from skyloom.plans.roles import CATALOG, POINTINGS, catalog, pointings, table
 
 C = F.col
 _CENTRES = f"""f AS (SELECT i AS pix, i // 256 AS face, {compact_sql('i % 256')} AS x, {compact_sql('i % 256', 1)} AS y FROM range(0, 3072) t(i)),
@@ -73,3 +73,31 @@ def drizzle_reverse(spark, sf):
     cells = sphere.cells_in_disc(_images(spark, sf), 1.6, 8, touching=True).withColumns({"signal": C("pix") % 7 + 1.0, "support": F.lit(1.0)})
     made = sphere.reverse_drizzled(sphere.cell_overlaps(cells, 8, 5, 5), ["point_id"], "signal", "support")
     return made.select("point_id", "x", "y", F.round("coverage", 6).alias("coverage"))
+
+
+_PLACED = "list_transform([{'u': xx - f.px0, 'v': yy - f.py0}], lambda d: list_transform([{'u': d.u + f.bend * d.u * d.u, 'v': d.v + f.bend * d.u * d.v}], lambda e: {'xi': radians(f.cd11 * e.u + f.cd12 * e.v), 'eta': radians(f.cd21 * e.u + f.cd22 * e.v)})[1])[1]".replace("xx", "(p.x + o.x)").replace("yy", "(p.y + o.y)")
+_NINE = "[" + ", ".join(f"{{'x': c.x0 + (c.x1 - c.x0) * {i}::DOUBLE, 'y': c.y0 + (c.y1 - c.y0) * {j}::DOUBLE}}" for i in (0, 0.5, 1) for j in (0, 0.5, 1)) + "]"
+_FIVE = "[" + ", ".join(f"{{'x': {x}::DOUBLE, 'y': {y}::DOUBLE}}" for x, y in ((0, 0), (0.5, 0), (-0.5, 0), (0, 0.5), (0, -0.5))) + "]"
+# each neighbour in the tangent plane of the place, as (1, xi, eta) over the cosine; then the smaller singular value of the differences
+_PLANE = "list_transform(q, lambda k: list_transform([sqrt(1 + q[1].xi * q[1].xi + q[1].eta * q[1].eta) / (1 + k.xi * q[1].xi + k.eta * q[1].eta)], lambda g: {'x': g, 'y': g * k.xi, 'z': g * k.eta})[1])"
+_DOT = lambda a, b: " + ".join(f"(w[{a}].{k} - w[{a + 1}].{k}) * (w[{b}].{k} - w[{b + 1}].{k})" for k in "xyz")
+_SINGULAR = f"list_transform([{{'a': {_DOT(2, 2)}, 'b': {_DOT(2, 4)}, 'd': {_DOT(4, 4)}}}], lambda m: degrees(sqrt((m.a * m.d - m.b * m.b) * 2 / (m.a + m.d + sqrt((m.a - m.d) * (m.a - m.d) + 4 * m.b * m.b)))) * 3600)[1]"
+_SCALES = f"list_transform(list_transform(list_transform({_NINE}, lambda p: list_transform({_FIVE}, lambda o: {_PLACED})), lambda q: {_PLANE}), lambda w: {_SINGULAR})"
+
+
+@query("x_auto_nside", f"""WITH RECURSIVE f AS (SELECT s_suppkey AS id, 0.01::DOUBLE * (1 + s_suppkey % 4) AS cd11, 0.001::DOUBLE * (s_suppkey % 3) AS cd12, -0.002::DOUBLE * (s_suppkey % 5) AS cd21, 0.011::DOUBLE * (1 + s_suppkey % 4) AS cd22, 1e-5::DOUBLE * (s_suppkey % 7) AS bend, 600.0::DOUBLE AS px0, 500.0::DOUBLE AS py0 FROM supplier),
+c(id, depth, x0, y0, x1, y1) AS (SELECT id, 0, 0.5::DOUBLE, 0.5::DOUBLE, 1499.5::DOUBLE, 1099.5::DOUBLE FROM f UNION ALL
+SELECT id, depth + 1, x0 + (x1 - x0) / 2 * i, y0 + (y1 - y0) / 2 * j, x0 + (x1 - x0) / 2 * (i + 1), y0 + (y1 - y0) / 2 * (j + 1) FROM (SELECT c.*, {_SCALES} AS s FROM c JOIN f ON c.id = f.id WHERE depth < 5) t, range(0, 2) a(i), range(0, 2) b(j) WHERE list_max(s) > 1.25::DOUBLE * list_min(s)),
+z AS (SELECT c.id, {_SCALES} AS s FROM c JOIN f ON c.id = f.id)
+SELECT id, round(min(list_min(s)), 6) AS finest, count(*) * 9 AS samples, least(4194304, greatest(16, 2 ** ceil(log2(degrees(sqrt(pi() / 3)) * 3600 / min(list_min(s))))))::BIGINT AS nside FROM z GROUP BY id""")
+def auto_nside(spark, sf):
+    """The grid for wide images, some of them bent: the finest pixel scale that adaptive samples find."""
+    k = C("s_suppkey")
+    zero = [F.lit(0.0)] * 36
+    a, b = list(zero), list(zero)
+    a[12] = b[7] = F.lit(1e-5) * (k % 7)
+    number = lambda v, m: F.lit(v) * m
+    images = table(spark, sf, "supplier").select(
+        k.alias("id"), F.lit(10.0).alias("ra0"), F.lit(20.0).alias("dec0"), F.lit(600.0).alias("px0"), F.lit(500.0).alias("py0"), number(0.01, 1 + k % 4).alias("cd11"), number(0.001, k % 3).alias("cd12"),
+        number(-0.002, k % 5).alias("cd21"), number(0.011, 1 + k % 4).alias("cd22"), F.array(*a).alias("sip_a"), F.array(*b).alias("sip_b"), F.lit(1500).alias("width"), F.lit(1100).alias("height"))
+    return sphere.finest_scales(images).select("id", F.round("finest", 6).alias("finest"), "samples", "nside")

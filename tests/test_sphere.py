@@ -144,3 +144,52 @@ def test_discs(spark, radius):
         assert inside.get(i, set()) | edge == set(np.flatnonzero(gap <= radius).tolist()) | edge
         assert inside.get(i, set()) <= touched[i]
     assert 99 not in touched
+
+
+def _images(bends, width=300, height=220, scale=0.1):
+    out = []
+    for k, bend in enumerate(bends):
+        a, b = [0.0] * 36, [0.0] * 36
+        a[12], b[2], a[18] = bend, -bend / 2, bend / 300
+        ra, dec = PLACES[k % len(PLACES)]
+        out.append((k, ra, dec, 100.0, 90.0, -scale, scale / 9, scale / 7, scale, a, b, width, height))
+    return out
+
+
+IMAGES = "id long, ra0 double, dec0 double, px0 double, py0 double, cd11 double, cd12 double, cd21 double, cd22 double, sip_a array<double>, sip_b array<double>, width long, height long"
+
+
+def test_adaptive_scales_find_the_finest_pixel(spark):
+    """Dense samples at the places of the finest cells find nothing finer by more than the ratio, and mostly the same."""
+    rows = _images([0.0, 1e-4, -2e-4, 5e-4, 3e-4, 0.0, -4e-4])
+    got = {r.id: r for r in sp.finest_scales(spark.createDataFrame(rows, IMAGES)).collect()}
+    for row in rows:
+        x, y = (v.ravel() for v in np.meshgrid(np.linspace(0.5, 299.5, 300), np.linspace(0.5, 219.5, 220)))
+        wcs = dict(zip(sp.WCS, (np.full(len(x), v) for v in row[1:9]), strict=True))
+        dense = sp.local_scale(sp.Frames(wcs, np.tile(row[9], (len(x), 1)), np.tile(row[10], (len(x), 1))), x, y)
+        r = got[row[0]]
+        assert np.nanmin(dense) / 1.25 <= r.finest <= np.nanmin(dense) * 1.25
+        assert r.samples % 9 == 0 and (r.samples > 9) == (r.coarsest > 1.25 * r.finest)
+        assert r.nside / 2 < math.degrees(math.sqrt(math.pi / 3)) * 3600 / r.finest <= r.nside
+    assert {r.samples > 9 for r in got.values()} == {True, False}
+
+
+def test_a_plain_image_keeps_its_scale_at_the_pole(spark):
+    row = [7, 12.0, 90.0, 5.0, 5.0, -1e-4, 0.0, 0.0, 2e-4, None, None, 10, 10]
+    r = sp.finest_scales(spark.createDataFrame([tuple(row)], IMAGES)).first()
+    assert (r.finest, r.coarsest, r.samples, r.nside) == (pytest.approx(0.36, rel=1e-6), pytest.approx(0.36, rel=1e-6), 9, 1 << 20)
+
+
+def test_images_without_geometry_have_no_scale(spark):
+    good = _images([0.0])[0]
+    odd = [(1, None, *good[2:]), (2, *good[1:5], 0.0, 0.0, 0.0, 0.0, *good[9:]), (3, *good[1:11], 0, 220), (4, *good[1:11], None, None), (5, *good[1:11], 1, 1)]
+    got = {r.id: (r.finest, r.samples, r.nside) for r in sp.finest_scales(spark.createDataFrame([good, *odd], IMAGES)).collect()}
+    assert got[1] == got[2] == got[3] == got[4] == (None, 0, None)
+    assert got[0][1] == got[5][1] == 9 and got[0][2] >= 512
+    assert sp.finest_scales(spark.createDataFrame([], IMAGES)).count() == 0
+
+
+def test_scales_do_not_depend_on_batches(spark):
+    df = spark.createDataFrame(_images([1e-4 * k for k in range(-6, 7)]), IMAGES)
+    one = {r.id: (r.finest, r.samples) for r in sp.finest_scales(df.coalesce(1), batch=1).collect()}
+    assert one == {r.id: (r.finest, r.samples) for r in sp.finest_scales(df.repartition(3), batch=5).collect()}
