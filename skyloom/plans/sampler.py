@@ -12,6 +12,7 @@ from skyloom.operators import robust, sampler, upm
 from skyloom.plans.registry import query
 from skyloom.plans.roles import IMAGE, SAMPLES, image, samples, table
 from skyloom.session import shared_base
+from skyloom.sources import products
 
 C = F.col
 #: Cells of 8 pixels on the 64-pixel frames of the test tables; the patch is the whole cell but its first row and column.
@@ -178,23 +179,40 @@ def smoothed(spark, sf):
 _VAR = f"WITH {SAMPLES}, v AS (SELECT pix // 16 AS tile, pix % 16 AS local, sum(w * d) / sum(w) AS signal, sum(sup) AS support, sum(w * w * t) / (sum(w) * sum(w)) AS variance FROM sm GROUP BY ALL)"
 
 
-def _variance(spark, sf):
+def _cells(spark, sf):
+    """Pixels of tiles of 16: the weighted mean, and what the variance is made of."""
     t = samples(spark, sf).groupBy(F.floor(C("pix") / 16).alias("tile"), (C("pix") % 16).alias("local"))
-    return t.agg((F.sum(C("w") * C("d")) / F.sum("w")).alias("signal"), F.sum("sup").alias("support"), (F.sum(C("w") * C("w") * C("t")) / (F.sum("w") * F.sum("w"))).alias("variance"))
+    return t.agg((F.sum(C("w") * C("d")) / F.sum("w")).alias("signal"), F.sum(C("w") * C("w") * C("t")).alias("var_num"), F.sum("w").alias("area"))
 
 
-@query("snk_hips_var", f"{_VAR}, g AS (SELECT tile, bool_or(variance > 0 AND isfinite(variance)) AS good FROM v GROUP BY tile) SELECT v.tile, local, round(variance, 9) AS variance, CASE WHEN variance > 0 THEN round(1 / variance, 4) ELSE 0 END AS ivar FROM v JOIN g ON v.tile = g.tile WHERE good")
+def _signal(spark, sf) -> str:
+    path = f"{shared_base(spark)}/signal-{uuid.uuid4().hex}"
+    products.write_pixels(_cells(spark, sf).select("tile", "local", "signal"), path)
+    return path
+
+
+@query("snk_hips_var", f"{_VAR}, g AS (SELECT tile, bool_or(variance > 0 AND isfinite(variance)) AS good FROM v GROUP BY tile) SELECT v.tile, local, CASE WHEN variance > 0 THEN round(variance, 9) END AS variance, CASE WHEN variance > 0 THEN round(1 / variance, 4) END AS ivar FROM v JOIN g ON v.tile = g.tile WHERE good")
 def hips_var(spark, sf):
-    """Variance tiles with their inverse; tiles without any valid variance are left out."""
-    v = _variance(spark, sf)
-    valid = F.max((C("variance") > 0) & (F.abs("variance") < float("inf"))).over(Window.partitionBy("tile"))  # the pixels of a tile
-    return v.withColumn("good", valid).where("good").select("tile", "local", F.round("variance", 9).alias("variance"), F.when(C("variance") > 0, F.round(1 / C("variance"), 4)).otherwise(0.0).alias("ivar"))
+    """Variance tiles with their inverse, written and read again. The sink refuses tiles without any variance, so these are left out beforehand."""
+    path = f"{shared_base(spark)}/variance-{uuid.uuid4().hex}"
+    cells = _cells(spark, sf)
+    products.write_variance(cells.join(products.without_variance(products.variances(cells)), "tile", "left_anti"), path)
+    shown = lambda c, places: F.when(~F.isnan(c), F.round(c, places)).alias(c)
+    return products.read_tiles(spark, path).select("tile", "local", shown("variance", 9), shown("ivar", 4))
 
 
 @query("src_hips_leaf", f"{_VAR} SELECT tile, local, round(signal, 7) AS signal FROM v WHERE tile = 3 AND local = 5")
 def hips_leaf(spark, sf):
-    """One leaf pixel: a filter on tile and place."""
-    return _variance(spark, sf).where("tile = 3 and local = 5").select("tile", "local", F.round("signal", 7).alias("signal"))
+    """One leaf cell of written tiles: the folder of its tile is opened, and the row groups that may hold it."""
+    return products.read_leaf(spark, _signal(spark, sf), 3 * 16 + 5, depth=2).select("tile", "local", F.round("signal", 7).alias("signal"))
+
+
+@query("src_hips_leaves", f"{_VAR}, k AS (SELECT s_suppkey AS id, s_suppkey * 37 % 2500 AS leaf FROM supplier) SELECT id, leaf, round(signal, 7) AS signal FROM k LEFT JOIN v ON tile = leaf // 16 AND local = leaf % 16")
+def hips_leaves(spark, sf):
+    """The pixel of each of many leaf cells, some of which lie in no tile."""
+    k = C("s_suppkey")
+    wanted = table(spark, sf, "supplier").select(k.alias("id"), (k * 37 % 2500).alias("leaf"))
+    return products.read_leaves(spark, _signal(spark, sf), wanted, depth=2).select("id", "leaf", F.round("signal", 7).alias("signal"))
 
 
 @query("a_dark_k", f"""WITH {SAMPLES}, s AS (SELECT frame, sup * 100 AS x, 7 + sup * 137 + t * 3 AS y FROM sm), i0 AS (SELECT * FROM s)
