@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from skyloom.functions import healpix as hp
-from skyloom.operators import robust, sampler, upm
+from skyloom.operators import darks, robust, sampler, upm
 from skyloom.plans.registry import query
 from skyloom.plans.roles import IMAGE, SAMPLES, image, samples, table
 from skyloom.session import shared_base
@@ -224,3 +224,32 @@ def dark_k(spark, sf):
     for _ in range(2):
         s = robust.regression_clip(s, ["frame"], "x", "y")
     return s.groupBy("frame").agg(F.round(F.regr_slope("y", "x"), 6).alias("k"), F.count("*").alias("n"))
+
+
+_EXPOSED = "e AS (SELECT event_id % 4 AS frame, (event_id // 4) % 256 AS x, event_id // 1024 AS y, 2.0::DOUBLE AS bias, 10 + (event_id * 7919 % 1000) / 50.0::DOUBLE AS dark, value FROM events), p AS (SELECT *, round(bias + (1.1::DOUBLE + frame * 0.2::DOUBLE) * (dark - bias) + value / 50, 6) AS light FROM e), z AS (SELECT frame, 256 AS width, max(y) + 1 AS height FROM p GROUP BY frame)"
+
+
+def _exposed(spark, sf):
+    """Events as pixels of frames 256 wide, each a dark scaled by the frame's own factor and some light; and the frames."""
+    e = C("event_id")
+    p = table(spark, sf, "events").select((e % 4).alias("frame"), (F.floor(e / 4) % 256).alias("x"), F.floor(e / 1024).alias("y"), F.lit(2.0).alias("bias"), (e * 7919 % 1000 / F.lit(50.0) + 10).alias("dark"), "value")
+    p = p.withColumn("light", F.round(C("bias") + (C("frame") * 0.2 + 1.1) * (C("dark") - C("bias")) + C("value") / 50, 6))
+    return p, p.groupBy("frame").agg(F.lit(256).alias("width"), (F.max("y") + 1).alias("height"), F.lit(1.0).alias("ratio"))
+
+
+@query("s_stride_total", f"""WITH {_EXPOSED}, m AS (SELECT *, median(light) OVER (PARTITION BY frame) AS m FROM p), d AS (SELECT *, median(abs(light - m)) OVER (PARTITION BY frame) AS d FROM m),
+b AS (SELECT d.*, least(7, y // greatest(1, height // 8)) * 8 + least(7, x // greatest(1, width // 8)) AS c FROM d JOIN z USING (frame) WHERE d <= 0 OR abs(light - m) <= d * 3 * 1.4826::DOUBLE),
+r AS (SELECT frame, c, x, y, row_number() OVER (PARTITION BY frame, c ORDER BY y, x) - 1 AS r, greatest(1, count(*) OVER (PARTITION BY frame, c) // 20) AS s FROM b), t AS (SELECT * FROM r WHERE r % s = 0 AND r // s < 20),
+n AS (SELECT frame, c, coalesce(sum(count(*)) OVER (PARTITION BY frame ORDER BY c ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM t GROUP BY frame, c)
+SELECT frame, x, y FROM t JOIN n USING (frame, c) WHERE before < 1000""")
+def stride_total(spark, sf):
+    """A strided sample of the background of frames: 20 of a cell, cells in order until 1000."""
+    pixels, frames = _exposed(spark, sf)
+    return darks.strided(darks.background(pixels), frames, per_cell=20, total=1000).select("frame", "x", "y")
+
+
+@query("a_dark_k_sampled")
+def dark_k_sampled(spark, sf):
+    """The darks' scales from strided samples, with the exposures' ratio where no slope is found."""
+    got = darks.dark_scales(*_exposed(spark, sf))
+    return got.withColumn("k", F.round("k", 6))
