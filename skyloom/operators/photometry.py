@@ -105,21 +105,22 @@ def calibrated(stars: DataFrame, by: list[str], instrumental: str, synthetic: st
 
 
 def akima(x: np.ndarray, y: np.ndarray, at: np.ndarray, fill: float = 0.0) -> np.ndarray:
-    """Akima's local cubic through rising x; fill outside and for fewer than two points."""
+    """Akima's local cubic through rising x, of one curve or of a matrix with a curve a row; fill outside and for fewer than two points."""
     if len(x) < 2 or (np.diff(x) <= 0).any():
-        return np.full(len(at), fill)
+        return np.full((*y.shape[:-1], len(at)), fill)
     m = np.diff(y) / np.diff(x)
     if len(x) > 2:
-        m = np.concatenate([[3 * m[0] - 2 * m[1], 2 * m[0] - m[1]], m, [2 * m[-1] - m[-2], 3 * m[-1] - 2 * m[-2]]])
+        first, last = 2 * m[..., :1] - m[..., 1:2], 2 * m[..., -1:] - m[..., -2:-1]
+        m = np.concatenate([2 * first - m[..., :1], first, m, last, 2 * last - m[..., -1:]], -1)
     else:
-        m = np.repeat(m, 5)
-    left, right = np.abs(m[3:] - m[2:-1]), np.abs(m[1:-2] - m[:-3])
+        m = np.repeat(m, 5, -1)
+    left, right = np.abs(m[..., 3:] - m[..., 2:-1]), np.abs(m[..., 1:-2] - m[..., :-3])
     total = left + right
-    t = np.where(total == 0, (m[1:-2] + m[2:-1]) / 2, (left * m[1:-2] + right * m[2:-1]) / np.where(total == 0, 1, total))
+    t = np.where(total == 0, (m[..., 1:-2] + m[..., 2:-1]) / 2, (left * m[..., 1:-2] + right * m[..., 2:-1]) / np.where(total == 0, 1, total))
     j = np.clip(np.searchsorted(x, at, "right") - 1, 0, len(x) - 2)
     h, d = x[j + 1] - x[j], at - x[j]
-    slope = (y[j + 1] - y[j]) / h
-    got = y[j] + d * (t[j] + d / h * (3 * slope - 2 * t[j] - t[j + 1] + d / h * (t[j] + t[j + 1] - 2 * slope)))
+    slope, t0, t1 = (y[..., j + 1] - y[..., j]) / h, t[..., j], t[..., j + 1]
+    got = y[..., j] + d * (t0 + d / h * (3 * slope - 2 * t0 - t1 + d / h * (t0 + t1 - 2 * slope)))
     return np.where((at < x[0]) | (at > x[-1]), fill, got)
 
 
@@ -141,3 +142,66 @@ def synthetic_flux(spectrum: Column, transmission: Column, efficiency: Column, w
 
     product = F.zip_with(F.zip_with(spectrum, transmission, lambda a, b: a * b), F.zip_with(efficiency, wavelengths, lambda a, b: a * b), lambda a, b: a * b)
     return simpson(product, step)
+
+
+Curve = tuple[list[float], list[float]]
+
+
+def _prepared(wl: np.ndarray) -> np.ndarray:
+    """Places that put wavelengths in rising order, of equal ones the first; those that aren't finite are left out."""
+    order = np.argsort(wl, kind="stable")
+    order = order[np.isfinite(wl[order])]
+    return order[np.concatenate([[True], np.diff(wl[order]) > 0])] if len(order) else order
+
+
+def _simpson_weights(n: int) -> np.ndarray:
+    """Of n samples one apart: Simpson's rule, the last three of an odd number of intervals by the 3/8 rule, a single one by the trapezoid."""
+    w, even = np.zeros(n), n if n % 2 else n - 3
+    if n == 2:
+        return np.full(2, 0.5)
+    if even > 1:
+        w[:even] = np.where(np.arange(even) % 2 == 1, 4, 2) / 3
+        w[[0, even - 1]] = 1 / 3
+    if n % 2 == 0:
+        w[-4:] += np.array([3, 9, 9, 3]) / 8
+    return w
+
+
+def catalog_flux(spectrum: Column, magnitude: Column, wavelengths: list[float], transmission: Curve, efficiency: Curve | None = None, rows: int = 512) -> Column:
+    """Synthetic flux of catalog spectra, bytes at common wavelengths in nm, through a filter and a detector's efficiency.
+
+    A spectrum times 10**(-0.4 magnitude), the transmission and the efficiency (1 where it is None or has a single point) are interpolated at
+    steps of 1 nm over the range common to all, 0 beyond; Simpson's integral of their product with the wavelength is the flux. 0 where
+    there is no common range or the spectrum's length is another; null for a null spectrum or magnitude or a null in one.
+    """
+    wl = np.array(wavelengths, float)
+    keep = _prepared(wl)
+    curves = []
+    for c in (transmission, efficiency):
+        if c is not None:
+            k = _prepared(np.array(c[0], float))
+            curves.append((np.array(c[0], float)[k], np.array(c[1], float)[k]))
+    curves = curves[:1] + [c for c in curves[1:] if len(c[0]) > 1]
+    known = len(keep) > 1 and len(curves[0][0]) > 1
+    low = max(c[0] for c in [wl[keep], *[c[0] for c in curves]]) if known else 0.0
+    high = min(c[-1] for c in [wl[keep], *[c[0] for c in curves]]) if known else 0.0
+    n = int(np.floor(high - low + 0.5)) + 1 if high > low else 0
+    grid = low + np.arange(n)
+    weight = grid * _simpson_weights(n) if n > 1 else np.zeros(n)
+    for c in curves if n > 1 else []:
+        weight = weight * akima(*c, grid)
+
+    @F.arrow_udf("double")
+    def run(s: pa.Array, mag: pa.Array) -> pa.Array:
+        out, lengths = np.zeros(len(s)), np.diff(s.offsets.to_numpy())
+        scale = np.power(10.0, -0.4 * mag.to_numpy(zero_copy_only=False))
+        values, start = s.values.to_numpy(zero_copy_only=False).astype(float), s.offsets.to_numpy()[:-1]
+        usable = np.flatnonzero(lengths == len(wl))
+        for i in range(0, len(usable), rows):
+            at = usable[i : i + rows]
+            y = values[start[at][:, None] + keep] * scale[at][:, None]
+            out[at] = np.where(np.isnan(y).any(1), np.nan, akima(wl[keep], y, grid) @ weight)
+        return pa.array(out, mask=np.isnan(out))
+
+    bytes_ = spectrum.cast("array<int>")
+    return F.when(spectrum.isNotNull() & magnitude.isNotNull(), run(F.coalesce(bytes_, F.array().cast("array<int>")), F.coalesce(magnitude.cast("double"), F.lit(0.0))))

@@ -54,6 +54,17 @@ def fsyn(spark, sf):
     return table(spark, sf, "embeddings").select(C("vec_id").alias("id"), F.round(flux, 6).alias("flux"))
 
 
+@query("x_fsyn_catalog")
+def fsyn_catalog(spark, sf):
+    """Fluxes of spectra of bytes, 2 nm apart, through a filter and a detector given at other wavelengths."""
+    wl = [336.0 + 2 * i for i in range(64)]
+    band = ([350.0, 372.5, 401.0, 433.3, 447.9, 455.0], [0.0, 0.6, 0.95, 0.9, 0.4, 0.0])
+    detector = ([330.0, 380.0, 420.0, 480.0], [0.35, 0.6, 0.8, 0.9])
+    spectrum = F.transform("embedding", lambda v: F.least(F.lit(255), F.greatest(F.lit(0), F.floor(v * 100 + 128))).cast("int"))
+    flux = photometry.catalog_flux(spectrum, C("vec_id") % 13 + 5.0, wl, band, detector)
+    return table(spark, sf, "embeddings").select(C("vec_id").alias("id"), F.round(flux, 6).alias("flux"))
+
+
 _HOT = f"WITH RECURSIVE {IMAGE}, hot AS (SELECT frame, x, y, frame * 1000000 + y * 1000 + x AS id FROM im WHERE value > 90), lk AS (SELECT a.id AS a, b.id AS b FROM hot a JOIN hot b ON a.frame = b.frame AND abs(a.x - b.x) <= 1 AND abs(a.y - b.y) <= 1), r AS (SELECT a AS id, a AS root FROM lk UNION SELECT lk.b, r.root FROM r JOIN lk ON r.id = lk.a), c AS (SELECT id, min(root) AS root FROM r GROUP BY id), z AS (SELECT root, count(*) AS size FROM c GROUP BY root), q AS (SELECT hot.*, size FROM hot JOIN c ON hot.id = c.id JOIN z ON c.root = z.root)"
 
 
