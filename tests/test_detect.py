@@ -188,3 +188,21 @@ def test_repeats_go(spark):
     assert all(any(t[0] == r[0] and math.hypot(t[2] - r[2], t[3] - r[3]) <= 1 for t in kept) for r in plain if r[1] not in got)
     line = spark.createDataFrame([(0, i, 0, i * 0.9, 0.0, 5, False) for i in range(12)], "frame int, x int, y int, cx double, cy double, radius int, saturated boolean")
     assert sorted(r.x for r in detect.deduplicated(line, ["frame"]).collect()) == [0, 2, 4, 6, 8, 10]
+
+
+def test_copies_at_one_place_are_not_compared_with_one_another(spark, monkeypatch):
+    met = []
+
+    def counted(*args, **named):
+        out = plane_join(*args, **named)
+        met.append(out.count())
+        return out
+
+    from skyloom.operators.spatial import plane_join
+
+    monkeypatch.setattr(detect, "plane_join", counted)
+    rows = [(f, i, 10.0 * (i % 3) + 0.5 * (i % 2), 5.0, 10 * (i % 3), 5, 5, i % 10 == 0) for f in range(2) for i in range(300)]
+    found = spark.createDataFrame(rows, "frame int, id int, cx double, cy double, x int, y int, radius int, saturated boolean")
+    kept = detect.deduplicated(found, ["frame"]).select("frame", "x", "saturated").collect()
+    assert sorted(map(tuple, kept)) == [(f, x, True) for f in range(2) for x in (0, 10, 20)]
+    assert sum(met) < 100  # 2 frames of a few places each
