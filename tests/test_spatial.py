@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from skyloom.functions import frames as fr
@@ -113,3 +114,29 @@ def test_order_statistics_of_several_shares(spark):
     frame = spark.createDataFrame([(g, float(v)) for g, vs in enumerate(groups) for v in vs], "g long, v double").repartition(4)
     got = {r.g: r.asDict() for r in rb.order_statistics(frame, ["g"], "v", shares).collect()}
     assert got == {g: {"g": g} | {name: float(np.sort(vs)[min(len(vs) - 1, int(len(vs) * s))]) for name, s in shares.items()} for g, vs in enumerate(groups)}
+
+
+def test_dense_copies_keep_their_nearest_and_ties(spark):
+    rng = np.random.default_rng(5)
+    spots = [(float(a), float(d)) for a, d in zip(rng.uniform(0, 360, 40), rng.uniform(-80, 80, 40))]
+    stars = [(i, *spots[i % 40], float(i)) for i in range(4000)]
+    points = [(k, a + 0.2, d) for k, (a, d) in enumerate(spots[:10])] + [(99, 0.0, 89.0)]
+    s, p = spark.createDataFrame(stars, "source_id long, ra double, dec double, mag double"), spark.createDataFrame(points, "point_id long, ra0 double, dec0 double")
+    got = {(r.point_id, r["rank"]): r.source_id for r in sp.nearest(p, s, 20.0, "point_id", "source_id", 5).collect()}
+    w = Window.partitionBy("point_id").orderBy(F.round("dist", 12), "source_id")
+    want = {(r.point_id, r.r): r.source_id for r in sp.cone_join(p, s, 20.0).withColumn("r", F.row_number().over(w)).where("r <= 5").collect()}
+    assert got == want
+    held = sp.places(s, "ra", "dec", F.col("source_id"), "ids", ["source_id"], most=30)
+    assert sorted(i for r in held.collect() for i in r.ids) == list(range(4000)) and max(len(r.ids) for r in held.collect()) <= 30
+
+
+def test_rows_alone_and_mutual_ones_among_copies(spark):
+    rng = np.random.default_rng(6)
+    a = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.integers(0, 120, (600, 2)) / 2)]
+    b = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.integers(0, 40, (900, 2)) / 2 + 0.1)]
+    left, right = spark.createDataFrame(a, "lid long, x double, y double"), spark.createDataFrame(b, "rid long, x2 double, y2 double")
+    d = {i: [round(math.dist((x, y), q[1:]), 12) for q in b] for i, x, y in a}
+    assert {r.lid for r in sp.plane_alone(left, right, 5.0).collect()} == {i for i in d if min(d[i]) > 5}
+    back = [min(d[i][j] for i in d) for j in range(len(b))]
+    want = {(i, j) for i, row in d.items() if (m := min(row)) <= 6 and row.count(m) == 1 for j in [row.index(m)] if m == back[j] and sum(d[k][j] == m for k in d) == 1}
+    assert {(r.lid, r.rid) for r in sp.mutual_nearest(left, right, 6.0, "lid", "rid").collect()} == want
