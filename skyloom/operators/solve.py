@@ -46,13 +46,20 @@ def consensus(voted: DataFrame, by: list[str], least: int = 2) -> DataFrame:
     return best.where("__ru = 1 and __rw = 1").drop("__ru", "__rw")
 
 
+def likely(voted: DataFrame, by: list[str], least: int = 2, share: float = 0.5) -> DataFrame:
+    """The pairs of at least `least` votes that have `share` of both stars' most votes. In a list that looks alike when turned, a star's true pair and its mirrored one have about equal votes, and first choices would mix both."""
+    best = lambda key: F.max("votes").over(Window.partitionBy(*by, key))
+    return voted.where(F.col("votes") >= least).withColumns({"__u": best("u"), "__w": best("w")}).where(F.col("votes") >= share * F.greatest("__u", "__w")).drop("__u", "__w")
+
+
 def similarity(pairs: DataFrame, by: list[str], x: str = "x", y: str = "y", x2: str = "x2", y2: str = "y2") -> DataFrame:
     """(*by, scale, theta, tx, ty, n): the least-squares turn, scale and shift from (x, y) to (x2, y2) of each frame, by centred sums; null for fewer than two pairs or pairs at one place."""
     dot = F.covar_pop(x, x2) + F.covar_pop(y, y2)
     cross = F.covar_pop(x, y2) - F.covar_pop(y, x2)
     sums = pairs.groupBy(*by).agg(dot.alias("__d"), cross.alias("__c"), (F.var_pop(x) + F.var_pop(y)).alias("__v"), *[F.avg(c).alias(f"__{c}") for c in (x, y, x2, y2)], F.count("*").alias("n"))
     good = (F.col("n") >= 2) & (F.col("__v") >= 1e-15)
-    a, b = F.col("__d") / F.col("__v"), F.col("__c") / F.col("__v")
+    size = F.when(good, F.col("__v"))
+    a, b = F.col("__d") / size, F.col("__c") / size
     put = lambda v: F.when(good, v)
     return sums.select(
         *by, put(F.hypot(a, b)).alias("scale"), put(F.atan2(b, a)).alias("theta"), put(F.col(f"__{x2}") - a * F.col(f"__{x}") + b * F.col(f"__{y}")).alias("tx"),
@@ -68,7 +75,7 @@ def consistent(pairs: DataFrame, by: list[str], tau: float, tries: int = 100, re
     """(transforms as similarity gives them, with rms; the pairs within tau of them) of frames with wrong pairs among (*by, u, w, x, y, x2, y2).
 
     Two pairs, drawn by a hash of the frame's key, make a hypothesis; all hypotheses are scored at once by a join with
-    the frame's pairs. The one with most pairs within tau, and of these the least residual, is refitted on its pairs.
+    the frame's pairs. The one with most pairs within tau, of these the least residual, and of these the least turn, is refitted on its pairs.
     Frames with fewer than `least` such pairs are left out. Results don't depend on how rows were dealt.
     """
     w = Window.partitionBy(*by)
@@ -80,12 +87,13 @@ def consistent(pairs: DataFrame, by: list[str], tau: float, tries: int = 100, re
     two = drawn.join(end("__i", "_i"), [*by, "__i"]).join(end("__j", "_j"), [*by, "__j"])
     d = {c: F.col(f"{c}_j") - F.col(f"{c}_i") for c in ("x", "y", "x2", "y2")}
     size = d["x"] * d["x"] + d["y"] * d["y"]
-    two = two.where(F.sqrt(size) >= apart).withColumns({"__a": (d["x"] * d["x2"] + d["y"] * d["y2"]) / size, "__b": (d["x"] * d["y2"] - d["y"] * d["x2"]) / size})
+    size = F.when(size > 0, size)
+    two = two.where((F.sqrt(size) >= apart) & (F.hypot(d["x2"], d["y2"]) >= apart)).withColumns({"__a": (d["x"] * d["x2"] + d["y"] * d["y2"]) / size, "__b": (d["x"] * d["y2"] - d["y"] * d["x2"]) / size})
     a, b = F.col("__a"), F.col("__b")
     two = two.withColumns({"__tx": F.col("x2_i") - a * F.col("x_i") + b * F.col("y_i"), "__ty": F.col("y2_i") - b * F.col("x_i") - a * F.col("y_i")}).select(*by, "__h", "__a", "__b", "__tx", "__ty")
     scored = two.join(rows, by).withColumn("__e", residual(a, b, F.col("__tx"), F.col("__ty"))).where(F.col("__e") < tau)
     scored = scored.groupBy(*by, "__h", "__a", "__b", "__tx", "__ty").agg(F.count("*").alias("__in"), F.round(F.sum(F.col("__e") ** 2), 9).alias("__s"))
-    order = F.struct((-F.col("__in")).alias("n"), F.col("__s"), F.col("__h"))
+    order = F.struct((-F.col("__in")).alias("n"), F.col("__s"), F.round(F.abs(F.atan2("__b", "__a")), 6).alias("turn"), F.col("__h"))
     now = cut(scored.groupBy(*by).agg(F.min_by(F.struct("__a", "__b", "__tx", "__ty"), order).alias("__t")).select(*by, "__t.*"))
     for _ in range(refits):
         near = rows.join(now, by).where(residual(a, b, F.col("__tx"), F.col("__ty")) < tau)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyloom.functions.healpix import nside_for_scale
+from skyloom.session import dealt
 
 WCS = ("ra0", "dec0", "px0", "py0", "cd11", "cd12", "cd21", "cd22")  # an image's centre on the sky and in pixels, and degrees a pixel
 SIP = 6  # distortion coefficients stand at p * SIP + q for dx**p * dy**q
@@ -54,9 +55,29 @@ def _circle(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def clip(poly: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each polygon's part to the left of its great circle from a to b."""
     normal = _circle(a, b)
+    at = np.arange(poly.shape[1])[None, :]
+    real = at < n[:, None]
+    d = np.where(real, np.einsum("ijk,ik->ij", poly - a[:, None, :], normal), -1.0)
+    inside = (d >= 0).sum(axis=1)
+    cut = np.flatnonzero((inside > 0) & (inside < n))  # the others stay or go as they are
+    left = np.where(inside == n, n, 0)
+    if not len(cut):
+        return poly, np.where(left < 3, 0, left)
+    part, kept = _crossed(poly[cut], n[cut], d[cut])
+    if part.shape[1] > poly.shape[1]:
+        poly = np.concatenate([poly, np.zeros((len(n), part.shape[1] - poly.shape[1], 3))], axis=1)
+    else:
+        poly = poly.copy()
+    poly[cut, : part.shape[1]] = part
+    left[cut] = kept
+    left = np.where(left < 3, 0, left)
+    return poly[:, : max(1, int(left.max(initial=0)))], left
+
+
+def _crossed(poly: np.ndarray, n: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The parts with d >= 0 of polygons that the circle of d = 0 crosses."""
     rows, at = np.arange(len(n))[:, None], np.arange(poly.shape[1])[None, :]
     real = at < n[:, None]
-    d = np.where(real, ((poly - a[:, None, :]) * normal[:, None, :]).sum(-1), -1.0)
     after = np.where(at + 1 < n[:, None], at + 1, 0)
     d2 = d[rows, after]
     keep, cross = real & (d >= 0), real & ((d >= 0) != (d2 >= 0))
@@ -70,7 +91,7 @@ def clip(poly: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple
     met *= np.where(d2[cross] >= 0, 1.0, -1.0)[:, None]
     length = np.linalg.norm(met, axis=-1, keepdims=True)
     out[row[cross], (place + keep)[cross]] = met / np.where(length > 0, length, 1.0)
-    return out, np.where(total < 3, 0, total)
+    return out, total
 
 
 def _padded(item: np.ndarray, v: np.ndarray, items: int) -> tuple[np.ndarray, np.ndarray]:
@@ -190,9 +211,10 @@ class Frames:
 
     def _bent(self, c: np.ndarray, dx: np.ndarray, dy: np.ndarray) -> np.ndarray:
         out = np.zeros(len(dx))
-        for p in range(SIP - 1, -1, -1):  # nested in dx, then in dy
+        used = c.any(axis=0).reshape(SIP, SIP)
+        for p in range(int(np.flatnonzero(used.any(axis=1)).max(initial=-1)), -1, -1):  # nested in dx, then in dy, from the highest powers that there are
             inner = np.zeros(len(dx))
-            for q in range(SIP - 1, -1, -1):
+            for q in range(int(np.flatnonzero(used[p]).max(initial=-1)), -1, -1):
                 inner = inner * dy + c[:, p * SIP + q]
             out = out * dx + inner
         return out
@@ -226,7 +248,9 @@ class Frames:
         u, t = (w["cd22"] * xi - w["cd12"] * eta) / det, (w["cd11"] * eta - w["cd21"] * xi) / det
         dx, dy = u, t
         for _ in range(rounds if self.a is not None else 0):
-            dx, dy = u - self._bent(self.a, dx, dy), t - self._bent(self.b, dx, dy)
+            last, (dx, dy) = (dx, dy), (u - self._bent(self.a, dx, dy), t - self._bent(self.b, dx, dy))
+            if np.array_equal(dx, last[0], equal_nan=True) and np.array_equal(dy, last[1], equal_nan=True):
+                break
         return dx + w["px0"], dy + w["py0"]
 
     def outlines(self, x: np.ndarray, y: np.ndarray, size: float = 1.0, bend: float = 1e-8, depth: int = 12) -> tuple[np.ndarray, np.ndarray]:
@@ -248,17 +272,42 @@ def _left_turning(poly: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.where((area(poly, n) < 0)[:, None, None], np.take_along_axis(poly, back[:, :, None], axis=1), poly)
 
 
+def _clipped_area(poly: np.ndarray, n: np.ndarray, circles) -> np.ndarray:
+    """Solid angles of what is left of polygons to the left of several great circles; circles has functions of rows that give their two places. What is empty is let go at once."""
+    out, own = np.zeros(len(n)), np.arange(len(n))
+    for circle in circles:
+        poly, n = clip(poly, n, *circle(own))
+        some = n > 0
+        if not some.all():
+            poly, n, own = poly[some], n[some], own[some]
+    out[own] = np.maximum(0.0, area(poly, n))
+    return out
+
+
+def _convex(poly: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Which left-turning polygons have all their corners to the left of all their edges, to a part in 1e12 of their longest edge."""
+    at = np.arange(poly.shape[1])
+    good = n >= 3
+    after = poly[np.arange(len(n))[:, None], np.where(at + 1 < n[:, None], at + 1, 0)]
+    size = np.linalg.norm(after - poly, axis=-1).max(axis=1, initial=0.0)
+    for k in at:
+        d = np.einsum("ijk,ik->ij", poly - poly[:, k : k + 1], _circle(poly[:, k], after[:, k]))
+        good &= (k >= n) | np.where(at < n[:, None], d >= -1e-12 * size[:, None], True).all(axis=1)
+    return good
+
+
 def shared_area(subject: np.ndarray, ns: np.ndarray, shape: np.ndarray, nd: np.ndarray, batch: int = 50_000) -> np.ndarray:
-    """Solid angle that each subject shares with its shape. A shape of four corners is convex; one of more is taken by triangles about its middle, `batch` of them at a time."""
+    """Solid angle that each subject shares with its shape. A shape of four corners is convex, and so may others be; the rest are taken by triangles about their middle, `batch` of them at a time."""
     out = np.zeros(len(ns))
     shape, subject = _left_turning(shape, nd), _left_turning(subject, ns)
-    quads = np.flatnonzero(nd == 4)
-    if len(quads):
-        poly, n = subject[quads], ns[quads]
-        for k in range(4):
-            poly, n = clip(poly, n, shape[quads, k], shape[quads, (k + 1) % 4])
-        out[quads] = np.maximum(0.0, area(poly, n))
-    rest = np.flatnonzero((nd > 4) | (nd == 3))
+    whole = (nd == 4) | _convex(shape, nd)
+    for m in np.unique(nd[whole]):
+        like = np.flatnonzero(whole & (nd == m))
+        for i in range(0, len(like), batch):
+            rows = like[i : i + batch]
+            most = max(1, int(ns[rows].max(initial=0)))
+            out[rows] = _clipped_area(subject[rows, :most], ns[rows], [lambda own, k=k: (shape[rows[own], k], shape[rows[own], (k + 1) % m]) for k in range(m)])
+    rest = np.flatnonzero(~whole & (nd >= 3))
     if len(rest):
         at = np.arange(shape.shape[1])[None, :]
         middle = _normal(np.where((at < nd[rest, None])[:, :, None], shape[rest], 0.0).sum(axis=1))
@@ -267,10 +316,8 @@ def shared_area(subject: np.ndarray, ns: np.ndarray, shape: np.ndarray, nd: np.n
         for i in range(0, len(pair), batch):
             k, own = corner[i : i + batch], pair[i : i + batch]
             a, b, m = shape[rest[own], k], shape[rest[own], (k + 1) % nd[rest][own]], middle[own]
-            poly, n = subject[rest[own]], ns[rest[own]]
-            for p, q in ((a, b), (b, m), (m, a)):
-                poly, n = clip(poly, n, p, q)
-            np.add.at(out, rest[own], np.maximum(0.0, area(poly, n)))
+            sides = [lambda r, p=p, q=q: (p[r], q[r]) for p, q in ((a, b), (b, m), (m, a))]
+            np.add.at(out, rest[own], _clipped_area(subject[rest[own]], ns[rest[own]], sides))
     return out
 
 
@@ -282,6 +329,13 @@ def _bounds(poly: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return middle, 2 * np.arcsin(np.minimum(1.0, gap / 2))
 
 
+def _meeting(poly: np.ndarray, n: np.ndarray, at: np.ndarray, other: np.ndarray, m: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Of pairs (at, place) of polygons whether the discs about them meet."""
+    (c, r), (d, s) = _bounds(poly, n), _bounds(other, m)
+    reach = np.minimum(np.pi, (r[at] + s[place]) * (1 + 1e-9) + 1e-12)
+    return np.linalg.norm(c[at] - d[place], axis=-1) <= 2 * np.sin(reach / 2) + 1e-15
+
+
 def _frames(b: pa.RecordBatch, names: list[str]) -> Frames:
     get = lambda c: np.asarray(b.column(names.index(c)).to_numpy(zero_copy_only=False), float)
     if "sip_a" not in names:
@@ -321,7 +375,7 @@ def pixel_overlaps(pixels: DataFrame, order: int, size: float = 1.0, least: floa
 
     pixels has x, y, the columns of WCS and, for distortion, arrays sip_a and sip_b; a drop is the square of `size` pixels
     about (x, y). Shares of `least` steradian or less are left out, and so are rows without a whole geometry. Each row is
-    worked out alone, so nothing is shuffled.
+    worked out alone; rows are dealt over all tasks first, as each takes long.
     """
 
     def work(b: pa.RecordBatch, names: list[str]):
@@ -332,12 +386,14 @@ def pixel_overlaps(pixels: DataFrame, order: int, size: float = 1.0, least: floa
         row, pix = disc_cells(*_bounds(poly, n), order, touching=True)
         each, at = np.unique(pix, return_inverse=True)
         cell, nc = cell_outlines(each, order)
+        near = _meeting(cell, nc, at, poly, n, row)
+        row, pix, at = row[near], pix[near], at[near]
         shared = shared_area(cell[at], nc[at], poly[row], n[row])
         kept = shared > least
         row, pix, shared = row[kept], pix[kept], shared[kept]
         return row, (pix, shared / own[row], own[row])
 
-    return _joined(_usable(pixels), work, "pix long, weight double, drop_area double")
+    return _joined(dealt(_usable(pixels)), work, "pix long, weight double, drop_area double")
 
 
 def cell_overlaps(cells: DataFrame, order: int, width: int, height: int, shrink: float = 1.0, least: float = 1e-20) -> DataFrame:
@@ -376,6 +432,8 @@ def cell_overlaps(cells: DataFrame, order: int, width: int, height: int, shrink:
         of_image = [*f.wcs.values(), *(c for grid in (f.a, f.b) if grid is not None for c in grid.T)]
         _, one, at = np.unique(np.column_stack([*(c[row] for c in of_image), x, y]), axis=0, return_index=True, return_inverse=True)  # cells share pixels
         square, ns = f.take(row[one]).outlines(x[one].astype(float), y[one].astype(float))
+        near = _meeting(poly, n, row, square, ns, at)
+        row, x, y, at = row[near], x[near], y[near], at[near]
         shared = shared_area(poly[row], n[row], square[at], ns[at])
         kept = shared > least
         row, whole = row[kept], np.abs(area(square, ns))[at][kept]
@@ -402,14 +460,14 @@ def reverse_drizzled(overlaps: DataFrame, by: list[str], signal: str, support: s
 
 
 def cells_in_disc(points: DataFrame, radius: float, order: int, ra: str = "ra0", dec: str = "dec0", touching: bool = False) -> DataFrame:
-    """points with pix, a row for each cell whose centre is within radius degrees, or, touching, for each that may reach into the disc. Rows with null positions are left out."""
+    """points with pix, a row for each cell whose centre is within radius degrees, or, touching, for each that may reach into the disc. Rows with null positions are left out. Points are dealt over all tasks first: cells are many, and what is done with them takes long."""
 
     def work(b: pa.RecordBatch, names: list[str]):
         a, d = (np.asarray(b.column(names.index(c)).to_numpy(zero_copy_only=False), float) for c in (ra, dec))
         row, pix = disc_cells(unit(a, d), np.full(len(a), np.radians(radius)), order, touching)
         return row, (pix,)
 
-    return _joined(points.where(F.col(ra).isNotNull() & F.col(dec).isNotNull()), work, "pix long")
+    return _joined(dealt(points.where(F.col(ra).isNotNull() & F.col(dec).isNotNull())), work, "pix long")
 
 
 def outlined(cells: DataFrame, order: int, share: float = 1e-6) -> DataFrame:

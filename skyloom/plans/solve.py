@@ -51,7 +51,7 @@ def consensus(spark, sf):
 
 def _pairs(spark, sf):
     cat, obs = _lists(spark, sf)
-    pairs = solve.consensus(_votes(spark, sf), ["frame"])
+    pairs = solve.likely(_votes(spark, sf), ["frame"])
     return pairs.join(obs.withColumnRenamed("id", "u"), ["frame", "u"]).join(cat.select("frame", C("id").alias("w"), C("x").alias("x2"), C("y").alias("y2")), ["frame", "w"])
 
 

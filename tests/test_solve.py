@@ -102,3 +102,13 @@ def test_polynomials_come_back_and_irls_is_numpys(spark):
         w = np.where(e <= 1.345 * sigma, 1, 1.345 * sigma / e)
     assert m @ np.array(got[0, "dirty"].coefficients) == pytest.approx(scaled @ sol, abs=1e-6)
     assert got[0, "dirty"].sigma == pytest.approx(sigma, rel=1e-6)
+
+
+def test_a_mirrored_list_keeps_both_ways_and_takes_the_least_turn(spark):
+    voted = spark.createDataFrame([(0, 1, 1, 26), (0, 1, 4, 27), (0, 4, 4, 27), (0, 4, 1, 28), (0, 1, 9, 8)], "frame int, u int, w int, votes int")
+    assert sorted((r.u, r.w) for r in solve.likely(voted, ["frame"]).collect()) == [(1, 1), (1, 4), (4, 1), (4, 4)]
+    xy = [(0.0, 0.0), (7.0, 1.0), (3.0, 5.0), (4.0, -4.0)]  # the last two and the first two change places at half a turn
+    pairs = [(0, i, j, *xy[i], *xy[j]) for i, j in [(k, k) for k in range(4)] + [(0, 1), (1, 0), (2, 3), (3, 2)]]
+    fit, _ = solve.consistent(spark.createDataFrame(pairs, "frame int, u int, w int, x double, y double, x2 double, y2 double"), ["frame"], 0.01)
+    (one,) = fit.collect()
+    assert one.theta == pytest.approx(0.0, abs=1e-9) and one.scale == pytest.approx(1.0)
