@@ -9,6 +9,7 @@ from skyloom.operators import sphere
 from skyloom.plans.geometry import compact_sql
 from skyloom.plans.registry import query
 from skyloom.plans.roles import CATALOG, POINTINGS, catalog, pointings, table
+from skyloom.session import dealt
 
 C = F.col
 _CENTRES = f"""f AS (SELECT i AS pix, i // 256 AS face, {compact_sql('i % 256')} AS x, {compact_sql('i % 256', 1)} AS y FROM range(0, 3072) t(i)),
@@ -55,8 +56,8 @@ def drizzle_sky(spark, sf):
 def cell_outline(spark, sf):
     """The solid angle within each star's cell as drawn by its outline, over that of a cell: all are of one size."""
     star = catalog(spark, sf).withColumn("pix", hp.ang2pix(5, C("ra"), C("dec")))
-    drawn = sphere.outlined(star, 5)
-    return drawn.select("source_id", F.round(C("outline_area") * (12 * 4**5) / (4 * F.pi()), 5).alias("share"))
+    drawn = sphere.outlined(dealt(star.select("pix").distinct()), 5).select("pix", "outline_area")  # once a cell, however many its stars
+    return star.join(drawn, "pix").select("source_id", F.round(C("outline_area") * (12 * 4**5) / (4 * F.pi()), 5).alias("share"))
 
 
 @query("j_overlap_rev")
