@@ -193,3 +193,8 @@ def test_scales_do_not_depend_on_batches(spark):
     df = spark.createDataFrame(_images([1e-4 * k for k in range(-6, 7)]), IMAGES)
     one = {r.id: (r.finest, r.samples) for r in sp.finest_scales(df.coalesce(1), batch=1).collect()}
     assert one == {r.id: (r.finest, r.samples) for r in sp.finest_scales(df.repartition(3), batch=5).collect()}
+
+
+def test_few_images_are_dealt_over_tasks(spark):
+    df = spark.createDataFrame([(0, 10.0, 20.0), (1, 50.0, -20.0)], "k int, ra0 double, dec0 double").coalesce(1)
+    assert sp.cells_in_disc(df, 1.0, 4).rdd.getNumPartitions() >= 16
