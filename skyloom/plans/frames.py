@@ -184,7 +184,7 @@ def simpson(spark, sf):
 
 @query("x_prepare_curve", f"WITH {SAMPLES}, c AS (SELECT pix, l_linenumber AS wl, v, row_number() OVER (PARTITION BY pix, l_linenumber ORDER BY l_orderkey, l_linenumber, l_suppkey, l_shipdate, l_returnflag, l_extendedprice) AS r FROM sm) SELECT pix, wl, v FROM c WHERE r = 1")
 def prepare_curve(spark, sf):
-    s = samples(spark, sf).groupBy("pix").agg(F.array_sort(F.collect_list(F.struct(F.struct("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_returnflag", "l_extendedprice").alias("o"), "v"))).alias("s"))
+    s = samples(spark, sf).groupBy("pix").agg(F.sort_array(F.collect_list(F.struct(F.struct("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_returnflag", "l_extendedprice").alias("o"), "v"))).alias("s"))
     points = F.transform("s", lambda x: F.struct(x["o"]["l_linenumber"].alias("wl"), x["v"].alias("val")))
     return s.select("pix", F.explode(fr.prepared_curve(points)).alias("c")).select("pix", "c.wl", C("c.val").alias("v"))
 
