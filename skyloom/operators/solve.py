@@ -26,9 +26,10 @@ def triangles(stars: DataFrame, by: list[str], star: str = "id", x: str = "x", y
 
 
 def votes(left: DataFrame, right: DataFrame, by: list[str], tolerance: float = 0.002, scale: tuple[float, float] | None = None) -> DataFrame:
-    """(*by, u, w, votes): how many pairs of like triangles set star u of the left list beside star w of the right one. Shapes are like within tolerance, and, with scale, where the ratio of their longest sides lies in it. The join is on cells of shapes, of which the left side covers nine."""
-    cell = lambda c: F.floor(F.col(c) / tolerance)
-    near = lambda c: F.explode(F.sequence(cell(c) - 1, cell(c) + 1))
+    """(*by, u, w, votes): how many pairs of like triangles set star u of the left list beside star w of the right one. Shapes are like within tolerance, and, with scale, where the ratio of their longest sides lies in it. The join is on cells of shapes eight tolerances wide; on the left side a shape near a border takes the cell beyond it too."""
+    wide, reach = 8 * tolerance, tolerance * (1 + 1e-9)
+    cell = lambda c, off=0.0: F.floor((F.col(c) + off) / wide)
+    near = lambda c: F.explode(F.sequence(cell(c, -reach), cell(c, reach)))
     a = left.withColumn("__p", near("ba")).withColumn("__q", near("ca"))
     b = right.withColumns({"__p": cell("ba"), "__q": cell("ca")}).withColumnsRenamed({c: f"{c}2" for c in ("a", "b", "c", "length", "ba", "ca")})
     met = a.join(b, [*by, "__p", "__q"]).where((F.col("ba") - F.col("ba2")) ** 2 + (F.col("ca") - F.col("ca2")) ** 2 < tolerance**2)

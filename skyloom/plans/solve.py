@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from skyloom.operators import solve
 from skyloom.plans.registry import query
 from skyloom.plans.roles import table
+from skyloom.session import dealt
 
 C = F.col
 # fourteen stars a frame; of the image's stars every third is a false one
@@ -15,8 +16,10 @@ obs AS (SELECT frame, id, CASE WHEN id % 3 = 0 THEN (id * 6151) % 997 ELSE 1.25:
 
 
 def _lists(spark, sf):
+    """Lists dealt by frames, so that triples, of which a frame has many more than stars, are made by all tasks where their stars lie."""
     k = C("c_custkey")
     cat = table(spark, sf, "customer").select(F.floor(k / 14).alias("frame"), k.alias("id"), (k * 7919 % 1013 + k * 31 % 97 / 97.0).alias("x"), (k * 104729 % 1009 + k * 57 % 89 / 89.0).alias("y"))
+    cat = dealt(cat, "frame")
     false = C("id") % 3 == 0
     x = F.when(false, (C("id") * 6151 % 997).cast("double")).otherwise((C("x") * 0.8 - C("y") * 0.6) * 1.25 + 40)
     y = F.when(false, (C("id") * 3571 % 991).cast("double")).otherwise((C("x") * 0.6 + C("y") * 0.8) * 1.25 - 25)

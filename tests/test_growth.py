@@ -29,3 +29,18 @@ def test_pairs_in_a_plane_are_compared_once(spark):
     want = sorted((a[0], b[0]) for a in rows for b in rows if a[0] < b[0] and None not in (a[1], b[1]) and ((a[1] - b[1]) ** 2 + (a[2] - b[2]) ** 2) ** 0.5 <= 1.5)
     for fine, most in ((2, 512), (1, 7), (3, 3)):
         assert sorted(tuple(x) for x in spatial.plane_pairs(df, 1.5, "id", fine=fine, most=most).collect()) == want
+
+
+def test_shapes_meet_in_wide_cells_and_frames_are_dealt(spark, tmp_path):
+    from skyloom.operators import solve
+    from skyloom.plans.solve import _lists
+
+    r = random.Random(5)
+    shape = lambda v: (v, v + 1, v + 2, 1.0, 0.5 + r.random() * 0.1, 0.5 + r.random() * 0.1)
+    rows = [[(1, *shape(10 * i + k)) for i in range(300)] for k in (0, 5)]
+    left, right = (spark.createDataFrame(x, "f int, a int, b int, c int, length double, ba double, ca double") for x in rows)
+    want = sorted((p[1 + k], q[1 + k], 1) for p in rows[0] for q in rows[1] if (p[5] - q[5]) ** 2 + (p[6] - q[6]) ** 2 < 4e-6 for k in range(3))
+    assert sorted((x.u, x.w, x.votes) for x in solve.votes(left, right, ["f"]).collect()) == want
+    spark.range(40).select(F.col("id").alias("c_custkey")).write.parquet(f"{tmp_path}/customer.parquet")
+    plan = _plan(_lists(spark, str(tmp_path))[0])
+    assert "RepartitionByExpression" in plan and "frame" in plan
