@@ -44,3 +44,12 @@ def test_shapes_meet_in_wide_cells_and_frames_are_dealt(spark, tmp_path):
     spark.range(40).select(F.col("id").alias("c_custkey")).write.parquet(f"{tmp_path}/customer.parquet")
     plan = _plan(_lists(spark, str(tmp_path))[0])
     assert "RepartitionByExpression" in plan and "frame" in plan
+
+
+def test_clipping_holds_no_group_of_values(spark):
+    from skyloom.operators import robust
+
+    rows = [(k, float(i), 2.0 * i + (i * 7 % 5) / 10 + (50 if i == 11 else 0)) for k in range(2) for i in range(40)]
+    got = robust.regression_clip(spark.createDataFrame(rows, "k int, x double, y double"), ["k"], "x", "y")
+    assert sorted(tuple(r) for r in got.collect()) == [r for r in rows if r[1] != 11]
+    assert "percentile(" not in _plan(got)
