@@ -206,3 +206,40 @@ def test_copies_at_one_place_are_not_compared_with_one_another(spark, monkeypatc
     kept = detect.deduplicated(found, ["frame"]).select("frame", "x", "saturated").collect()
     assert sorted(map(tuple, kept)) == [(f, x, True) for f in range(2) for x in (0, 10, 20)]
     assert sum(met) < 100  # 2 frames of a few places each
+
+
+def test_stars_of_patches_are_those_of_pixels(spark, sky):
+    image = sky[0].copy()
+    image[100, 3] = image[20:30, 40:60] = np.nan
+    frames = {1: image, 2: np.round(image[:60, :80] / 2), 3: np.full((5, 7), np.nan)}
+    cuts = lambda a, k: [(j, i, a[j : j + k, i : i + k]) for j in range(0, a.shape[0], k) for i in range(0, a.shape[1], k)]
+    rows = [(f, i - 9, j - 70, v.shape[1], v.shape[0], v.ravel().tolist()) for f, a in frames.items() for j, i, v in cuts(a, 37)] + [(None, 0, 0, 1, 1, [1.0])]
+    patches = spark.createDataFrame(rows, "frame int, left int, top int, wide int, high int, values array<double>").repartition(3)
+    plain = lambda df: sorted((r.frame, r.y, r.x, r.cx, r.cy, r.sx, r.sy, r.amplitude, r.radius, r.saturated, str(r.cutout)) for r in df.collect())
+    want = plain(detect.stars(detect.patch_pixels(patches, ["frame"]), ["frame"], side=64))
+    assert len(want) > 40
+    for whole in (1 << 20, 10_000, 10):  # each frame in one row, only the small ones, none
+        assert plain(detect.stars_in_patches(patches, ["frame"], side=64, whole=whole)) == want
+
+
+def test_rows_of_an_image_have_their_noises_at_once():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(8)
+    image = rng.normal(0, 3, (40, 50)) + 500 * (rng.random((40, 50)) > 0.9)
+    image[rng.random(image.shape) > 0.8] = np.nan
+    image[3], image[4, 1:], image[5, 2:] = np.nan, np.nan, np.nan
+    image[4, 0] = image[5, 0] = image[5, 1] = 1.0
+    rows = [r[~np.isnan(r)].tolist() for r in image if (~np.isnan(r)).any()]
+    assert detect.row_noises(image).tolist() == detect._row_noise.func(pa.array(rows, pa.list_(pa.float64()))).to_pylist()
+    assert detect.row_noises(np.full((3, 4), np.nan)).tolist() == []
+
+
+def test_frames_of_stars_are_drawn_and_read_once(spark, tmp_path):
+    from skyloom.plans import detect as plans
+
+    spark.range(27).select(F.col("id").alias("c_custkey"), (F.col("id") * 300.0).alias("c_acctbal")).write.parquet(f"{tmp_path}/customer.parquet")
+    got = plans.img_psf_width(spark, str(tmp_path))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
+    assert sorted((r.frame, r.spot, r.width) for r in got.collect()) == [(k // 9, k % 9, round(1.5 + k % 7 / 10, 1)) for k in range(27)]
