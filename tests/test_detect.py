@@ -243,3 +243,13 @@ def test_frames_of_stars_are_drawn_and_read_once(spark, tmp_path):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
     assert sorted((r.frame, r.spot, r.width) for r in got.collect()) == [(k // 9, k % 9, round(1.5 + k % 7 / 10, 1)) for k in range(27)]
+
+
+def test_repeats_are_sought_among_stars_that_are_there(spark, tmp_path, monkeypatch):
+    from skyloom.plans import detect as plans
+
+    spark.range(9).select(F.col("id").alias("c_custkey"), (F.col("id") * 300.0 + 50).alias("c_acctbal")).write.parquet(f"{tmp_path}/customer.parquet")
+    seen = []
+    monkeypatch.setattr(detect, "deduplicated", lambda found, by: seen.append(found) or found)
+    assert plans.img_detect(spark, str(tmp_path)).count() == 9
+    assert "MapInArrow" not in seen[0]._jdf.queryExecution().executedPlan().toString()  # else each step that follows finds them anew
