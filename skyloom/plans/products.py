@@ -133,7 +133,8 @@ def catalog_cones(spark, sf):
     """The stars written as a catalog of cells, and the cones of all pointings read back from it."""
     path = _folder(spark, "catalog")
     star_catalog.write_catalog(catalog(spark, sf), path)
-    return star_catalog.read_cones(spark, path, pointings(spark, sf), 6.0).select("point_id", "source_id", F.round("dist", 6).alias("dist"))
+    near = star_catalog.cone_places(spark, path, pointings(spark, sf), 6.0, C("source_id"), C("point_id")).withColumn("dist", F.round("dist", 6))
+    return near.select("points", F.explode("stars").alias("source_id"), "dist").select(F.explode("points").alias("point_id"), "source_id", "dist")
 
 
 @query("src_gaia_cone", f"WITH {CATALOG}, near AS (SELECT *, {distance_sql('ra', 'dec', '123.4::DOUBLE', '41.0::DOUBLE')} AS dist FROM cat) SELECT source_id, round(dist, 6) AS dist FROM near WHERE dist <= 25")

@@ -59,3 +59,24 @@ def test_ranges_hold_all_cells():
     for most in (1, 7, 1000):
         got = sc._ranges(cells, most)
         assert len(got) <= most and all(any(a <= c <= b for a, b in got) for c in cells)
+
+
+def test_cones_of_stars_at_one_place_are_compared_once(spark, tmp_path):
+    from skyloom.sources.catalog import cone_places
+
+    rows = [(i, float(i % 5), 10.0) for i in range(40)]
+    path = f"{tmp_path}/c"
+    sc.write_catalog(spark.createDataFrame(rows, "source_id long, ra double, dec double"), path)
+    points = spark.createDataFrame([(k, 2.0, 10.0) for k in range(3)] + [(9, None, 1.0)], "k int, ra0 double, dec0 double")
+    near = cone_places(spark, path, points, 1.5, F.col("source_id"), F.col("k")).collect()
+    assert sorted((sorted(r.points), sorted(r.stars)) for r in near) == [([0, 1, 2], list(range(f, 40, 5))) for f in (1, 2, 3)]
+    got = sc.read_cones(spark, path, points, 1.5)
+    assert sorted((r.k, r.source_id) for r in got.collect()) == [(k, i) for k in range(3) for i in range(40) if i % 5 in (1, 2, 3)]
+    assert set(got.columns) == {"k", "ra0", "dec0", "source_id", "ra", "dec", "dist"}
+
+
+def test_a_catalog_is_written_by_many_tasks(spark, tmp_path):
+    star = spark.range(2000).select(F.col("id").alias("source_id"), (F.col("id") % 360).cast("double").alias("ra"), (F.col("id") % 170 - 85).cast("double").alias("dec"))
+    sc.write_catalog(star, f"{tmp_path}/c")
+    tasks = {f.rsplit("/part-", 1)[1][:5] for f in glob.glob(f"{tmp_path}/c/region=*/*.parquet")}
+    assert len(tasks) >= 12  # of the 16 on four cores; adaptive execution would make them one
