@@ -6,12 +6,16 @@ dozen numbers. Stars of a list should be its brightest few dozen: triangles grow
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add, mul
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyloom.session import cut
+from skyloom.operators.robust import medians
+from skyloom.session import cut, written
 
 
 def triangles(stars: DataFrame, by: list[str], star: str = "id", x: str = "x", y: str = "y", flat: float = 0.9, least: float = 1e-6) -> DataFrame:
@@ -116,14 +120,18 @@ def polynomial_fit(rows: DataFrame, by: list[str], targets: list[str], order: in
     Each round sums the weighted products of all pairs of terms over a frame's rows, and solves one small system a frame.
     The scale of residuals is 1.4826 times their median absolute value. Coordinates count in units of their greatest
     absolute value meanwhile. Frames with fewer rows than terms are left out, and so are rows with a null.
+    Rows are written once, without their terms, and not shuffled: what is known of frames is small enough to go to them.
     """
     terms = polynomial_terms(order)
     t = len(terms)
-    good = rows.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*by, F.col(x).cast("double").alias("__x"), F.col(y).cast("double").alias("__y"), F.explode(F.array(*[F.struct(F.lit(c).alias("target"), F.col(c).cast("double").alias("v")) for c in targets])).alias("__t"))
-    unit = good.groupBy(*by).agg(F.greatest(F.max(F.abs("__x")), F.max(F.abs("__y")), F.lit(1e-300)).alias("__u"))
-    at = good.join(unit, by).where(F.col("__t.v").isNotNull()).select(*by, "__u", F.col("__t.target").alias("target"), F.col("__t.v").alias("__v"), F.array(*[F.pow(F.col("__x") / F.col("__u"), F.lit(p)) * F.pow(F.col("__y") / F.col("__u"), F.lit(q)) for p, q in terms]).alias("__m"))
-    at = cut(at)
-    key, weighted = [*by, "target"], at.withColumn("__w", F.lit(1.0))
+    good = rows.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*by, F.col(x).cast("double").alias("__x"), F.col(y).cast("double").alias("__y"), *[F.col(c).cast("double").alias(f"__t{k}") for k, c in enumerate(targets)])
+    good = written(good)
+    unit = written(good.groupBy(*by).agg(F.greatest(F.max(F.abs("__x")), F.max(F.abs("__y")), F.lit(1e-300)).alias("__u")))
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("target"), F.col(f"__t{k}").alias("v")) for k, c in enumerate(targets)]))
+    at = good.join(unit, by).select(*by, "__u", (F.col("__x") / F.col("__u")).alias("__x"), (F.col("__y") / F.col("__u")).alias("__y"), each.alias("__t"))
+    power = lambda c, n: reduce(mul, [F.col(c)] * n, F.lit(1.0))
+    at = at.where(F.col("__t.v").isNotNull()).select(*by, "__u", F.col("__t.target").alias("target"), F.col("__t.v").alias("__v"), *[(power("__x", p) * power("__y", q)).alias(f"__m{i}") for i, (p, q) in enumerate(terms)])
+    key, weighted, m = [*by, "target"], at.withColumn("__w", F.lit(1.0)), [F.col(f"__m{i}") for i in range(t)]
 
     @F.arrow_udf("array<double>")
     def solved(normal: pa.Array, right: pa.Array) -> pa.Array:
@@ -135,13 +143,12 @@ def polynomial_fit(rows: DataFrame, by: list[str], targets: list[str], order: in
         out = np.stack([np.linalg.lstsq(m, v, rcond=1e-14)[0] for m, v in zip(whole, r, strict=True)]) if len(a) else np.zeros((0, t))
         return pa.ListArray.from_arrays(pa.array(np.arange(len(a) + 1, dtype=np.int32) * t), pa.array(out.ravel()))
 
-    found = None
     for k in range(rounds + 1):
-        m, w = F.col("__m"), F.col("__w")
+        w = F.col("__w")
         sums = weighted.groupBy(*key).agg(F.array(*[F.sum(w * m[i] * m[j]) for i in range(t) for j in range(i, t)]).alias("__n"), F.array(*[F.sum(w * m[i] * F.col("__v")) for i in range(t)]).alias("__r"), F.count("*").alias("n"), F.first("__u").alias("__u")).where(F.col("n") >= t)
-        found = cut(sums.select(*key, "n", "__u", solved("__n", "__r").alias("__c")))
-        rest = at.join(found.drop("n", "__u"), key).withColumn("__e", F.col("__v") - F.aggregate(F.zip_with("__m", "__c", lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v))
-        spread = cut(rest.groupBy(*key).agg((F.percentile(F.abs("__e"), F.lit(0.5)) * 1.4826).alias("sigma")))
+        found = written(sums.select(*key, "n", "__u", solved("__n", "__r").alias("__c")))
+        rest = at.join(found.drop("n", "__u"), key).withColumn("__e", F.col("__v") - reduce(add, [m[i] * F.col("__c")[i] for i in range(t)]))
+        spread = written(medians(rest.select(*key, F.abs("__e").alias("__e")), key, "__e", "sigma").withColumn("sigma", F.col("sigma") * 1.4826))
         if k < rounds:
             z = F.abs("__e") / F.col("sigma")
             weighted = rest.join(spread, key).withColumn("__w", F.when((F.col("sigma") <= 1e-12) | (z <= delta), 1.0).otherwise(delta / z))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from skyloom.functions import frames as fr
@@ -53,3 +54,18 @@ def test_clipping_holds_no_group_of_values(spark):
     got = robust.regression_clip(spark.createDataFrame(rows, "k int, x double, y double"), ["k"], "x", "y")
     assert sorted(tuple(r) for r in got.collect()) == [r for r in rows if r[1] != 11]
     assert "percentile(" not in _plan(got)
+
+
+def test_fit_writes_rows_once_and_shuffles_sums(spark, monkeypatch):
+    from skyloom.operators import robust, solve
+
+    rows = spark.range(400).select((F.col("id") % 2).alias("f"), (F.col("id") * 37 % 41 - 20.0).alias("x"), (F.col("id") * 53 % 43 - 21.0).alias("y"))
+    rows = rows.withColumns({"a": 3 + F.col("x") * F.col("y") * 0.01, "b": F.when(F.col("x") > 18, None).otherwise(F.col("y") - 2)})
+    kept = []
+    for module in (solve, robust):
+        monkeypatch.setattr(module, "written", lambda df, to=module.written: kept.append(_plan(df)) or to(df))
+        monkeypatch.setattr(module, "cut", lambda df: pytest.fail("a checkpoint of rows with their terms"))
+    got = {(r.f, r.target): r for r in solve.polynomial_fit(rows, ["f"], ["a", "b"], 2, rounds=1).collect()}
+    assert all(abs(c - e) < 1e-9 for f in (0, 1) for k, want in (("a", [3, 0, 0, 0, 0.01, 0]), ("b", [-2, 0, 1, 0, 0, 0])) for c, e in zip(got[f, k].coefficients, want, strict=True))
+    assert got[0, "a"].n == 200 and not any("percentile(" in p for p in kept)
+    assert sum("Aggregate" not in p for p in kept) == 1  # all else is a row a frame
