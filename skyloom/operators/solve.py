@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyloom.operators.robust import medians
-from skyloom.session import cut, written
+from skyloom.session import cut, dealt, written
 
 
 def triangles(stars: DataFrame, by: list[str], star: str = "id", x: str = "x", y: str = "y", flat: float = 0.9, least: float = 1e-6) -> DataFrame:
@@ -120,12 +120,12 @@ def polynomial_fit(rows: DataFrame, by: list[str], targets: list[str], order: in
     Each round sums the weighted products of all pairs of terms over a frame's rows, and solves one small system a frame.
     The scale of residuals is 1.4826 times their median absolute value. Coordinates count in units of their greatest
     absolute value meanwhile. Frames with fewer rows than terms are left out, and so are rows with a null.
-    Rows are written once, without their terms, and not shuffled: what is known of frames is small enough to go to them.
+    Rows are dealt over all tasks and written once, without their terms, and not shuffled again: what is known of frames is small enough to go to them.
     """
     terms = polynomial_terms(order)
     t = len(terms)
     good = rows.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*by, F.col(x).cast("double").alias("__x"), F.col(y).cast("double").alias("__y"), *[F.col(c).cast("double").alias(f"__t{k}") for k, c in enumerate(targets)])
-    good = written(good)
+    good = written(dealt(good))
     unit = written(good.groupBy(*by).agg(F.greatest(F.max(F.abs("__x")), F.max(F.abs("__y")), F.lit(1e-300)).alias("__u")))
     each = F.explode(F.array(*[F.struct(F.lit(c).alias("target"), F.col(f"__t{k}").alias("v")) for k, c in enumerate(targets)]))
     at = good.join(unit, by).select(*by, "__u", (F.col("__x") / F.col("__u")).alias("__x"), (F.col("__y") / F.col("__u")).alias("__y"), each.alias("__t"))
