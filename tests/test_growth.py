@@ -32,6 +32,42 @@ def test_pairs_in_a_plane_are_compared_once(spark):
         assert sorted(tuple(x) for x in spatial.plane_pairs(df, 1.5, "id", fine=fine, most=most).collect()) == want
 
 
+def test_pair_distances_are_worked_out_once(spark):
+    from skyloom.operators import spatial
+
+    r = random.Random(4)
+    rows = [(i, r.randrange(-40, 40) / 4, r.randrange(-40, 40) / 4) for i in range(300)] + [(1000 + i, 0.25, 0.5) for i in range(20)] + [(2000, None, 1.0), (None, 1.0, 1.0)]
+    held = [a for a in rows if None not in a]
+    want = sorted((a[0], b[0], d) for a in held for b in held if a[0] < b[0] and (d := ((a[1] - b[1]) ** 2 + (a[2] - b[2]) ** 2) ** 0.5) <= 1.5)
+    df = spark.createDataFrame(rows, "id long, x double, y double")
+    for fine, most in ((2, 256), (1, 7), (3, 3)):
+        assert sorted(tuple(x) for x in spatial.plane_distances(df, 1.5, "id", fine=fine, most=most).collect()) == want
+
+
+def test_equal_ranges_are_looked_up_once(spark):
+    from skyloom.operators import spatial
+
+    values = [(i, i * 7 % 50 / 10) for i in range(80)] + [(90, None), (91, float("nan")), (92, -0.05), (93, 0.305)]
+    ranges = [(q, q % 6 / 10, q % 6 / 10 + 0.105) for q in range(60)] + [(70, -0.2, 3.0), (71, 1.0, 0.5), (72, None, 1.0), (73, 0.3, 0.3)]
+    v, g = spark.createDataFrame(values, "id long, v double"), spark.createDataFrame(ranges, "q long, low double, high double")
+    want = sorted((q, i, d) for i, d in values for q, lo, hi in ranges if None not in (d, lo, hi) and lo <= d <= hi)
+    for most in (4096, 4):
+        got = spatial.in_ranges(v, g, "v", "q", 0.1, most=most)
+        assert sorted(tuple(x) for x in got.collect()) == want
+
+
+def test_pairs_meet_ranges_and_not_each_key_that_asks_for_one(spark, tmp_path):
+    from skyloom import catalog
+
+    spark.range(60).select(F.col("id").alias("c_custkey")).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(60).select(F.col("id").alias("p_partkey")).write.parquet(f"{tmp_path}/part.parquet")
+    spark.range(200).select(F.col("id").alias("s_suppkey")).write.parquet(f"{tmp_path}/supplier.parquet")
+    df = catalog.queries()["j_kvector"](spark, str(tmp_path))
+    made = _plan(df).split("MapInArrow")
+    assert len(made) == 2 and "explode(__keys" in made[0].split("Join")[0]  # the join with the ranges stands above, that of the cells below
+    assert "SortMergeJoin" in df._jdf.queryExecution().executedPlan().toString().split("MapInArrow")[1].split("Exchange")[0]
+
+
 def test_shapes_meet_in_wide_cells_and_frames_are_dealt(spark, tmp_path):
     from skyloom.operators import solve
     from skyloom.plans.solve import _lists
