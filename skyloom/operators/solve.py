@@ -1,7 +1,8 @@
-"""Matching two lists of stars by their patterns, and the transforms between them, frame by frame but never a frame in one task.
+"""Matching two lists of stars by their patterns, and the transforms between them, frame by frame.
 
-Triangles, votes, hypotheses and normal equations are rows and sums; what is solved for a frame is a matrix of a few
-dozen numbers. Stars of a list should be its brightest few dozen: triangles grow with the third power of their number.
+Triangles, votes and normal equations are rows and sums; what is solved for a frame is a matrix of a few dozen numbers.
+Hypotheses are scored where a frame's pairs are one row. Stars of a list should be its brightest few dozen: triangles
+grow with the third power of their number.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyloom.operators.robust import medians
 from skyloom.session import cut, dealt, written
@@ -76,35 +78,77 @@ def residual(a: Column, b: Column, tx: Column, ty: Column) -> Column:
     return F.hypot(a * F.col("x") - b * F.col("y") + tx - F.col("x2"), b * F.col("x") + a * F.col("y") + ty - F.col("y2"))
 
 
-def consistent(pairs: DataFrame, by: list[str], tau: float, tries: int = 100, refits: int = 3, least: int = 4, apart: float = 1e-6) -> tuple[DataFrame, DataFrame]:
+def _draws(n: int):
+    """draw(k, m) of the hypotheses k to k + m of n pairs, in an order that depends on n alone: all of them once, or of very long lists any two pairs."""
+    rng = np.random.default_rng(n)
+    if n > 1500:
+        return lambda k, m: (i := rng.integers(n, size=m), (i + 1 + rng.integers(n - 1, size=m)) % n)
+    order = rng.permutation(n * (n - 1) // 2)
+    i, j = (c[order] for c in np.triu_indices(n, 1))
+    return lambda k, m: (i[k : k + m], j[k : k + m])
+
+
+def _best(x: np.ndarray, y: np.ndarray, x2: np.ndarray, y2: np.ndarray, tau: float, tries: int, apart: float, missed: float) -> tuple[float, ...] | None:
+    """(a, b, tx, ty) of the hypothesis with most pairs within tau, the least residual, the least turn. Hypotheses are drawn until one with more pairs has gone by with a chance of `missed` at most, or there is none left."""
+    n, k, best, found = len(x), 0, None, None
+    need = every = n * (n - 1) // 2
+    draw = _draws(n) if every else None
+    while k < need:
+        m = min(need - k, max(1, (1 << 18) // n))
+        i, j = draw(k, m)
+        dx, dy, dx2, dy2 = x[j] - x[i], y[j] - y[i], x2[j] - x2[i], y2[j] - y2[i]
+        far = np.flatnonzero((np.hypot(dx, dy) >= apart) & (np.hypot(dx2, dy2) >= apart))
+        i, dx, dy, dx2, dy2 = i[far], dx[far], dy[far], dx2[far], dy2[far]
+        size = dx * dx + dy * dy
+        a, b = (dx * dx2 + dy * dy2) / size, (dx * dy2 - dy * dx2) / size
+        tx, ty = x2[i] - a * x[i] + b * y[i], y2[i] - b * x[i] - a * y[i]
+        square = (a[:, None] * x - b[:, None] * y + tx[:, None] - x2) ** 2 + (b[:, None] * x + a[:, None] * y + ty[:, None] - y2) ** 2
+        near = square < tau * tau
+        count = near.sum(axis=1)
+        most = int(count.max(initial=0))
+        if most and (best is None or most >= -best[0]):
+            top = np.flatnonzero(count == most)
+            rest, turn = np.round(np.where(near[top], square[top], 0.0).sum(axis=1), 9), np.round(np.abs(np.arctan2(b[top], a[top])), 6)
+            first = np.lexsort((far[top], turn, rest))[0]
+            own = (-most, float(rest[first]), float(turn[first]), k + int(far[top[first]]))
+            if best is None or own < best:
+                best, found = own, tuple(float(c[top[first]]) for c in (a, b, tx, ty))
+        k += m
+        if best is not None and every > tries:
+            share = max(most, -best[0]) * (max(most, -best[0]) - 1) / (n * (n - 1))
+            need = every if share <= 0 else tries if share >= 1 else min(every, max(tries, int(np.ceil(np.log(missed) / np.log1p(-share)))))
+    return found
+
+
+def consistent(pairs: DataFrame, by: list[str], tau: float, tries: int = 100, refits: int = 3, least: int = 4, apart: float = 1e-6, missed: float = 1e-9) -> tuple[DataFrame, DataFrame]:
     """(transforms as similarity gives them, with rms; the pairs within tau of them) of frames with wrong pairs among (*by, u, w, x, y, x2, y2).
 
-    Two pairs, drawn by a hash of the frame's key, make a hypothesis; all hypotheses are scored at once by a join with
-    the frame's pairs. The one with most pairs within tau, of these the least residual, and of these the least turn, is refitted on its pairs.
+    Two pairs make a hypothesis; a frame's are scored in one task, where its pairs are a row, at least `tries` of them and as
+    many as it takes: all, or so many that one with more pairs is missed with a chance of `missed` at most. The one with
+    most pairs within tau, of these the least residual, and of these the least turn, is refitted on its pairs.
     Frames with fewer than `least` such pairs are left out. Results don't depend on how rows were dealt.
     """
-    w = Window.partitionBy(*by)
-    rows = cut(pairs.withColumn("__n", F.count("*").over(w)).withColumn("__k", F.row_number().over(w.orderBy("u", "w")) - 1).where("__n >= 2"))
-    frames = rows.select(*by, "__n").distinct().withColumn("__h", F.explode(F.sequence(F.lit(0), F.lit(tries - 1))))
-    first = F.pmod(F.xxhash64(*by, "__h"), F.col("__n")).cast("int")
-    drawn = frames.withColumn("__i", first).withColumn("__j", F.pmod(F.col("__i") + 1 + F.pmod(F.xxhash64("__h", *by, F.lit(1)), F.col("__n") - 1), F.col("__n")).cast("int"))
-    end = lambda k, s: rows.select(*by, F.col("__k").alias(k), *[F.col(c).alias(f"{c}{s}") for c in ("x", "y", "x2", "y2")])
-    two = drawn.join(end("__i", "_i"), [*by, "__i"]).join(end("__j", "_j"), [*by, "__j"])
-    d = {c: F.col(f"{c}_j") - F.col(f"{c}_i") for c in ("x", "y", "x2", "y2")}
-    size = d["x"] * d["x"] + d["y"] * d["y"]
-    size = F.when(size > 0, size)
-    two = two.where((F.sqrt(size) >= apart) & (F.hypot(d["x2"], d["y2"]) >= apart)).withColumns({"__a": (d["x"] * d["x2"] + d["y"] * d["y2"]) / size, "__b": (d["x"] * d["y2"] - d["y"] * d["x2"]) / size})
+    rows = cut(pairs)
+    held = rows.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("u", "w", *[F.col(c).cast("double").alias(c) for c in ("x", "y", "x2", "y2")]))).alias("__p")).where(F.size("__p") >= 2)
+    held = held.select(*by, *[F.col(f"__p.{c}").alias(f"__{c}") for c in ("x", "y", "x2", "y2")])
+
+    def run(batches):
+        for b in batches:
+            lists = [b.column(len(by) + k) for k in range(4)]
+            off = lists[0].offsets.to_numpy()
+            flat = [c.values.to_numpy(zero_copy_only=False) for c in lists]
+            got = [_best(*[c[i:j] for c in flat], tau, tries, apart, missed) for i, j in zip(off[:-1], off[1:], strict=True)]
+            own = pa.array([k for k, t in enumerate(got) if t is not None], pa.int64())
+            yield pa.record_batch([*[b.column(k).take(own) for k in range(len(by))], *[pa.array([t[k] for t in got if t is not None], pa.float64()) for k in range(4)]], names)
+
+    names = [*by, "__a", "__b", "__tx", "__ty"]
     a, b = F.col("__a"), F.col("__b")
-    two = two.withColumns({"__tx": F.col("x2_i") - a * F.col("x_i") + b * F.col("y_i"), "__ty": F.col("y2_i") - b * F.col("x_i") - a * F.col("y_i")}).select(*by, "__h", "__a", "__b", "__tx", "__ty")
-    scored = two.join(rows, by).withColumn("__e", residual(a, b, F.col("__tx"), F.col("__ty"))).where(F.col("__e") < tau)
-    scored = scored.groupBy(*by, "__h", "__a", "__b", "__tx", "__ty").agg(F.count("*").alias("__in"), F.round(F.sum(F.col("__e") ** 2), 9).alias("__s"))
-    order = F.struct((-F.col("__in")).alias("n"), F.col("__s"), F.round(F.abs(F.atan2("__b", "__a")), 6).alias("turn"), F.col("__h"))
-    now = cut(scored.groupBy(*by).agg(F.min_by(F.struct("__a", "__b", "__tx", "__ty"), order).alias("__t")).select(*by, "__t.*"))
+    now = cut(held.mapInArrow(run, T.StructType([*held.schema.fields[: len(by)], *[T.StructField(c, T.DoubleType()) for c in names[len(by) :]]])))
     for _ in range(refits):
         near = rows.join(now, by).where(residual(a, b, F.col("__tx"), F.col("__ty")) < tau)
         fit = similarity(near, by).where(F.col("scale").isNotNull() & (F.col("n") >= least))
         now = cut(fit.select(*by, (F.col("scale") * F.cos("theta")).alias("__a"), (F.col("scale") * F.sin("theta")).alias("__b"), F.col("tx").alias("__tx"), F.col("ty").alias("__ty")))
-    kept = cut(rows.join(now, by).withColumn("residual", residual(a, b, F.col("__tx"), F.col("__ty"))).where(F.col("residual") < tau).drop("__n", "__k", "__a", "__b", "__tx", "__ty"))
+    kept = cut(rows.join(now, by).withColumn("residual", residual(a, b, F.col("__tx"), F.col("__ty"))).where(F.col("residual") < tau).drop("__a", "__b", "__tx", "__ty"))
     rms = kept.groupBy(*by).agg(F.sqrt(F.avg(F.col("residual") ** 2)).alias("rms"))
     return similarity(kept, by).where(F.col("n") >= least).join(rms, by), kept
 
