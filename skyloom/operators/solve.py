@@ -23,7 +23,7 @@ from skyloom.session import cut, dealt, written
 def triangles(stars: DataFrame, by: list[str], star: str = "id", x: str = "x", y: str = "y", flat: float = 0.9, least: float = 1e-6) -> DataFrame:
     """(*by, a, b, c, length, ba, ca) of all triples of a list: the stars opposite the longest, middle and shortest side, the longest side, and the other two as shares of it. Triangles whose middle side is more than `flat` of the longest are left out: their order is uncertain."""
     one = lambda k: stars.select(*by, F.col(star).alias(f"s{k}"), F.col(x).cast("double").alias(f"x{k}"), F.col(y).cast("double").alias(f"y{k}"))
-    three = one(1).join(one(2), by).where("s1 < s2").join(one(3), by).where("s2 < s3")
+    three = one(1).join(one(2).hint("merge"), by).where("s1 < s2").join(one(3).hint("merge"), by).where("s2 < s3")  # merged: a table that looks small may have many rows once it is read
     side = lambda i, j, k: F.struct(F.sqrt((F.col(f"x{i}") - F.col(f"x{j}")) ** 2 + (F.col(f"y{i}") - F.col(f"y{j}")) ** 2).alias("d"), F.col(f"s{k}").alias("s"))
     sides = three.select(*by, F.array_sort(F.array(side(1, 2, 3), side(1, 3, 2), side(2, 3, 1))).alias("o"))
     out = sides.select(*by, F.col("o")[2]["s"].alias("a"), F.col("o")[1]["s"].alias("b"), F.col("o")[0]["s"].alias("c"), F.col("o")[2]["d"].alias("length"), F.col("o")[1]["d"].alias("mid"), F.col("o")[0]["d"].alias("short"))

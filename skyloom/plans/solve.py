@@ -55,7 +55,7 @@ def consensus(spark, sf):
 def _pairs(spark, sf):
     cat, obs = _lists(spark, sf)
     pairs = solve.likely(_votes(spark, sf), ["frame"])
-    return pairs.join(obs.withColumnRenamed("id", "u"), ["frame", "u"]).join(cat.select("frame", C("id").alias("w"), C("x").alias("x2"), C("y").alias("y2")), ["frame", "w"])
+    return pairs.join(obs.withColumnRenamed("id", "u").hint("merge"), ["frame", "u"]).join(cat.select("frame", C("id").alias("w"), C("x").alias("x2"), C("y").alias("y2")).hint("merge"), ["frame", "w"])
 
 
 @query("a_umeyama", f"""WITH {_LISTS}, p AS (SELECT o.frame, o.x, o.y, c.x AS x2, c.y AS y2 FROM obs o JOIN cat c ON o.frame = c.frame AND o.id = c.id WHERE o.id % 3 <> 0),
@@ -71,7 +71,7 @@ def ransac(spark, sf):
     """From the voted pairs, wrong ones among them, back to the transform that the lists of whole frames were made with."""
     found, _ = solve.consistent(_pairs(spark, sf), ["frame"], 0.01)
     whole = _lists(spark, sf)[0].groupBy("frame").count().where("count = 14")
-    return found.join(whole, "frame", "left_semi").select("frame", F.round("scale", 6).alias("scale"), F.round("theta", 6).alias("theta"))
+    return found.join(whole.hint("merge"), "frame", "left_semi").select("frame", F.round("scale", 6).alias("scale"), F.round("theta", 6).alias("theta"))
 
 
 _SIP = {"dx": {(2, 0): 3e-6, (1, 1): -2e-6, (0, 3): 4e-9}, "dy": {(0, 2): 5e-6, (2, 1): -1e-9}}

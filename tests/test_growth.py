@@ -105,3 +105,12 @@ def test_fit_writes_rows_once_and_shuffles_sums(spark, monkeypatch):
     assert all(abs(c - e) < 1e-9 for f in (0, 1) for k, want in (("a", [3, 0, 0, 0, 0.01, 0]), ("b", [-2, 0, 1, 0, 0, 0])) for c, e in zip(got[f, k].coefficients, want, strict=True))
     assert got[0, "a"].n == 200 and not any("percentile(" in p for p in kept)
     assert sum("Aggregate" not in p for p in kept) == 1  # all else is a row a frame
+
+
+def test_lists_of_stars_are_not_broadcast(spark, tmp_path):
+    """A file of keys is small, and the planner would send all of its stars to the driver, once for each side of a join."""
+    from skyloom.plans import solve
+
+    spark.range(70).withColumnRenamed("id", "c_custkey").write.parquet(f"{tmp_path}/customer.parquet")
+    plan = solve._pairs(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan and "SortMergeJoin" in plan
