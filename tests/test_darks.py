@@ -73,3 +73,23 @@ def test_outliers_do_not_move_the_slope():
     assert darks.slope(x, y)[0] == pytest.approx(1.25, abs=0.01)
     assert darks.slope(x, -y)[1] == "K_OUT_OF_RANGE"
     assert darks.slope(x[:99], y[:99]) == (None, "INSUFFICIENT_SAMPLES")
+
+
+def test_the_query_masks_samples_clips_and_falls_back(spark):
+    """a_dark_k's pixels: stars are masked, cells give 1000 samples at most, and the frames whose line is no scale take the exposures' ratio."""
+    from skyloom import catalog
+    from skyloom.plans import sampler
+
+    sf = "/root/testdata/sf0.001"
+    pixels, _ = sampler._darks(spark, sf)
+    at = pixels.toPandas()
+    got = {r.frame: r for r in catalog.queries()["a_dark_k"](spark, sf).collect()}
+    assert {f for f, r in got.items() if r.fell_back} == {5, 6} and (got[5].k, got[6].k) == (1.4, 1.5)
+    unclipped = []
+    for f, p in at.groupby("frame"):
+        off = (p.light - p.light.median()).abs()
+        assert got[f].n == (off <= 3 * 1.4826 * off.median()).sum() < len(p)
+        if f not in (5, 6):
+            assert got[f].k == pytest.approx(1.37, abs=0.01)
+            unclipped.append(abs(np.polyfit(p.dark, p.light, 1)[0] - 1.37))
+    assert max(unclipped) > 0.05
