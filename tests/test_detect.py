@@ -253,3 +253,29 @@ def test_repeats_are_sought_among_stars_that_are_there(spark, tmp_path, monkeypa
     monkeypatch.setattr(detect, "deduplicated", lambda found, by: seen.append(found) or found)
     assert plans.img_detect(spark, str(tmp_path)).count() == 9
     assert "MapInArrow" not in seen[0]._jdf.queryExecution().executedPlan().toString()  # else each step that follows finds them anew
+
+
+def test_each_stage_of_the_orders_as_stars_drops_some(spark):
+    import duckdb
+
+    from skyloom import catalog
+
+    sf = "/root/testdata/sf0.001"
+    got = catalog.queries()["j_dedup_stars"](spark, sf).collect()
+    rows = duckdb.sql(f"SELECT o_orderkey, o_totalprice FROM '{sf}/orders.parquet'").fetchall()
+    stars = [(k // 1024, k, (k * k * 31 + k * 7919) % 16381 / 128, (k * k * 17 + k * 104729) % 16369 / 128, k * 37 % 11 + 5, v > 400000) for k, v in rows]
+
+    def greedy(those, near):
+        kept = []
+        for s in those:
+            if not any(t[0] == s[0] and near(math.hypot(t[2] - s[2], t[3] - s[3])) for t in kept):
+                kept.append(s)
+        return kept
+
+    lit, plain = [s for s in stars if s[5]], [s for s in stars if not s[5]]
+    lone = [s for s in plain if not any(t[0] == s[0] and math.hypot(t[2] - s[2], t[3] - s[3]) < 2 for t in lit)]
+    bright = greedy(sorted(lit, key=lambda s: (-s[4], int(s[3]), int(s[2]), s[3], s[2])), lambda d: d < 2)
+    by_place = greedy(sorted(lit, key=lambda s: (int(s[3]), int(s[2]), s[3], s[2])), lambda d: d < 2)
+    first = greedy(sorted(lone, key=lambda s: (int(s[3]), int(s[2]), s[3], s[2])), lambda d: d <= 1)
+    assert len(first) < len(lone) < len(plain) and len(bright) < len(lit) and {s[1] for s in bright} != {s[1] for s in by_place}
+    assert sorted((r.frame, r.id, r.saturated) for r in got) == sorted((s[0], s[1], s[5]) for s in bright + first)
