@@ -48,8 +48,9 @@ def area(poly: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 def _circle(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Normals of the great circles from a to b, to the left; from the difference, which is exact where a and b are close."""
-    v = np.cross(a, b - a)
-    return v / np.maximum(np.linalg.norm(v, axis=-1, keepdims=True), 1e-300)
+    x, y, z = (b - a)[..., 0], (b - a)[..., 1], (b - a)[..., 2]
+    v = np.stack([a[..., 1] * z - a[..., 2] * y, a[..., 2] * x - a[..., 0] * z, a[..., 0] * y - a[..., 1] * x], axis=-1)
+    return v / np.maximum(np.sqrt(np.einsum("...i,...i->...", v, v)), 1e-300)[..., None]
 
 
 def clip(poly: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -112,7 +113,7 @@ def traced(point, items: int, tolerance: np.ndarray, depth: int) -> tuple[np.nda
     for level in range(depth + 1):
         mid = (low + high) / 2
         m = point(item, edge, mid)
-        off = np.abs((_circle(a, b) * (m - a)).sum(-1))
+        off = np.abs(np.einsum("ij,ij->i", _circle(a, b), m - a))
         split = (off >= tolerance[item]) & (level < depth)
         done.append((item[~split], edge[~split], low[~split], a[~split]))
         if not split.any():
@@ -206,12 +207,16 @@ class Frames:
     b: np.ndarray | None = None
 
     def take(self, rows: np.ndarray) -> Frames:
-        some = lambda x: None if x is None else x[rows]
+        def some(x):  # one distortion for all rows is kept once
+            if x is None or not len(x) or x.strides[0] and (x != x[:1]).any():
+                return None if x is None else x[rows]
+            return np.broadcast_to(x[:1], (len(rows), x.shape[1]))
+
         return Frames({k: v[rows] for k, v in self.wcs.items()}, some(self.a), some(self.b))
 
     def _bent(self, c: np.ndarray, dx: np.ndarray, dy: np.ndarray) -> np.ndarray:
         out = np.zeros(len(dx))
-        used = c.any(axis=0).reshape(SIP, SIP)
+        used = (c if c.strides[0] else c[:1]).any(axis=0).reshape(SIP, SIP)
         for p in range(int(np.flatnonzero(used.any(axis=1)).max(initial=-1)), -1, -1):  # nested in dx, then in dy, from the highest powers that there are
             inner = np.zeros(len(dx))
             for q in range(int(np.flatnonzero(used[p]).max(initial=-1)), -1, -1):
@@ -237,8 +242,8 @@ class Frames:
         c, e, n = self._axes()
         return _normal(c + xi[:, None] * e + eta[:, None] * n)
 
-    def pixel(self, v: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, np.ndarray]:
-        """The place of directions; NaN for those a quarter turn away or more. Distortion is undone by repeated substitution."""
+    def pixel(self, v: np.ndarray, rounds: int = 30, settled: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+        """The place of directions; NaN for those a quarter turn away or more. Distortion is undone by repeated substitution, until no place moves by more than `settled` pixels."""
         w = self.wcs
         c, e, n = self._axes()
         front = (v * c).sum(-1)
@@ -249,7 +254,7 @@ class Frames:
         dx, dy = u, t
         for _ in range(rounds if self.a is not None else 0):
             last, (dx, dy) = (dx, dy), (u - self._bent(self.a, dx, dy), t - self._bent(self.b, dx, dy))
-            if np.array_equal(dx, last[0], equal_nan=True) and np.array_equal(dy, last[1], equal_nan=True):
+            if not ((np.abs(dx - last[0]) > settled) | (np.abs(dy - last[1]) > settled)).any() and np.array_equal(np.isnan(dx), np.isnan(last[0])):
                 break
         return dx + w["px0"], dy + w["py0"]
 
@@ -309,11 +314,130 @@ def shared_area(subject: np.ndarray, ns: np.ndarray, shape: np.ndarray, nd: np.n
     return out
 
 
+def _planes(middle: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two directions square to each middle and to one another, turning left seen from outside."""
+    axis = np.eye(3)[np.abs(middle).argmin(axis=1)]
+    a = _normal(np.cross(axis, middle))
+    return a, np.cross(middle, a)
+
+
+def _cross(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    return a[0] * b[1] - a[1] * b[0]
+
+
+def _wedge(p: tuple[np.ndarray, np.ndarray], q: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Signed solid angles of the triangles of a tangent plane's point of touch with p and q."""
+    a, b = np.sqrt(1 + p[0] * p[0] + p[1] * p[1]), np.sqrt(1 + q[0] * q[0] + q[1] * q[1])
+    return 2 * np.arctan2(_cross(p, q), a * b + a + b + 1 + p[0] * q[0] + p[1] * q[1])
+
+
+def shared_areas(subject: np.ndarray, ns: np.ndarray, at: np.ndarray, shape: np.ndarray, nd: np.ndarray, place: np.ndarray, batch: int = 20_000) -> np.ndarray:
+    """shared_area of the pairs (at, place) of subjects and shapes, by one walk along each subject's edges.
+
+    In the plane that touches the sphere at a shape's middle its outline is a distance in each direction. What a
+    subject's edge sweeps about the middle counts up to the outline: edges are cut at the directions of the shape's corners, what
+    lies beyond the line between two corners is drawn back to it; a subject that turns right counts the same. Pairs that reach far from the middle, and shapes
+    that their middle doesn't see whole, go by shared_area.
+    """
+    out, shape = np.zeros(len(at)), _left_turning(shape, nd)
+    if not len(at):
+        return out
+    real = np.arange(shape.shape[1])[None, :] < nd[:, None]
+    middle = _normal(np.where(real[:, :, None], shape, 0.0).sum(axis=1))
+    a, b = _planes(middle)
+    axes = [np.ascontiguousarray(c.T) for c in (a, b, middle)]
+    flat = lambda v, of: tuple(v[0] * c[0][of] + v[1] * c[1][of] + v[2] * c[2][of] for c in axes)
+    own = np.repeat(np.arange(len(nd)), nd)
+    start = np.cumsum(nd) - nd
+    x, y, up = flat(np.ascontiguousarray(shape[real].T), own)
+    seen = np.bincount(own, up < 0.3, len(nd)) == 0
+    with np.errstate(divide="ignore", invalid="ignore"):
+        corner = x / up, y / up
+        turn = np.arctan2(corner[1], corner[0])
+    order = np.lexsort((turn, own))  # of shapes seen whole only their first corner changes
+    after = np.arange(len(own)) + 1
+    after[start + nd - 1] = start
+    seen &= np.bincount(own, (turn[after] < turn), len(nd)) == 1
+    corner, turn = tuple(c[order] for c in corner), turn[order]
+    side = tuple(c[after] - c for c in corner)
+    level = _cross(side, corner)  # of the line between two corners; the middle lies at 0, above it
+    seen &= (np.bincount(own, ~(level < 0), len(nd)) == 0) & (nd >= 3)
+    whole = np.bincount(own, np.where(seen[own], _wedge(corner, tuple(c[after] for c in corner)), 0.0), len(nd))
+    key = own * 8.0 + turn
+
+    real = np.arange(subject.shape[1])[None, :] < ns[:, None]
+    edge, first = np.ascontiguousarray(subject[real].T), np.cumsum(ns) - ns
+    near = seen[place] & (ns[at] >= 3)
+    ends = np.cumsum(np.where(near, ns[at], 0))
+    i = 0
+    while i < len(at):
+        j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + batch, "right")))
+        pairs = np.arange(i, j)[near[i:j]]
+        i = j
+        if not len(pairs):
+            continue
+        n = ns[at[pairs]]
+        pair = np.repeat(np.arange(len(pairs)), n)
+        begin = np.cumsum(n) - n
+        to = place[pairs][pair]
+        x, y, up = flat(edge[:, np.repeat(first[at[pairs]] - begin, n) + np.arange(len(pair))], to)
+        far = np.bincount(pair, up < 0.3, len(pairs)) > 0
+        near[pairs[far]] = False
+        up = np.where(up < 0.3, 1.0, up)
+        p = x / up, y / up
+        following = np.arange(len(pair)) + 1
+        following[begin + n - 1] = begin
+        angle = to * 8.0 + np.arctan2(p[1], p[0])
+        w = np.searchsorted(key, angle, "right") - 1 - start[to]  # the last corner before, or -1
+        m, w2 = nd[to], w[following]
+        delta = angle[following] - angle
+        back = (delta < 0) != (np.abs(delta) > np.pi)  # against the turn, the shorter way
+        steps = np.where(np.abs(delta) > np.pi, m, 0) + np.where(back, w - w2, w2 - w)
+        e = np.repeat(np.arange(len(pair)), steps + 1)
+        t = np.arange(len(e)) - (np.cumsum(steps + 1) - steps - 1)[e]
+        sign = np.where(back, -1, 1)[e]
+        wedge = start[to[e]] + (w[e] + sign * t) % m[e]
+        ray = start[to[e]] + (w[e] + np.where(back[e], -t, t + 1)) % m[e]  # that the piece ends at, but the last
+        v, v2 = tuple(c[e] for c in p), tuple(c[following][e] for c in p)
+        r = tuple(c[ray] for c in corner)
+        c1, c2 = _cross(v, r), _cross(v2, r)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            share = np.clip(np.nan_to_num(c1 / (c1 - c2), nan=0.5), 0.0, 1.0)
+        last = t == steps[e]
+        end = tuple(np.where(last, h, g + share * (h - g)) for g, h in zip(v, v2, strict=True))
+        lead = np.concatenate([[0], np.arange(len(e) - 1)])
+        begun = tuple(np.where(t == 0, g, c[lead]) for g, c in zip(v, end, strict=True))
+        s, low = tuple(c[wedge] for c in side), level[wedge]
+        h1, h2 = _cross(s, begun), _cross(s, end)
+        in1, in2 = h1 >= low, h2 >= low
+        with np.errstate(divide="ignore", invalid="ignore"):
+            f1, f2 = np.where(in1, 1.0, low / h1), np.where(in2, 1.0, low / h2)
+            u = np.where(in1 != in2, (h1 - low) / (h1 - h2), 0.0)
+        p1, p2 = tuple(c * f1 for c in begun), tuple(c * f2 for c in end)
+        met = tuple(np.where(in1 != in2, g + u * (h - g), k) for g, h, k in zip(begun, end, p1, strict=True))
+        swept = _wedge(met, p2)
+        split = np.flatnonzero(in1 != in2)
+        swept[split] += _wedge(tuple(c[split] for c in p1), tuple(c[split] for c in met))
+        of = pair[e]
+        total = np.bincount(of, swept, len(pairs))
+        inside = np.bincount(of, in1 | in2, len(pairs)) > 0
+        around = np.abs(np.bincount(pair, np.where(back, -1, 1) * np.where(np.abs(delta) > np.pi, 2 * np.pi - np.abs(delta), np.abs(delta)), len(pairs))) > np.pi
+        out[pairs] = np.where(inside, np.abs(total), np.where(around, whole[place[pairs]], 0.0))  # no edge within: all of the shape or nothing
+    rest = np.flatnonzero(~near)
+    for i in range(0, len(rest), 4096):
+        k = rest[i : i + 4096]
+        out[k] = shared_area(subject[at[k]], ns[at[k]], shape[place[k]], nd[place[k]])
+    return out
+
+
 def _bounds(poly: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Middle and radius of a disc about each polygon."""
-    real = (np.arange(poly.shape[1])[None, :] < n[:, None])[:, :, None]
-    middle = _normal(np.where(real, poly, 0.0).sum(axis=1))
-    gap = np.where(real[:, :, 0], np.linalg.norm(poly - middle[:, None], axis=-1), 0.0).max(axis=1)
+    own = np.repeat(np.arange(len(n)), n)
+    flat = poly[np.arange(poly.shape[1])[None, :] < n[:, None]]
+    middle = _normal(np.stack([np.bincount(own, flat[:, k], len(n)) for k in range(3)], axis=1))
+    off = flat - middle[own]
+    gap = np.zeros(len(n))
+    np.maximum.at(gap, own, np.sqrt(np.einsum("ij,ij->i", off, off)))
     return middle, 2 * np.arcsin(np.minimum(1.0, gap / 2))
 
 
@@ -330,22 +454,26 @@ def _frames(b: pa.RecordBatch, names: list[str]) -> Frames:
         return Frames({c: get(c) for c in WCS})
 
     def grid(c):
-        return np.array([v if v is not None else [0.0] * SIP * SIP for v in b.column(names.index(c)).to_pylist()], float).reshape(-1, SIP * SIP)
+        v = b.column(names.index(c))
+        if not v.null_count and len(v.flatten()) == len(v) * SIP * SIP:
+            return np.asarray(v.flatten().to_numpy(zero_copy_only=False), float).reshape(-1, SIP * SIP)
+        return np.array([v if v is not None else [0.0] * SIP * SIP for v in v.to_pylist()], float).reshape(-1, SIP * SIP)
 
     return Frames({c: get(c) for c in WCS}, grid("sip_a"), grid("sip_b"))
 
 
-def _joined(df: DataFrame, work, added: str, batch: int = 2048) -> DataFrame:
-    """df's rows repeated: work(record batch, names) gives the row of each output row and the added columns."""
+def _joined(df: DataFrame, work, added: str, batch: int = 2048, keep: list[str] | None = None) -> DataFrame:
+    """df's rows repeated: work(record batch, names) gives the row of each output row and the added columns. Of df's columns those in keep stay, all by default."""
     names = df.columns
-    schema = T.StructType([*df.schema.fields, *T._parse_datatype_string(added).fields])
+    held = [i for i, c in enumerate(names) if keep is None or c in keep]
+    schema = T.StructType([*[df.schema.fields[i] for i in held], *T._parse_datatype_string(added).fields])
 
     def run(batches):
         for whole in batches:
             for i in range(0, whole.num_rows, batch):
                 b = whole.slice(i, batch)
                 row, more = work(b, names)
-                yield pa.record_batch([*[c.take(pa.array(row)) for c in b.columns], *[m if isinstance(m, pa.Array) else pa.array(m) for m in more]], schema.names)
+                yield pa.record_batch([*[b.column(c).take(pa.array(row)) for c in held], *[m if isinstance(m, pa.Array) else pa.array(m) for m in more]], schema.names)
 
     return df.mapInArrow(run, schema)
 
@@ -358,12 +486,13 @@ def _usable(df: DataFrame) -> DataFrame:
     return df.where(good & (F.abs(F.col("cd11") * F.col("cd22") - F.col("cd12") * F.col("cd21")) > 1e-30))
 
 
-def pixel_overlaps(pixels: DataFrame, order: int, size: float = 1.0, least: float = 1e-20) -> DataFrame:
+def pixel_overlaps(pixels: DataFrame, order: int, size: float = 1.0, least: float = 1e-20, keep: list[str] | None = None) -> DataFrame:
     """pixels with pix, weight and drop_area, a row for each cell that a pixel's drop covers: weight is the shared part of the drop's solid angle.
 
     pixels has x, y, the columns of WCS and, for distortion, arrays sip_a and sip_b; a drop is the square of `size` pixels
     about (x, y). Shares of `least` steradian or less are left out, and so are rows without a whole geometry. Each row is
-    worked out alone; rows are dealt over all tasks first, as each takes long.
+    worked out alone; rows are dealt over all tasks first, as each takes long. Of the columns of pixels only those in keep
+    come back, if it is given: an image's geometry is far larger than a cell.
     """
 
     def work(b: pa.RecordBatch, names: list[str]):
@@ -376,12 +505,49 @@ def pixel_overlaps(pixels: DataFrame, order: int, size: float = 1.0, least: floa
         cell, nc = cell_outlines(each, order)
         near = _meeting(cell, nc, at, poly, n, row)
         row, pix, at = row[near], pix[near], at[near]
-        shared = shared_area(cell[at], nc[at], poly[row], n[row])
+        shared = shared_areas(cell, nc, at, poly, n, row)
         kept = shared > least
         row, pix, shared = row[kept], pix[kept], shared[kept]
         return row, (pix, shared / own[row], own[row])
 
-    return _joined(dealt(_usable(pixels)), work, "pix long, weight double, drop_area double")
+    return _joined(dealt(_usable(pixels)), work, "pix long, weight double, drop_area double", keep=keep)
+
+
+def _cells_on_pixels(f: Frames, image: np.ndarray, pix: np.ndarray, order: int, width: int, height: int, shrink: float, least: float) -> tuple[np.ndarray, ...]:
+    """(row, x, y, weight, drop_area, pixel_area): the pixels of images f that the drops of cells pix cover, row by row; image numbers equal images."""
+    each, same = np.unique(pix, return_inverse=True)
+    poly, n = cell_outlines(each, order)
+    if shrink < 1:
+        poly = drawn(poly, cell_centres(each, order), shrink)
+    own = np.abs(area(poly, n))[same]
+    of = np.repeat(np.arange(len(pix)), n[same])  # each cell's corners, for each image that it is met with
+    flat, first = poly[np.arange(poly.shape[1])[None, :] < n[:, None]], np.cumsum(n) - n
+    corner = np.arange(len(of)) - np.repeat(np.cumsum(n[same]) - n[same] - first[same], n[same])
+    px, py = f.take(of).pixel(flat[corner], settled=1e-9)  # for bounds with a pixel to spare
+    low, high = np.full((2, len(pix)), np.inf), np.full((2, len(pix)), -np.inf)
+    for k, p in enumerate((px, py)):
+        seen = np.isfinite(p)
+        np.minimum.at(low[k], of[seen], p[seen])
+        np.maximum.at(high[k], of[seen], p[seen])
+    limit = np.array([[width - 1], [height - 1]])
+    met = (low <= high).all(axis=0)
+    first = np.where(met, np.maximum(0, np.floor(np.where(met, low, 0.0) - 1)), 1).astype(np.int64)
+    last = np.where(met, np.minimum(limit, np.ceil(np.where(met, high, 0.0) + 1)), 0).astype(np.int64)
+    span = np.maximum(0, last - first + 1)
+    count = span[0] * span[1]
+    row = np.repeat(np.arange(len(pix)), count)
+    k = np.arange(len(row)) - (np.cumsum(count) - count)[row]
+    x, y = first[0][row] + k % np.maximum(span[0], 1)[row], first[1][row] + k // np.maximum(span[0], 1)[row]
+    if not len(row):
+        return row, x, y, np.zeros(0), np.zeros(0), np.zeros(0)
+    _, one, at = np.unique((image[row] * height + y) * width + x, return_index=True, return_inverse=True)  # cells share pixels
+    square, ns = f.take(row[one]).outlines(x[one].astype(float), y[one].astype(float))
+    near = _meeting(poly, n, same[row], square, ns, at)
+    row, x, y, at = row[near], x[near], y[near], at[near]
+    shared = shared_areas(poly, n, same[row], square, ns, at)
+    kept = shared > least
+    row, whole = row[kept], np.abs(area(square, ns))[at][kept]
+    return row, x[kept], y[kept], shared[kept] / own[row], own[row], whole
 
 
 def cell_overlaps(cells: DataFrame, order: int, width: int, height: int, shrink: float = 1.0, least: float = 1e-20) -> DataFrame:
@@ -392,43 +558,26 @@ def cell_overlaps(cells: DataFrame, order: int, width: int, height: int, shrink:
     """
 
     def work(b: pa.RecordBatch, names: list[str]):
-        f = _frames(b, names)
         pix = np.asarray(b.column(names.index("pix")).to_numpy(zero_copy_only=False), np.int64)
-        poly, n = cell_outlines(pix, order)
-        if shrink < 1:
-            poly = drawn(poly, cell_centres(pix, order), shrink)
-        own = area(_left_turning(poly, n), n)
-        corner = np.arange(poly.shape[1])[None, :] < n[:, None]
-        item = np.broadcast_to(np.arange(len(pix))[:, None], corner.shape)[corner]
-        px, py = f.take(item).pixel(poly[corner])
-        low, high = np.full((2, len(pix)), np.inf), np.full((2, len(pix)), -np.inf)
-        for k, p in enumerate((px, py)):
-            seen = np.isfinite(p)
-            np.minimum.at(low[k], item[seen], p[seen])
-            np.maximum.at(high[k], item[seen], p[seen])
-        limit = np.array([[width - 1], [height - 1]])
-        met = (low <= high).all(axis=0)
-        first = np.where(met, np.maximum(0, np.floor(np.where(met, low, 0.0) - 1)), 1).astype(np.int64)
-        last = np.where(met, np.minimum(limit, np.ceil(np.where(met, high, 0.0) + 1)), 0).astype(np.int64)
-        span = np.maximum(0, last - first + 1)
-        count = span[0] * span[1]
-        row = np.repeat(np.arange(len(pix)), count)
-        k = np.arange(len(row)) - (np.cumsum(count) - count)[row]
-        x, y = first[0][row] + k % np.maximum(span[0], 1)[row], first[1][row] + k // np.maximum(span[0], 1)[row]
-        if not len(row):
-            return row, (x, y, np.zeros(0), np.zeros(0), np.zeros(0))
-        of_image = [*f.wcs.values(), *(c for grid in (f.a, f.b) if grid is not None for c in grid.T)]
-        _, one, at = np.unique(np.column_stack([*(c[row] for c in of_image), x, y]), axis=0, return_index=True, return_inverse=True)  # cells share pixels
-        square, ns = f.take(row[one]).outlines(x[one].astype(float), y[one].astype(float))
-        near = _meeting(poly, n, row, square, ns, at)
-        row, x, y, at = row[near], x[near], y[near], at[near]
-        shared = shared_area(poly[row], n[row], square[at], ns[at])
-        kept = shared > least
-        row, whole = row[kept], np.abs(area(square, ns))[at][kept]
-        return row, (x[kept], y[kept], shared[kept] / own[row], own[row], whole)
+        f = _frames(b, names)
+        geometry = np.column_stack([*f.wcs.values(), *(c for grid in (f.a, f.b) if grid is not None for c in grid.T)])
+        image = np.unique(geometry, axis=0, return_inverse=True)[1].reshape(-1)
+        row, *more = _cells_on_pixels(f, image, pix, order, width, height, shrink, least)
+        return row, more
 
     return _joined(_usable(cells.where(F.col("pix").between(0, 12 * 4**order - 1))), work, "x long, y long, weight double, drop_area double, pixel_area double")
 
+def disc_overlaps(images: DataFrame, radius: float, order: int, width: int, height: int, shrink: float = 1.0, least: float = 1e-20, keep: list[str] | None = None) -> DataFrame:
+    """cell_overlaps of cells_in_disc(images, radius, order, touching=True), in one step: cells and what they cover are worked out where the image is, and only the columns of images in keep come back, with pix."""
+
+    def work(b: pa.RecordBatch, names: list[str]):
+        f = _frames(b, names)
+        image, pix = disc_cells(unit(f.wcs["ra0"], f.wcs["dec0"]), np.full(b.num_rows, np.radians(radius)), order, True)
+        row, *more = _cells_on_pixels(f.take(image), image, pix, order, width, height, shrink, least)
+        return image[row], (pix[row], *more)
+
+    return _joined(dealt(_usable(images)), work, "pix long, x long, y long, weight double, drop_area double, pixel_area double", 32, keep)
+
 
 def drawn(poly: np.ndarray, centre: np.ndarray, share: float) -> np.ndarray:
     """Corners drawn to a centre along great circles, to a share of their way."""

@@ -40,14 +40,14 @@ def _pixels(spark, sf):
 @query("j_overlap_sky")
 def overlap_sky(spark, sf):
     """Drops of 0.8 pixels on the cells of order 8."""
-    met = sphere.pixel_overlaps(_pixels(spark, sf), 8, size=0.8)
+    met = sphere.pixel_overlaps(_pixels(spark, sf), 8, size=0.8, keep=["point_id", "x", "y"])
     return met.select("point_id", "x", "y", "pix", F.round("weight", 9).alias("weight"))
 
 
 @query("a_drizzle_sky", f"WITH {POINTINGS}, v AS (SELECT point_id, (point_id * 31 + x * 7 + y * 3) % 101 + 1 AS value FROM pt, range(0, 5) a(x), range(0, 5) b(y)) SELECT point_id, round(sum(value), 6)::DOUBLE AS flux, 25::BIGINT AS drops FROM v GROUP BY point_id")
 def drizzle_sky(spark, sf):
     """Drizzling on the sphere loses no flux: the sums over all cells are those of the pixels."""
-    met = sphere.pixel_overlaps(_pixels(spark, sf), 8, size=0.8)
+    met = sphere.pixel_overlaps(_pixels(spark, sf), 8, size=0.8, keep=["point_id", "value"])
     cells = met.groupBy("point_id", "pix").agg(F.sum(C("value") * C("weight")).alias("flux"), F.sum("weight").alias("w"))
     return cells.groupBy("point_id").agg(F.round(F.sum("flux"), 6).alias("flux"), F.round(F.sum("w")).cast("long").alias("drops"))
 
@@ -63,16 +63,15 @@ def cell_outline(spark, sf):
 @query("j_overlap_rev")
 def overlap_reverse(spark, sf):
     """The stars' cells of order 8, drawn to 0.9, on the pixels of the pointing images that they lie in."""
-    image = _images(spark, sf)
-    cells = sphere.cells_in_disc(image, 1.2, 8, touching=True)
-    return sphere.cell_overlaps(cells, 8, 5, 5, shrink=0.9).select("point_id", "pix", "x", "y", F.round("weight", 9).alias("weight"))
+    met = sphere.disc_overlaps(_images(spark, sf), 1.2, 8, 5, 5, shrink=0.9, keep=["point_id"])
+    return met.select("point_id", "pix", "x", "y", F.round("weight", 9).alias("weight"))
 
 
 @query("a_drizzle_rev", f"WITH {POINTINGS} SELECT point_id, x::BIGINT AS x, y::BIGINT AS y, 1.0::DOUBLE AS coverage FROM pt, range(0, 5) a(x), range(0, 5) b(y)")
 def drizzle_reverse(spark, sf):
     """Whole cells cover every pixel of an image fully."""
-    cells = sphere.cells_in_disc(_images(spark, sf), 1.6, 8, touching=True).withColumns({"signal": C("pix") % 7 + 1.0, "support": F.lit(1.0)})
-    made = sphere.reverse_drizzled(sphere.cell_overlaps(cells, 8, 5, 5), ["point_id"], "signal", "support")
+    met = sphere.disc_overlaps(_images(spark, sf), 1.6, 8, 5, 5, keep=["point_id"]).withColumns({"signal": C("pix") % 7 + 1.0, "support": F.lit(1.0)})
+    made = sphere.reverse_drizzled(met, ["point_id"], "signal", "support")
     return made.select("point_id", "x", "y", F.round("coverage", 6).alias("coverage"))
 
 

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyloom.functions import healpix as hp
+from skyloom.operators import sphere
 from skyloom.operators import sphere as sp
 
 PLACES = [(0.0, 0.0), (359.9999, 10.0), (45.0, 41.8103), (123.4, -41.8103), (90.0, 89.9), (10.0, 90.0), (200.0, -90.0), (271.3, -88.0), (180.0, 1e-9), (315.0, 0.0), (33.3, 66.6)]
@@ -198,3 +199,34 @@ def test_scales_do_not_depend_on_batches(spark):
 def test_few_images_are_dealt_over_tasks(spark):
     df = spark.createDataFrame([(0, 10.0, 20.0), (1, 50.0, -20.0)], "k int, ra0 double, dec0 double").coalesce(1)
     assert sp.cells_in_disc(df, 1.0, 4).rdd.getNumPartitions() >= 16
+
+
+def test_shared_areas_are_those_of_clipping():
+    """Cells and bent pixels by the walk along edges, and by clipping; far pairs, shapes within one another and polygons that turn right among them."""
+    k = np.arange(1, 60, 12)
+    n = len(k) * 4
+    turn, sip = np.radians(np.repeat(k, 4) * 37 % 360), np.array([0.0] * 7 + [3e-8] + [0.0] * 4 + [2e-8] + [0.0] * 23)
+    wcs = {"ra0": np.repeat(k * 211 % 360 + 0.03, 4), "dec0": np.repeat(k * 97 % 178 - 89 + 0.02, 4), "px0": np.full(n, 2.0), "py0": np.full(n, 2.0), "cd11": np.cos(turn) * -0.3, "cd12": np.sin(turn) * 0.3, "cd21": np.sin(turn) * 0.3, "cd22": np.cos(turn) * 0.3}
+    f = sphere.Frames(wcs, np.tile(sip, (n, 1)), np.tile(sip[::-1], (n, 1)))
+    for order, size in ((7, 0.8), (8, 0.5), (5, 0.4)):
+        poly, m = f.outlines(np.tile([0.0, 4.0, 1.0, 2.0], len(k)), np.tile([0.0, 1.0, 3.0, 4.0], len(k)), size)
+        row, pix = sphere.disc_cells(*sphere._bounds(poly, m), order, touching=True)
+        each, at = np.unique(pix, return_inverse=True)
+        cell, nc = sphere.cell_outlines(each, order)
+        back = np.where(np.arange(cell.shape[1])[None, :] < nc[:, None], nc[:, None] - 1 - np.arange(cell.shape[1]), np.arange(cell.shape[1]))
+        flipped = np.take_along_axis(cell, back[:, :, None], axis=1)
+        want = sphere.shared_area(cell[at], nc[at], poly[row], m[row])
+        for subject in (cell, flipped):
+            got = sphere.shared_areas(subject, nc, at, poly, m, row)
+            assert got == pytest.approx(want, abs=1e-12 * float(np.abs(sphere.area(poly, m)).max())) and ((got > 1e-20) == (want > 1e-20)).all()
+        assert (want > 1e-20).any() and (want <= 1e-20).any() and sphere.shared_areas(poly, m, row, cell, nc, at) == pytest.approx(want, rel=1e-9, abs=1e-18)
+
+
+def test_discs_of_cells_on_images_in_one_step(spark):
+    rows = [(i, 40.0 * i + 3, 30.0 * i - 80, 2.0, 2.0, -0.3, 0.01 * i, 0.01 * i, 0.3) for i in range(6)]
+    images = spark.createDataFrame(rows, "i int, ra0 double, dec0 double, px0 double, py0 double, cd11 double, cd12 double, cd21 double, cd22 double")
+    one = sphere.disc_overlaps(images, 1.2, 7, 5, 5, shrink=0.9, keep=["i"])
+    two = sphere.cell_overlaps(sphere.cells_in_disc(images, 1.2, 7, touching=True), 7, 5, 5, shrink=0.9)
+    assert one.columns == ["i", "pix", "x", "y", "weight", "drop_area", "pixel_area"]
+    tell = lambda df: sorted((r.i, r.pix, r.x, r.y, round(r.weight, 12)) for r in df.collect())
+    assert tell(one) == tell(two) != []
